@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 SKETCH_ACCURACY = 10_000
 MARGIN = 4.0 / SKETCH_ACCURACY
 RANGE_PARTS = 64
+# Groups up to this many rows fit the built-in percentile's value → count buffer.
+SMALL_GROUP = 500_000
 
 
 def _slice(value: Column, cuts: Column, number: int) -> Column:
@@ -84,21 +86,32 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str
     return picked if by else picked.drop(key)
 
 
-def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str | None = None) -> DataFrame:
-    """Linearly interpolated quantiles ``q0, q1, …`` per group, as double."""
+def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str | None = None,
+                    small: int = SMALL_GROUP) -> DataFrame:
+    """Linearly interpolated quantiles ``q0, q1, …`` per group, as double.
+
+    Groups whose counted size is small use the built-in percentile; otherwise order statistics are sliced.
+    """
+    known = df.where(F.col(value).isNotNull())
+    if by:
+        known = known.where(F.col(by).isNotNull())
+    sizes = (known.groupBy(by) if by else known).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= small:
+        array = F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, map(float, levels))))
+        found = (known.groupBy(by) if by else known).agg(F.count(F.lit(1)).alias("n"), array.alias("_q"))
+        return found.select(*([by] if by else []), "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(levels))])
     ranks = []
     for i, level in enumerate(levels):
         ranks.append((f"_lo{i}", level, lambda n, q=level: math.floor((n - 1) * q)))
         ranks.append((f"_hi{i}", level, lambda n, q=level: math.ceil((n - 1) * q)))
-    found = order_statistics(df, value, ranks, by)
-    group = [by] if by else []
+    found = order_statistics(known, value, ranks, by)
 
     def interpolated(i: int, level: float) -> Column:
         low, high = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         position = (F.col("n") - 1) * F.lit(float(level))
         return (low + (high - low) * (position - F.floor(position))).alias(f"q{i}")
 
-    return found.select(*group, "n", *[interpolated(i, level) for i, level in enumerate(levels)])
+    return found.select(*([by] if by else []), "n", *[interpolated(i, level) for i, level in enumerate(levels)])
 
 
 def range_parts(df: DataFrame, col: str, parts: int = RANGE_PARTS) -> DataFrame:
