@@ -114,11 +114,17 @@ def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str
     return found.select(*([by] if by else []), "n", *[interpolated(i, level) for i, level in enumerate(levels)])
 
 
-def range_parts(df: DataFrame, col: str, parts: int = RANGE_PARTS) -> DataFrame:
-    """Add ``_part``: an ordered, deterministic split of a numeric column into ranges of similar size."""
-    shares = [i / parts for i in range(1, parts)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), F.array(*map(F.lit, shares)), F.lit(SKETCH_ACCURACY))).first()
-    cuts = sorted(set(row[0] or []))
+def range_cuts(df: DataFrame, columns: Sequence[str], parts: int = RANGE_PARTS) -> tuple[int, dict[str, list[float]]]:
+    """Row count and, per column, cut points of ranges with similar row counts, in one pass."""
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.percentile_approx(F.col(c).cast("double"), shares, F.lit(SKETCH_ACCURACY)).alias(f"_{i}") for i, c in enumerate(columns)
+    ]).first()
+    return row["_rows"], {c: sorted(set(row[f"_{i}"] or [])) for i, c in enumerate(columns)}
+
+
+def range_parts(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
+    """Add ``_part``: the range of a numeric column that a row falls into."""
     if not cuts:
         return df.withColumn("_part", F.lit(0.0))
     bucketizer = Bucketizer(
@@ -127,12 +133,16 @@ def range_parts(df: DataFrame, col: str, parts: int = RANGE_PARTS) -> DataFrame:
     return bucketizer.transform(df.withColumn("_number", F.col(col).cast("double"))).drop("_number")
 
 
-def running_total(df: DataFrame, order: Sequence[Column], ranged_by: str, measure: str, name: str, descending: bool = False) -> DataFrame:
+def running_total(df: DataFrame, order: Sequence[Column], ranged_by: str, measure: str, name: str,
+                  descending: bool = False, cuts: Sequence[float] | None = None) -> DataFrame:
     """Cumulative sum over a whole table in parallel: ranges, range offsets, then sums inside ranges.
 
-    ``ranged_by`` is the leading order column; the offsets table has one row per range.
+    ``ranged_by`` is the leading order column and holds distinct values, so that no range can grow by repetition.
+    The offsets table has one row per range.
     """
-    parted = range_parts(df, ranged_by)
+    if cuts is None:
+        cuts = range_cuts(df, [ranged_by])[1][ranged_by]
+    parted = range_parts(df, ranged_by, cuts)
     first = F.col("_part").desc() if descending else F.col("_part").asc()
     per_part = parted.groupBy("_part").agg(F.sum(measure).alias("_sum"))
     before = per_part.withColumn(

@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 from arrears.functions.semantics import differs, percent, present, ratio
 from arrears.operators.quantiles import running_total
 
+HASH_SPACE = 2**40
+
 
 def history_window(entity: str, year: str, frame: tuple[int, int] | None = None):
     window = Window.partitionBy(entity).orderBy(F.col(year).asc_nulls_last())
@@ -114,8 +116,22 @@ def head(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """n rows picked by the hash of their key and a seed: repeatable under any partitioning."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    """n rows picked by the hash of their key and a seed: repeatable under any partitioning.
+
+    A hash limit first keeps little more than n rows of a large table, so the final top-n merges few candidates.
+    It only widens until enough rows pass; the rows picked are the same with or without it.
+    """
+    place = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(HASH_SPACE))
+    placed = df.withColumn("_place", place)
+    total = df.count()
+    share = (n + 6 * n**0.5 + 16) / max(total, 1)
+    candidates = placed
+    while share < 0.5:
+        candidates = placed.where(F.col("_place") < int(share * HASH_SPACE))
+        if candidates.count() >= n:
+            break
+        candidates, share = placed, share * 2
+    return candidates.orderBy("_place", *key).limit(n).drop("_place")
 
 
 def in_training_share(key: Sequence[str], seed: int, share: int = 7, of: int = 10) -> Column:
