@@ -42,6 +42,14 @@ CLASSES_V2 = [
     (2, "DEVEDOR EXCEL", "PAGADOR ORGANICO"),
     (5, "PRIMEIRA DIVIDA", "NOVO EM DIVIDA"),
 ]
+# Names of five and six clusters from the lowest to the highest payment history.
+CLUSTER_NAMES = {
+    5: ["DEVEDOR PESSIMO", "DEVEDOR RUIM", "DEVEDOR CONTUMAZ", "DEVEDOR BOM", "DEVEDOR EXCEL"],
+    6: ["DEVEDOR PESSIMO", "DEVEDOR RUIM", "DEVEDOR REPARCELADOR", "DEVEDOR CONTUMAZ", "DEVEDOR NEGOCIADOR",
+        "DEVEDOR EXCELENTE"],
+}
+# First-generation class numbers from the lowest to the highest payment history.
+CLUSTER_CLASSES_V1 = [1, 0, 2, 3]
 # Names in the order in which sorted discriminant coefficients are handed out.
 WEIGHT_ORDER_V2 = [
     "DEVEDOR PESSIMO",
@@ -111,6 +119,15 @@ RATING_K5_CLASS_OF_NAME = {
     "DEVEDOR BOM": 4,
     "PRIMEIRA DIVIDA": 5,
 }
+RATING_K6_CLASS_OF_NAME = {
+    "DEVEDOR PESSIMO": 0,
+    "DEVEDOR REPARCELADOR": 1,
+    "DEVEDOR NEGOCIADOR": 2,
+    "DEVEDOR CONTUMAZ": 3,
+    "DEVEDOR EXCELENTE": 4,
+    "DEVEDOR RUIM": 5,
+    "PRIMEIRA DIVIDA": 6,
+}
 RATING_K6 = [
     (0, None, None, "BAIXA"),
     (5, 0.9, None, "ALTA"),

@@ -107,8 +107,8 @@ def dual_type_taxpayers(base: DataFrame) -> DataFrame:
     closed = present(base.where(F.col("da_aberto") == 0), "id_pessoa", "tipo_divida")
     per_type = closed.groupBy("id_pessoa", "tipo_divida").agg(
         F.count_distinct("cda").alias("cda"), F.sum("valor_tot").alias("valor_tot"))
-    # A certificate belongs to one type, so the person's distinct certificates are the sum over types.
-    people = per_type.groupBy("id_pessoa").agg(F.count(F.lit(1)).alias("_types"), F.sum("cda").alias("num_dist_cda"))
+    people = closed.groupBy("id_pessoa").agg(
+        F.count_distinct("tipo_divida").alias("_types"), F.count_distinct("cda").alias("num_dist_cda"))
     return per_type.join(people.where(F.col("_types") > 1).drop("_types"), "id_pessoa")
 
 

@@ -1 +1,176 @@
-"""Queries."""
+"""Model and store queries; models differ between libraries, so only row counts are compared."""
+
+from pyspark.sql import functions as F
+
+from arrears.functions import fixed_values as fv
+from arrears.functions.bands import band_crosstab, half_open_labels
+from arrears.plans import collection as K
+from arrears.plans import features as P
+from arrears.plans import recovery as R
+from arrears.plans import segments as S
+from arrears.session import cut_lineage
+from arrears.sources import files
+from catalogue.registry import query
+from catalogue.stores import credit, debts_v1, store_v1, stock_with_features, taxpayers
+
+TREES, DEPTH = 20, 8
+V1_CLUSTER_FEATURES = ["status_situacao", "historico_pagamento_em_qtd", "historico_pagamento_em_valor"]
+
+
+def accessible(src):
+    return P.accessibility(P.taxpayer_profile(src.divida, src.notas))
+
+
+def segmented(src):
+    people = cut_lineage(accessible(src))
+    return S.segment_taxpayers(people, P.training_slice(people), P.CLUSTER_FEATURES, ["id_pessoa", "tipo_divida"], k=5, trees=TREES, depth=DEPTH)
+
+
+def index_frame(src):
+    people, _ = segmented(src)
+    return P.training_frame(P.debt_store(src.divida), P.first_debt_floor(cut_lineage(people)))
+
+
+INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
+
+
+@query("kmeans_sweep", "k:long inercia:double score:double k_ideal:long")
+def kmeans_sweep(src):
+    prepared = cut_lineage(S.assembled(P.training_slice(accessible(src)), P.CLUSTER_FEATURES))
+    curve = S.sweep(prepared, range(2, 11))
+    return curve.withColumn("k_ideal", F.lit(S.best_k(curve)))
+
+
+@query("silhouette", "label_cluster:long pessoas:long silhueta:double geral:double")
+def silhouette(src):
+    _, learned = segmented(src)
+    overall = S.silhouette(learned["labelled"])
+    rows = S.silhouette_rows(learned["labelled"], P.CLUSTER_FEATURES)
+    return rows.groupBy("label_cluster").agg(F.count(F.lit(1)).alias("pessoas"), F.avg("silhueta").alias("silhueta")).withColumn("geral", F.lit(overall))
+
+
+@query("segment_classifier", "class_contribuinte_nome:string da_aberto:long pessoas:long acuracia:double")
+def segment_classifier(src):
+    people, learned = segmented(src)
+    return people.groupBy("class_contribuinte_nome", "da_aberto").agg(F.count(F.lit(1)).alias("pessoas")).withColumn("acuracia", F.lit(learned["accuracy"]))
+
+
+@query("class_weights", "class_contribuinte_nome:string class_contribuinte_peso:double")
+def class_weights(src):
+    return S.class_weights(taxpayers(src))
+
+
+@query("igr_regressor", "n:long r2:double mse:double rmse:double ccc:double aceito:long")
+def igr_regressor(src):
+    _, metrics, _ = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
+    row = [tuple(metrics[c] for c in ("n", "r2", "mse", "rmse", "ccc")) + (int(R.accept_regressor(metrics)),)]
+    return src.spark.createDataFrame(row, "n bigint, r2 double, mse double, rmse double, ccc double, aceito int")
+
+
+CREDIT_FEATURES = ["area_construida", "reco_debito", "reco_credito", "num_imoveis", "hist_pagamento", "hist_lancado", "idade_imovel", "hist_cota_unica"]
+
+
+def credit_frame(src):
+    return P.year_slices(credit(src), 2001)["treino"].select("dam", "id_imovel", "percentual_pago", *[F.col(c).cast("double").alias(c) for c in CREDIT_FEATURES])
+
+
+@query("boosted_regressor", "n:long r2:double rmse:double ccc:double")
+def boosted_regressor(src):
+    frame = cut_lineage(credit_frame(src))
+    _, metrics, _ = R.train_index(frame, CREDIT_FEATURES, "percentual_pago", ["dam", "id_imovel"], R.boosted(trees=15, rate=0.1, depth=5))
+    return src.spark.createDataFrame([tuple(metrics[c] for c in ("n", "r2", "rmse", "ccc"))], "n bigint, r2 double, rmse double, ccc double")
+
+
+@query("model_comparison", "escala:string modelo:string n:long r2:double mse:double rmse:double ccc:double")
+def model_comparison(src):
+    return R.compare_models(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY, {"media": None, "floresta": R.forest(TREES, DEPTH)})
+
+
+@query("importances", "variavel:string importancia:double")
+def importances(src):
+    _, _, found = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
+    return src.spark.createDataFrame(found, "variavel string, importancia double")
+
+
+def predicted_index(src):
+    frame = cut_lineage(index_frame(src))
+    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
+    return R.prediction(model, frame)
+
+
+@query("residuals", "cda:long percentual_pago_cda:double igr:double residuos:double")
+def residuals(src):
+    return R.residuals(predicted_index(src), P.TARGET)
+
+
+@query("prediction_bands", "faixa_linha:string " + " ".join(f"c{i}:long" for i in range(len(fv.PAID_RATIO_EDGES) - 1)))
+def prediction_bands(src):
+    wide = band_crosstab(predicted_index(src), P.TARGET, "igr", fv.PAID_RATIO_EDGES)
+    return wide.withColumnsRenamed({label: f"c{i}" for i, label in enumerate(half_open_labels(fv.PAID_RATIO_EDGES))})
+
+
+@query("scored_stock", "rating_divida:string ordem_rating:long cda:long valor_total_da:double perc_cda:double perc_vlr_tot_da:double")
+def scored_stock(src):
+    people, _ = segmented(src)
+    people = cut_lineage(people)
+    debts = P.debt_store(src.divida)
+    frame = cut_lineage(P.training_frame(debts, P.first_debt_floor(people)))
+    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
+    open_people = people.where(F.col("da_aberto") == 1).select(
+        "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
+        "situacao_cobranca", "class_contribuinte_nome", "class_contribuinte_peso")
+    stock = debts.where(F.col("da_aberto") == 1).drop("quantidade_reparcelamento").join(open_people, ["id_pessoa", "tipo_divida"], "left")
+    return K.rating_summary(R.score_stock(stock, model))
+
+
+@query("solo_scores", "cda:string valor_total_da:double anos_idade_da:long igr:double rating_divida:string")
+def solo_scores(src):
+    store = cut_lineage(store_v1(src))
+    frequent = store.where(F.col("frequencia_da_pessoa") > 1).select("id_pessoa", *V1_CLUSTER_FEATURES)
+    prepared = cut_lineage(S.assembled(frequent, V1_CLUSTER_FEATURES))
+    clusters = S.cluster(prepared, 4)
+    classifier, _ = S.train_classifier(clusters.transform(prepared), V1_CLUSTER_FEATURES, ["id_pessoa"], trees=TREES, depth=DEPTH)
+    order = S.cluster_order(clusters, V1_CLUSTER_FEATURES, ["historico_pagamento_em_valor"])
+    classes = dict(zip(order, fv.CLUSTER_CLASSES_V1))
+    frame = cut_lineage(P.training_frame_v1(debts_v1(src), store))
+    model, _, _ = R.train_index(frame, P.FEATURES_V1, P.TARGET, ["cda"], R.forest(TREES, DEPTH))
+    requests = P.scoring_frame(stock_with_features(src)).select(
+        "cda", "valor_total_da", "anos_idade_da", "quantidade_reparcelamentos", "situacao_ativa", "edificacao",
+        F.col("cpf_existe").alias("tem_cpf"), "frequencia_da_pessoa",
+        (F.col("historico_pagamento_em_qtd") - 1).alias("historico_pagamento_em_qtd"),
+        (F.col("historico_pagamento_em_valor") - 1).alias("historico_pagamento_em_valor"))
+    return R.score_requests(requests, classifier, classes, model)
+
+
+TAXPAYER_TEXT = "id_pessoa:long tipo_divida:string da_aberto:long num_dist_cda:long valor_tot:double qtd_notas_2anos:long"
+TAXPAYER_SCHEMA = "id_pessoa bigint, tipo_divida string, da_aberto int, num_dist_cda bigint, valor_tot decimal(18,2), qtd_notas_2anos bigint"
+
+
+def _profile(src):
+    return P.taxpayer_profile(src.divida, src.notas).select("id_pessoa", "tipo_divida", "da_aberto", "num_dist_cda", "valor_tot", "qtd_notas_2anos")
+
+
+PROFILE_SQL = """SELECT d.*, n.qtd_notas_2anos FROM (SELECT id_pessoa, tipo_divida, da_aberto, count(DISTINCT cda) AS num_dist_cda, sum(valor_tot) AS valor_tot
+  FROM v_divida GROUP BY 1, 2, 3) d LEFT JOIN v_notas n ON n.id_pessoa = d.id_pessoa"""
+
+
+@query("csv_roundtrip", TAXPAYER_TEXT, PROFILE_SQL)
+def csv_roundtrip(src):
+    return files.roundtrip_csv(_profile(src), files.scratch_folder(src.spark, "csv"), TAXPAYER_SCHEMA)
+
+
+@query("csv_decimal_comma", "id_pessoa:long tipo_divida:string da_aberto:long valor_tot:string", """
+SELECT id_pessoa, tipo_divida, da_aberto, replace(CAST(CAST(valor_tot AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS valor_tot
+FROM (SELECT id_pessoa, tipo_divida, da_aberto, sum(valor_tot) AS valor_tot FROM v_divida GROUP BY 1, 2, 3) t""")
+def csv_decimal_comma(src):
+    folder = files.scratch_folder(src.spark, "decimal-comma")
+    files.write_csv(_profile(src).drop("num_dist_cda", "qtd_notas_2anos"), folder, separator=";", decimal_comma=True)
+    return files.read_csv(src.spark, folder, "id_pessoa bigint, tipo_divida string, da_aberto int, valor_tot string", separator=";")
+
+
+@query("store_roundtrip", TAXPAYER_TEXT, PROFILE_SQL)
+def store_roundtrip(src):
+    folder = files.scratch_folder(src.spark, "store")
+    store = files.FeatureStore(src.spark, folder)
+    store.publish(_profile(src), "fs_contribuinte", "2002-01-01")
+    return store.read("fs_contribuinte", "2002-01-01")
