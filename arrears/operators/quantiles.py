@@ -28,6 +28,26 @@ def _slice(value: Column, cuts: Column, number: int) -> Column:
     return reduce(lambda a, b: a + b, [F.when(value > cuts[i], 1).otherwise(0) for i in range(number)])
 
 
+def _ranked_slices(counts: DataFrame, key: str, parts: int) -> DataFrame:
+    """First and last rank of every distinct value of the chosen slices.
+
+    Slices of a very large table are cut once more, so that no task orders a whole slice.
+    """
+    within = [key, "_s"]
+    if parts > 1:
+        shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        finer = counts.groupBy(*within).agg(F.percentile_approx("_v", shares, F.lit(SKETCH_ACCURACY)).alias("_finer"))
+        counts = counts.join(finer, within).withColumn(
+            "_part", F.size(F.filter("_finer", lambda cut: cut < F.col("_v")))).drop("_finer")
+        earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.groupBy(*within, "_part").agg(F.sum("_m").alias("_sum")).select(
+            *within, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_skip"))
+        within = [*within, "_part"]
+        counts = counts.join(starts, within).withColumn("_before", F.col("_before") + F.col("_skip"))
+    upto = Window.partitionBy(*within).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_end", F.col("_before") + F.sum("_m").over(upto)).withColumn("_start", F.col("_end") - F.col("_m"))
+
+
 def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str | None = None) -> DataFrame:
     """Values at zero-based ranks of the non-missing rows, per group.
 
@@ -68,12 +88,9 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str
                 needed.append((g, s, before))
             before = after
     targets = F.broadcast(spark.createDataFrame(needed, f"{key} {key_type}, _s int, _before bigint"))
-    ranked = (
-        placed.join(targets, [key, "_s"])
-        .groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
-        .withColumn("_end", F.col("_before") + F.sum("_m").over(Window.partitionBy(key, "_s").orderBy("_v")))
-        .withColumn("_start", F.col("_end") - F.col("_m"))
-    )
+    counts = placed.join(targets, [key, "_s"]).groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    largest = max((sizes[g][s] for g, s, _ in needed), default=0)
+    ranked = _ranked_slices(counts, key, parts=1 if largest <= SMALL_GROUP else RANGE_PARTS)
     wanted = F.broadcast(spark.createDataFrame(
         [(g, groups[g][0], *p) for g, p in positions.items()],
         f"{key} {key_type}, n bigint, " + ", ".join(f"_r{i} bigint" for i in range(len(ranks))),

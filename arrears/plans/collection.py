@@ -58,11 +58,13 @@ def collection_lists(rated: DataFrame, base: DataFrame, taxpayers: DataFrame) ->
 def write_collection_lists(lists: DataFrame, folder: str, rows_per_file: int = 1_000_000) -> None:
     """One folder per debt type and action, each file sorted by falling index.
 
-    Ranges over type, action and index cut a large list into several ordered files.
+    Ranges over type, action, index and key cut a large list into several ordered files, also where many debts
+    share one index.
     """
+    order = ["tipo_divida", "acao", F.desc("igr"), "cda", "id_pessoa"]
     (
-        lists.repartitionByRange("tipo_divida", "acao", F.desc("igr"))
-        .sortWithinPartitions("tipo_divida", "acao", F.desc("igr"))
+        lists.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
         .partitionBy("tipo_divida", "acao").parquet(folder)
     )

@@ -101,12 +101,15 @@ def compare_models(frame: DataFrame, columns: Sequence[str], target: str, key: S
         rows, "escala string, modelo string, n bigint, r2 double, mse double, rmse double, ccc double")
 
 
-def residuals(predicted: DataFrame, target: str, without_ends: bool = True) -> DataFrame:
-    """Observed, predicted and their difference, largest difference first."""
+def residuals(predicted: DataFrame, target: str, key: Sequence[str] = (), without_ends: bool = True) -> DataFrame:
+    """Observed, predicted and their difference, largest difference first.
+
+    Trees predict few distinct values; the key columns let the sort split rows with equal differences.
+    """
     table = predicted.withColumn("residuos", F.col(target) - F.col(PREDICTION))
     if without_ends:
         table = table.where((F.col(PREDICTION) != 0) & (F.col(PREDICTION) != 1))
-    return table.orderBy(F.col("residuos").desc())
+    return table.orderBy(F.col("residuos").desc(), *key)
 
 
 def accept_regressor(metrics: Mapping[str, float], r2: float = fv.GATE_R2, mse: float = fv.GATE_MSE) -> bool:

@@ -100,7 +100,7 @@ def predicted_index(src):
 
 @query("residuals", "cda:long percentual_pago_cda:double igr:double residuos:double")
 def residuals(src):
-    return R.residuals(predicted_index(src), P.TARGET)
+    return R.residuals(predicted_index(src), P.TARGET, INDEX_KEY)
 
 
 @query("prediction_bands", "faixa_linha:string " + " ".join(f"c{i}:long" for i in range(len(fv.PAID_RATIO_EDGES) - 1)))
