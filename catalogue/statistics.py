@@ -185,8 +185,9 @@ def cramers_v_two_by_two(src):
 WITH {YEAR_SHARE_SQL}, z AS (SELECT count(pct) AS n, avg(pct) AS m, stddev_samp(pct) AS s FROM y),
 tt AS (SELECT m - c*s/sqrt(n) AS lo, m + c*s/sqrt(n) AS hi FROM (SELECT *, 1.959964e0 + (pow(1.959964e0,3) + 1.959964e0)/(4*(n-1))
   + (5*pow(1.959964e0,5) + 16*pow(1.959964e0,3) + 3*1.959964e0)/(96*CAST((n-1)*(n-1) AS DOUBLE)) AS c FROM z) q),
-b AS (SELECT bairro, count(pct) AS n, avg(pct) AS m, stddev_samp(pct) AS s FROM y GROUP BY 1)
-SELECT bairro, n, {sql6('m', 'media')}, {sql6('m - 2.446912*s/sqrt(n)', 'inferior')}, {sql6('m + 2.446912*s/sqrt(n)', 'superior')},
+b AS (SELECT *, CASE n - 1 {' '.join(f'WHEN {i + 1} THEN {t}e0' for i, t in enumerate(fv.T_CRITICAL_95))} END AS c
+  FROM (SELECT bairro, count(pct) AS n, avg(pct) AS m, stddev_samp(pct) AS s FROM y GROUP BY 1) q)
+SELECT bairro, n, {sql6('m', 'media')}, {sql6('m - c*s/sqrt(n)', 'inferior')}, {sql6('m + c*s/sqrt(n)', 'superior')},
   CASE WHEN m < (SELECT lo FROM tt) OR m > (SELECT hi FROM tt) THEN 1 ELSE 0 END AS fora_do_geral FROM b""")
 def t_interval(src):
     return r6(S.t_interval(neighbourhood_years(src), "bairro", "pct"), "media", "inferior", "superior")
