@@ -185,13 +185,16 @@ def conflicting_keys(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
 
 
 def collection_sheet(df: DataFrame, key: str) -> DataFrame:
-    """Bills, money, presumed debt and percentages per value of any key."""
-    grouped = present(df, key).groupBy(key).agg(
+    """Bills, money, presumed debt and percentages per value of any key.
+
+    Bills without the key are grouped too, so that the share of all bills needs no second scan, and then left out.
+    """
+    grouped = df.groupBy(key).agg(
         F.count("dam").alias("dams"), sum0("vlr_pago").alias("vlr_pago"),
         sum0("vlr_total_dam").alias("vlr_total_dam"), sum0("vlr_aberto").alias("vlr_aberto"),
     )
-    bills = df.agg(F.count("dam")).scalar()
-    return grouped.select(
+    bills = grouped.agg(F.sum("dams")).scalar()
+    return grouped.where(F.col(key).isNotNull()).select(
         "*", (F.col("vlr_total_dam") - F.col("vlr_pago")).alias("suposto_devido"),
         percent("vlr_pago", "vlr_total_dam").alias("percentual_pago"),
         percent("dams", bills).alias("percentual_dams"),

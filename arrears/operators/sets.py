@@ -21,7 +21,7 @@ def new_against_previous_year(df: DataFrame, key: str, year: str) -> DataFrame:
     """Keys per year that the year before lacks, for every year after the first."""
     years = F.array_sort(F.collect_set(year))  # at most one entry per year of the table
     per_key = present(df, key, year).groupBy(key).agg(years.alias("_years"))
-    first = present(df, key, year).agg(F.min(year)).scalar()
+    first = per_key.agg(F.min(F.element_at("_years", 1))).scalar()
     return (
         per_key.select(F.explode("_years").alias("ano"), "_years")
         .where(~F.array_contains("_years", F.col("ano") - 1) & (F.col("ano") > first))

@@ -36,12 +36,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only for local sessions without any."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         folder = tempfile.mkdtemp(prefix="arrears-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
