@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.functions.semantics import first_present, percent, present, ratio, round_even, sum0
-from arrears.operators.quantiles import exact_quantiles
+from arrears.operators.quantiles import SMALL_GROUP, exact_quantiles, largest_group
 
-ATTRIBUTES = ["idade_imovel", "tamanho_imovel", "natureza_imovel", "bairro", "tipo_propriedade", "tipo_contribuinte"]
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def group_measures(df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (), counts: Sequence[str] = (),
@@ -82,24 +82,31 @@ def frequency(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, for the table or per group."""
+    """Count, mean, sample deviation, extremes and exact quartiles, for the table or per group.
+
+    Groups of counted small size get everything from one aggregate; larger ones take sliced quartiles.
+    """
     keys = [by] if by else []
     base = present(df, *keys, col)
     n, total, squares = F.col("count"), F.col("_sum").cast("double"), F.col("_squares").cast("double")
-    moments = (base.groupBy(by) if by else base).agg(
+    deviation = F.sqrt(F.greatest(F.try_divide(squares - total * total / n, n - 1), F.lit(0.0)))
+    measures = [
         F.count(col).alias("count"), F.sum(col).alias("_sum"), F.sum(F.col(col) * F.col(col)).alias("_squares"),
         F.min(col).alias("min"), F.max(col).alias("max"),
-    )
-    summary = moments.select(
-        *keys, "count", ratio("_sum", "count").alias("mean"),
-        F.sqrt(F.greatest(F.try_divide(squares - total * total / n, n - 1), F.lit(0.0))).alias("std"), "min", "max",
-    )
-    quartiles = exact_quantiles(base, col, [0.25, 0.5, 0.75], by)
+    ]
+    shown = [*keys, "count", ratio("_sum", "count").alias("mean"), deviation.alias("std"), "min", "max"]
+    small = largest_group(base, col, by) <= SMALL_GROUP
+    if small:
+        measures.append(F.percentile(F.col(col).cast("double"), F.array(*map(F.lit, QUARTILES))).alias("_q"))
+        shown += [F.col("_q")[i].alias(f"q{i}") for i in range(3)]
+    summary = (base.groupBy(by) if by else base).agg(*measures).select(*shown)
+    if small:
+        return summary
+    quartiles = exact_quantiles(base, col, QUARTILES, by, small=0)
     if by:
         return summary.join(quartiles.drop("n"), by)
     row = quartiles.first()  # one row for the whole table
-    q = [row[f"q{i}"] for i in range(3)] if row else [None] * 3
-    return summary.select("*", *[F.lit(v).cast("double").alias(f"q{i}") for i, v in enumerate(q)])
+    return summary.select("*", *[F.lit(row[f"q{i}"]).alias(f"q{i}") for i in range(3)])
 
 
 def describe_text(df: DataFrame) -> DataFrame:

@@ -70,11 +70,17 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str
         F.percentile_approx("_v", F.array(*map(F.lit, shares)), F.lit(SKETCH_ACCURACY)).alias("cuts"),
     )
     groups = {r[key]: (r["n"], r["cuts"]) for r in sketch.collect()}  # one small row per group
+    if not groups:
+        found = ", ".join(f"{name} {value_type}" for name, _, _ in ranks)
+        return spark.createDataFrame([], f"{key} {key_type}, n bigint, {found}" if by else f"n bigint, {found}")
     positions = {g: [rank(n) for _, _, rank in ranks] for g, (n, _) in groups.items()}
-    cuts = F.broadcast(spark.createDataFrame(
-        [(g, c) for g, (_, c) in groups.items()], f"{key} {key_type}, _cuts array<{value_type}>"
-    ))
-    placed = keyed.join(cuts, key).withColumn("_s", _slice(F.col("_v"), F.col("_cuts"), len(shares)))
+    if by:
+        cuts = F.broadcast(spark.createDataFrame(
+            [(g, c) for g, (_, c) in groups.items()], f"{key} {key_type}, _cuts array<{value_type}>"))
+        placed = keyed.join(cuts, key)
+    else:  # one group: its few numbers are literals, so there is nothing to join
+        placed = keyed.withColumn("_cuts", F.array(*map(F.lit, groups[0][1])))
+    placed = placed.withColumn("_s", _slice(F.col("_v"), F.col("_cuts"), len(shares))).drop("_cuts")
     sizes: dict = {}
     for r in placed.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_m")).collect():  # groups × few slices
         sizes.setdefault(r[key], {})[r["_s"]] = r["_m"]
@@ -87,22 +93,38 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str
             if any(before <= p < after for p in positions[g]):
                 needed.append((g, s, before))
             before = after
-    targets = F.broadcast(spark.createDataFrame(needed, f"{key} {key_type}, _s int, _before bigint"))
-    counts = placed.join(targets, [key, "_s"]).groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    if by:
+        targets = F.broadcast(spark.createDataFrame(needed, f"{key} {key_type}, _s int, _before bigint"))
+        chosen = placed.join(targets, [key, "_s"])
+    else:
+        before_of = reduce(lambda e, t: e.when(F.col("_s") == t[1], F.lit(t[2])), needed, F.when(F.lit(False), F.lit(None)))
+        chosen = placed.withColumn("_before", before_of.cast("bigint")).where(F.col("_before").isNotNull())
+    counts = chosen.groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
     largest = max((sizes[g][s] for g, s, _ in needed), default=0)
     ranked = _ranked_slices(counts, key, parts=1 if largest <= SMALL_GROUP else RANGE_PARTS)
-    wanted = F.broadcast(spark.createDataFrame(
-        [(g, groups[g][0], *p) for g, p in positions.items()],
-        f"{key} {key_type}, n bigint, " + ", ".join(f"_r{i} bigint" for i in range(len(ranks))),
-    ))
+    if by:
+        wanted = F.broadcast(spark.createDataFrame(
+            [(g, groups[g][0], *p) for g, p in positions.items()],
+            f"{key} {key_type}, n bigint, " + ", ".join(f"_r{i} bigint" for i in range(len(ranks))),
+        ))
+        ranked = ranked.join(wanted, key)
+    else:
+        known = {"n": groups[0][0], **{f"_r{i}": r for i, r in enumerate(positions[0])}}
+        ranked = ranked.withColumns({name: F.lit(number).cast("bigint") for name, number in known.items()})
     at = lambda i: (F.col("_start") <= F.col(f"_r{i}")) & (F.col(f"_r{i}") < F.col("_end"))
-    picked = ranked.join(wanted, key).groupBy(key).agg(
+    picked = ranked.groupBy(key).agg(
         F.max("n").alias("n"),
         *[F.max(F.when(at(i), F.col("_v"))).alias(name) for i, (name, _, _) in enumerate(ranks)],
     )
     return picked if by else picked.drop(key)
 
 
+def largest_group(df: DataFrame, value: str, by: str | None = None) -> int:
+    """Known values in the largest group, or in the table."""
+    sizes = (df.groupBy(by) if by else df).agg(F.count(value).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str | None = None,
                     small: int = SMALL_GROUP) -> DataFrame:
     """Linearly interpolated quantiles ``q0, q1, …`` per group, as double.
@@ -112,8 +134,7 @@ def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str
     known = df.where(F.col(value).isNotNull())
     if by:
         known = known.where(F.col(by).isNotNull())
-    sizes = (known.groupBy(by) if by else known).agg(F.count(F.lit(1)).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= small:
+    if largest_group(known, value, by) <= small:
         array = F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, map(float, levels))))
         found = (known.groupBy(by) if by else known).agg(F.count(F.lit(1)).alias("n"), array.alias("_q"))
         return found.select(*([by] if by else []), "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(levels))])

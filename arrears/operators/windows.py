@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from arrears.functions.semantics import differs, percent, present, ratio
 from arrears.operators.quantiles import running_total
+from arrears.session import cut_lineage
 
 HASH_SPACE = 2**40
 
@@ -67,10 +68,10 @@ def pareto_curve(df: DataFrame, measure: str) -> DataFrame:
     """Cumulative percentage over single rows, per distinct amount from the largest down.
 
     Rows with the same amount are one point of the curve, so a third of all bills at 0 is one row here; the
-    cumulative sum then runs range by range.
+    cumulative sum then runs range by range. The points are written once, because cuts, offsets and sums read them.
     """
-    per_value = present(df, measure).groupBy(measure).agg(
-        F.count(F.lit(1)).alias("linhas"), F.sum(measure).alias("soma"))
+    per_value = cut_lineage(present(df, measure).groupBy(measure).agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum(measure).alias("soma")))
     total = per_value.agg(F.sum("soma")).scalar()
     summed = running_total(per_value, [F.col(measure).desc()], measure, "soma", "acumulado", descending=True)
     return summed.withColumn("porcentagem_acumulada", percent("acumulado", total))

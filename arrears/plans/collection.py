@@ -76,13 +76,14 @@ def class_dimension(spark: SparkSession) -> DataFrame:
 
 
 def class_distribution(taxpayers: DataFrame) -> DataFrame:
-    """Taxpayers per class overall, closed and open, with their shares."""
-    parts = {"todas": taxpayers, "fechada": taxpayers.where(F.col("da_aberto") == 0), "aberta": taxpayers.where(F.col("da_aberto") == 1)}
-    frames = [
-        share_of_total(part, "class_contribuinte_nome", F.count("id_pessoa"), "pessoas").withColumn("parte", F.lit(name))
-        for name, part in parts.items()
-    ]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    """Taxpayers per class overall, closed and open, with their shares; one grouping feeds all three."""
+    name = "class_contribuinte_nome"
+    per = present(taxpayers, name).groupBy("da_aberto", name).agg(F.count("id_pessoa").alias("_n"))
+    own = F.when(F.col("da_aberto") == 0, F.lit("fechada")).when(F.col("da_aberto") == 1, F.lit("aberta"))
+    parts = per.select(F.explode(F.array(F.lit("todas"), own)).alias("parte"), name, "_n").where(F.col("parte").isNotNull())
+    counted = parts.groupBy("parte", name).agg(F.sum("_n").alias("pessoas"))
+    totals = counted.groupBy("parte").agg(F.sum("pessoas").alias("total_pessoas"))
+    return counted.join(totals, "parte").withColumn("perc_pessoas", round_even(ratio("pessoas", "total_pessoas"), 5))
 
 
 def first_debtors(taxpayers: DataFrame) -> DataFrame:

@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from arrears.functions import fixed_values as fv
 from arrears.functions.ratings import rating
 from arrears.functions.scalars import code_map
-from arrears.functions.semantics import last_wins
 from arrears.operators.stats import fit_scaler, regression_metrics
 from arrears.operators.windows import in_training_share
-from arrears.plans.features import FEATURES_V1, FEATURES_V2, score_overrides, weighted_status
+from arrears.plans.features import FEATURES_V2, score_overrides, weighted_status
 from arrears.plans.segments import classify
 from arrears.session import cut_lineage
 

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
-from arrears.functions import scalars as S
 from arrears.operators import joins as J
 from arrears.operators import cleaning as C
 from catalogue.registry import query

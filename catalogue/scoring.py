@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
-from arrears.functions.bands import half_open_labels
 from arrears.functions.ratings import quantile_rating, rating
 from arrears.functions.semantics import round_even
 from arrears.plans import collection as K
