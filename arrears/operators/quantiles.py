@@ -93,12 +93,10 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str
             if any(before <= p < after for p in positions[g]):
                 needed.append((g, s, before))
             before = after
-    if by:
-        targets = F.broadcast(spark.createDataFrame(needed, f"{key} {key_type}, _s int, _before bigint"))
-        chosen = placed.join(targets, [key, "_s"])
-    else:
-        before_of = reduce(lambda e, t: e.when(F.col("_s") == t[1], F.lit(t[2])), needed, F.when(F.lit(False), F.lit(None)))
-        chosen = placed.withColumn("_before", before_of.cast("bigint")).where(F.col("_before").isNotNull())
+    # Joined on the slice number, also for one group: a filter on it would be evaluated again for every cut point.
+    on, wide = ([key, "_s"], f"{key} {key_type}, ") if by else (["_s"], "")
+    targets = spark.createDataFrame([t if by else t[1:] for t in needed], f"{wide}_s int, _before bigint")
+    chosen = placed.join(F.broadcast(targets), on)
     counts = chosen.groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
     largest = max((sizes[g][s] for g, s, _ in needed), default=0)
     ranked = _ranked_slices(counts, key, parts=1 if largest <= SMALL_GROUP else RANGE_PARTS)
