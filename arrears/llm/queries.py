@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import bpe
-from arrears.llm.common import table
+from arrears.llm import bpe, exact, lines, mixing, pii, simhash
+from arrears.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,104 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+TRIMMED = f"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}')"
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.per_document(docs, pii.find_spans(docs))
+    base = F.filter("spans", lambda s: s["order"] < len(pii.KINDS))
+    counts = [F.size(F.filter("spans", lambda s, n=n: s["order"] == n)).cast("long").alias(f"n_{kind}")
+              for n, kind in enumerate(pii.KINDS[:-1], 1)]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
+@query("op3_mixing", """
+WITH sized AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS hash,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+), source_size AS (
+  SELECT source, sum(size) AS source_size,
+         row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CAST(CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight,
+         3 * source_size AS most FROM source_size
+), filled AS (
+  SELECT *, most / weight AS brim,
+         (sum(source_size) OVER () - coalesce(sum(most) OVER (
+            ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), targets AS (
+  SELECT source, source_size, rank, CASE WHEN brim <= level THEN CAST(most AS DOUBLE)
+         ELSE weight * max(CASE WHEN brim > level THEN level END) OVER () END AS target FROM filled
+), placed AS (
+  SELECT doc_id, size, source_size, target, rank, floor(target / source_size) AS passes,
+         coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY hash, doc_id, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), counted AS (
+  SELECT *, CASE WHEN size > 0 THEN passes + CASE WHEN middle < target - passes * source_size THEN 1 ELSE 0 END
+            ELSE 0 END AS copies, middle / target * CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS due,
+         CASE (rank - 1) % 3 WHEN 0 THEN 7.5 WHEN 1 THEN 2.0 ELSE 0.5 END::DOUBLE AS first_level,
+         CASE (rank - 1) % 3 WHEN 0 THEN -5.0 WHEN 1 THEN 0.0 ELSE 1.0 END::DOUBLE AS slope
+  FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(size * copies AS BIGINT) AS taken,
+       CASE WHEN copies > 0 THEN 2.0 * due / (first_level + sqrt(greatest(0.0::DOUBLE,
+            first_level * first_level + 2.0 * slope * due))) END AS first_position
+FROM counted
+""")
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.plan_mix(table(spark, folder, "documents"))
+    return plan.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
+        F.get("positions", F.lit(0)).alias("first_position"),
+    ).orderBy("first_position", "doc_id")
+
+
+@query("op4_line_dedup", f"""
+WITH line AS (
+  SELECT doc_id, place, {TRIMMED} AS key, line
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) AS split) AS cut
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM line WHERE length(key) >= {lines.MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}
+), judged AS (
+  SELECT line.*, shared.key IS NOT NULL AND line.doc_id <> keeper AS gone FROM line LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op5_exact_dedup", """
+WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM normal WINDOW same AS (PARTITION BY text)
+""")
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = exact.exact_duplicates(table(spark, folder, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "keep_id", F.col("copies").alias("group_size"),
+        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
+                       F.col("component").alias("component_id"))
