@@ -24,9 +24,9 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 300_000
-CHUNK_CHARS = 2_000_000
-END = ""
+KNOWN_WORDS = 200_000
+KNOWN_PAIRS = 200_000
+CHUNK_CHARS = 1_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -70,11 +70,22 @@ class WordEncoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.alphabet = byte_alphabet()
-        self.packed = {t: i.to_bytes(4, "little") for t, i in vocabulary.ids.items()}
-        # Tokens that the merges never reach cannot stand in any encoding.
-        self.usable = {t for t in vocabulary.ids
-                       if t not in vocabulary.parts or self._apart(*vocabulary.parts[t], vocabulary.born[t])}
-        self.longest = max(map(len, self.usable))
+        self.suffix = suffix = vocabulary.suffix
+        # Tokens inside words and, without the mark of word ends, at their ends. Those that the merges never reach
+        # cannot stand in any encoding.
+        self.packed: dict[str, bytes] = {}
+        self.packed_end: dict[str, bytes] = {}
+        for token, number in vocabulary.ids.items():
+            if token not in vocabulary.parts or self._apart(*vocabulary.parts[token], vocabulary.born[token]):
+                ends = suffix and token.endswith(suffix) and token != suffix
+                if ends:
+                    self.packed_end[token.removesuffix(suffix)] = number.to_bytes(4, "little")
+                else:
+                    self.packed[token] = number.to_bytes(4, "little")
+        if not suffix:
+            self.packed_end = self.packed
+        self.longest = max(map(len, [*self.packed, *self.packed_end]))
+        self.pairs: dict[tuple[str, str], bool] = {}
 
     def _apart(self, left: str, right: str, limit: float = float("inf")) -> bool:
         """Whether no merge across the border of two tokens comes before rank ``limit``.
@@ -96,41 +107,52 @@ class WordEncoder:
                 limit, right = age_right + 1, parts[right][0]
 
     def encode(self, words: set[str]) -> dict[str, bytes]:
-        """Insert words into a trie and hand states down it depth first."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for symbol in map(self.alphabet.__getitem__, word.encode("utf-8")):
-                node = node.setdefault(symbol, {})
-            node[END] = word
-        last = [""]  # last token of the walked prefix of each length
-        code = [b""]  # and its whole encoding
+        """Insert words into a trie and hand states down it depth first.
+
+        Sorted words are the trie: neighbours share their path up to their common start, and reading on walks it depth
+        first. ``last`` and ``code`` hold the last token and the whole encoding of each node on the current path.
+        """
+        symbols = self.alphabet.__getitem__
+        spelled = sorted((word if word.isascii() and word.isprintable() else
+                          "".join(map(symbols, word.encode("utf-8"))), word) for word in words)
+        last, code, before = [""], [b""], ""
         out: dict[str, bytes] = {}
-        todo = [(child, symbol) for symbol, child in root.items()]
-        while todo:
-            node, prefix = todo.pop()
-            depth = len(prefix)
-            del last[depth:], code[depth:]
-            word = node.get(END)
-            if word is not None:
-                token, begin = self._last(prefix, self.v.suffix, last)
-                out[word] = code[begin] + self.packed[token]
-            if len(node) > (word is not None):
-                token, begin = self._last(prefix, "", last)
+        packed, packed_end, find = self.packed, self.packed_end, self._last
+        for path, word in spelled:
+            size = len(path)
+            common, most = 0, min(size, len(last)) - 1
+            while common < most and path[common] == before[common]:
+                common += 1
+            del last[common + 1:], code[common + 1:]
+            for depth in range(common + 1, size):
+                token, begin = find(path[:depth], depth, packed, last)
                 last.append(token)
-                code.append(code[begin] + self.packed[token])
-                for symbol, child in node.items():
-                    if symbol != END:
-                        todo.append((child, prefix + symbol))
+                code.append(code[begin] + packed[token])
+            token, begin = find(path, size, packed_end, last)
+            out[word] = code[begin] + packed_end[token]
+            before = path
         return out
 
-    def _last(self, prefix: str, suffix: str, last: list[str]) -> tuple[str, int]:
-        size = len(prefix)
+    def _last(self, path: str, size: int, tokens: dict[str, bytes], last: list[str]) -> tuple[str, int]:
+        """The one token of ``tokens`` that ends ``path``, longest first, and where it begins."""
         for begin in range(max(0, size - self.longest), size):
-            token = prefix[begin:] + suffix
-            if token in self.usable and (begin == 0 or self._apart(last[begin], token)):
-                return token, begin
-        raise ValueError(f"no token ends {prefix!r}")
+            token = path[begin:]
+            if token in tokens:
+                if begin == 0:
+                    return token, 0
+                whole = token if tokens is self.packed else token + self.suffix
+                fits = self.pairs.get((last[begin], whole))
+                if fits is None:
+                    fits = self._fits(last[begin], whole)
+                if fits:
+                    return token, begin
+        raise ValueError(f"no token ends {path!r}")
+
+    def _fits(self, left: str, right: str) -> bool:
+        if len(self.pairs) >= KNOWN_PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[left, right] = self._apart(left, right)
+        return fits
 
 
 class TextEncoder:
