@@ -11,6 +11,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows of a text table are kilobytes each: batches for Python workers hold fewer rows than the default 10,000.
+OPTIONS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for key, value in OPTIONS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import bpe, exact, lines, mixing, pii, simhash
-from arrears.llm.common import LOWER, UPPER, table
+from arrears.llm import bpe, exact, hnsw, license, lines, mixing, pii, simhash, toxicity, urls
+from arrears.llm.common import LOWER, UPPER, table, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, folder: run(tune(spark), folder)
         if sql is not None:
             ORACLES[name] = sql
         return run
@@ -143,3 +143,36 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
                        F.col("component").alias("component_id"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    field = toxicity.train(spark, docs, table(spark, folder, "labels"))
+    judged = docs.withColumn("judged", toxicity.judge(spark, F.col("text"), field))
+    return judged.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("judged.score").alias("score"),
+        (F.col("judged.score") >= toxicity.REJECT).cast("int").alias("predicted"),
+        F.size("judged.spans").cast("long").alias("n_spans"))
+
+
+@query("op7_embeddings")
+def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hnsw.near_vectors(table(spark, folder, "embeddings"))
+    return rows.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                       F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+@query("op9_license")
+def op9_license(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents have no paths; source, language and id stand for one."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.concat_ws(
+        "/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+        .alias("path"))
+    return license.scan(docs).select("doc_id", "license", "license_score", "license_origin")
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(table(spark, folder, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
