@@ -64,3 +64,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def text_print(text: Column) -> Column:
+    """With the id, tells rows apart that repeat an id with another text; null reads as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def row_key(row_id: Column, names: list[str]) -> list[Column]:
+    """An id as two columns without nulls, so that plain equi-joins and groupings on them share one exchange."""
+    return [F.coalesce(row_id, F.lit(0)).alias(names[0]), row_id.isNull().alias(names[1])]

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.common import fresh, settle, word_count
+from arrears.llm.common import fresh, row_key, settle, text_print, word_count
 
 MOST_REPEATS = 3
 RANGE_DIGITS = 3  # hexadecimal digits of the id's hash that name a range of a source
@@ -78,16 +78,21 @@ def due(share: Column, rank: Column, schedules=SCHEDULES) -> Column:
     return out
 
 
+def source_key(source: Column) -> Column:
+    return F.when(source.isNull(), "b").otherwise(F.concat(F.lit("a"), source))
+
+
 def plan_mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text",
              schedules=SCHEDULES, most: int = MOST_REPEATS) -> DataFrame:
-    """Rows (id, key, size, source_size, target, copies, positions) for each row of ``docs``.
+    """Rows (id, print, key, size, source_size, target, copies, positions) for each row of ``docs``.
 
-    ``key`` is the source behind a letter that sorts nulls last; positions lists the training time of each copy.
+    ``print`` is the hash of the text, ``key`` the source behind a letter that sorts nulls last; positions lists the training time of each copy.
     """
-    key = F.when(F.col(source_column).isNull(), "b").otherwise(F.concat(F.lit("a"), source_column))
     hashed = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    sized = settle(docs.select(F.col(id_column).alias("id"), key.alias("key"), word_count(F.col(text_column)).alias(
-        "size"), hashed.alias("hash")).withColumn("part", F.substring("hash", 1, RANGE_DIGITS)))
+    sized = settle(docs.select(
+        F.col(id_column).alias("id"), text_print(F.col(text_column)).alias("print"),
+        source_key(F.col(source_column)).alias("key"), word_count(F.col(text_column)).alias("size"),
+        hashed.alias("hash")).withColumn("part", F.substring("hash", 1, RANGE_DIGITS)))
     parts = sized.groupBy("key", "part").agg(F.sum("size").alias("part_size"))
     targets = source_targets(parts.groupBy("key").agg(F.sum("part_size").alias("source_size")), schedules, most)
     along = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,7 +109,7 @@ def plan_mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "s
     times = F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1),
                         lambda k: due((k * F.col("source_size") + F.col("middle")) / F.col("target"),
                                       F.col("rank"), schedules))
-    return placed.select("id", "key", "size", "source_size", "target", "copies",
+    return placed.select("id", "print", "key", "size", "source_size", "target", "copies",
                          F.when(F.col("copies") > 0, times).otherwise(F.array().cast("array<double>"))
                          .alias("positions"))
 
@@ -113,19 +118,14 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source
         schedules=SCHEDULES, most: int = MOST_REPEATS) -> DataFrame:
     """The copies of documents that the mix takes, sorted by training position.
 
-    Rows that repeat an id within a source are told apart by size and counted within both; each then stands for one
-    place in the order.
+    Rows that repeat id, source and text are one document with the places of all of them.
     """
-    key, size, place = fresh(docs, "mix_key", "mix_size", "mix_place")
-    number = Window.partitionBy("id", "key", "size").orderBy(F.size("positions"), "positions")
-    plan = plan_mix(docs, id_column, source_column, text_column, schedules, most)
-    plan = plan.withColumn("place", F.row_number().over(number)).where(F.col("copies") > 0)
-    own_key = F.when(F.col(source_column).isNull(), "b").otherwise(F.concat(F.lit("a"), source_column))
-    mine = docs.withColumn(key, own_key).withColumn(size, word_count(F.col(text_column)))
-    mine = mine.withColumn(place, F.row_number().over(
-        Window.partitionBy(id_column, key, size).orderBy(F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))))
-    taken = mine.join(plan, mine[id_column].eqNullSafe(plan["id"]) & (mine[key] == plan["key"])
-                      & (mine[size] == plan["size"]) & (mine[place] == plan["place"]))
-    position, = fresh(docs, "position")
-    return (taken.select(*[mine[c] for c in docs.columns], F.explode(plan["positions"]).alias(position))
-            .orderBy(position, id_column))
+    plan = plan_mix(docs, id_column, source_column, text_column, schedules, most).where(F.col("copies") > 0)
+    keys = fresh(docs, "mix_id", "mix_nameless", "mix_print", "mix_key")
+    places, position = fresh(docs, "mix_places", "position")
+    taken = plan.select(*row_key(F.col("id"), keys), F.col("print").alias(keys[2]), F.col("key").alias(keys[3]),
+                        "positions").groupBy(keys).agg(F.flatten(F.collect_list("positions")).alias(places))
+    mine = docs.select("*", *row_key(F.col(id_column), keys), text_print(F.col(text_column)).alias(keys[2]),
+                       source_key(F.col(source_column)).alias(keys[3]))
+    found = mine.join(taken, keys).dropDuplicates(keys)
+    return found.select(*docs.columns, F.explode(places).alias(position)).orderBy(position, id_column)

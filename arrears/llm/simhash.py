@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import LOWER, UPPER, WORD, settle
+from arrears.llm.common import LOWER, UPPER, WORD, fresh, row_key, settle, text_print
 from arrears.llm.graph import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -99,15 +99,31 @@ def signed(value: int) -> int:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
-    """Rows (id, bits, component) for each row of ``docs``: its fingerprint and the smallest id it is linked with.
+    """Rows (id, print, bits, group, component) for each row of ``docs``: the hash of its text, its fingerprint, one
+    fingerprint that names its group, and the smallest id it is linked with.
 
     Rows with a null id have a fingerprint and, unless a row with an id is linked with them, a null component.
     """
-    prints = settle(docs.select(F.col(id_column).alias("id"), fingerprint(F.col(text_column), shingle).alias("bits")))
+    prints = settle(docs.select(F.col(id_column).alias("id"), text_print(F.col(text_column)).alias("print"),
+                                fingerprint(F.col(text_column), shingle).alias("bits")))
     points = settle(prints.groupBy("bits").agg(F.min("id").alias("least")))
     parts = components(grid_links(points, distance)).withColumnRenamed("node", "bits")
     # The component of a fingerprint, then the smallest id of the component.
     grouped = points.join(parts, "bits", "left").withColumn("component", F.coalesce("component", "bits"))
     smallest = grouped.groupBy("component").agg(F.min("least").alias("smallest"))
-    classes = grouped.join(smallest, "component").select("bits", F.col("smallest").alias("component"))
-    return prints.join(classes, "bits").select("id", "bits", "component")
+    classes = grouped.join(smallest, "component").select(
+        "bits", F.col("component").alias("group"), F.col("smallest").alias("component"))
+    return prints.join(classes, "bits").select("id", "print", "bits", "group", "component")
+
+
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
+                  distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id (a null id comes last, then the text's hash
+    decides); of rows that repeat id and text, one."""
+    keys = fresh(docs, "near_id", "near_nameless", "near_print")
+    found = near_duplicates(docs, id_column, text_column, shingle, distance)
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "print"))
+    kept = found.groupBy("group").agg(first.alias("first")).select(
+        *row_key(F.col("first.id"), keys), F.col("first.print").alias(keys[2]))
+    mine = docs.select("*", *row_key(F.col(id_column), keys), text_print(F.col(text_column)).alias(keys[2]))
+    return mine.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

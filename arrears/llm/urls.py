@@ -2,8 +2,9 @@
 
 Pages that a fixed rule covers are the labelled ones. Their URLs become sets of tokens (host labels, path segments,
 extension, query keys), and FP-growth mines the token combinations that go with a label. Rules under the minimum
-support or confidence are pruned. A rule is indexed under its rarest token only; token sets without a fixed rule look
-their tokens up in that index, and what meets is checked to hold the whole combination. The strongest matching rule
+support or confidence are pruned, and so are combinations that a further token always goes with: they say nothing about
+URLs without that token. A rule is indexed under its rarest token only; token sets without a fixed rule look their
+tokens up in that index, and what meets is checked to hold the whole combination. The strongest matching rule
 (confidence, then support) decides; a URL that matches none is allowed.
 
 Equal token sets are matched once, so a URL or host with a third of all rows weighs as one set; sets are brought back
@@ -93,6 +94,12 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     is_label = lambda token: F.startswith(token, F.lit("label:"))
     rules = model.associationRules.where(is_label(F.element_at("consequent", 1))
                                          & ~F.exists("antecedent", is_label))
+    frequent = model.freqItemsets.where(~F.exists("items", is_label)).select(
+        F.array_sort("items").alias("items"), "freq")
+    shorter = frequent.select(F.posexplode("items").alias("at", "token"), "items", "freq").select(
+        F.array_remove("items", F.col("token")).alias("items"), "freq").distinct()
+    whole = frequent.join(shorter, ["items", "freq"], "left_anti").select("items")
+    rules = rules.withColumn("items", F.array_sort("antecedent")).join(whole, "items", "left_semi")
     counted = model.freqItemsets.where(F.size("items") == 1).select(
         F.element_at("items", 1).alias("token"), "freq")
     rules = settle(rules.select(
