@@ -43,7 +43,7 @@ def bill_rules() -> dict[str, Column]:
 
 
 def history_rules() -> dict[str, Column]:
-    return {"divida_maior_que_debito": F.col("reco_divida_ativa") > F.col("reco_debito")}
+    return {"divida_maior_que_debito": F.col("reco_inscricao") > F.col("reco_debito")}
 
 
 def partition_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -263,7 +263,7 @@ def credit_history(history: DataFrame, first_year: int = fv.CREDIT_FIRST_YEAR) -
     summed = cumulative(history, "id_contribuinte", "ano", {
         "pgt_cota_unica": "hist_cota_unica", "hist_valor_pago": "hist_pagamento", "hist_valor_total": "hist_lancado"})
     marked = credit_recurrence(summed, "id_contribuinte", "ano", "hist_valor_total", "reco_credito")
-    return marked.withColumn("reco_debito", F.col("reco_debito") + F.col("reco_divida_ativa")).where(F.col("ano") >= first_year)
+    return marked.withColumn("reco_debito", F.col("reco_debito") + F.col("reco_inscricao")).where(F.col("ano") >= first_year)
 
 
 def credit_store(bills: DataFrame, history: DataFrame, first_year: int = fv.CREDIT_FIRST_YEAR) -> DataFrame:
@@ -284,7 +284,7 @@ def credit_store(bills: DataFrame, history: DataFrame, first_year: int = fv.CRED
 
 def taxpayer_years(history: DataFrame, first_year: int = fv.CREDIT_FIRST_YEAR) -> DataFrame:
     """Totals per taxpayer over the years and the paid percentage."""
-    sums = ["hist_valor_pago", "pgt_cota_unica", "hist_valor_total", "num_imoveis", "reco_credito", "reco_debito", "reco_divida_ativa"]
+    sums = ["hist_valor_pago", "pgt_cota_unica", "hist_valor_total", "num_imoveis", "reco_credito", "reco_debito", "reco_inscricao"]
     grouped = credit_history(history, first_year).groupBy("id_contribuinte").agg(*[sum0(c).alias(c) for c in sums])
     return grouped.withColumn("percentual_pago", F.coalesce(ratio("hist_valor_pago", "hist_valor_total") * 100, F.lit(0.0)))
 

@@ -28,7 +28,7 @@ BILLS = (
 )
 HISTORY = (
     f"ano int, id_contribuinte string, pgt_cota_unica int, hist_valor_pago {MONEY}, hist_valor_total {MONEY}, "
-    "num_imoveis int, reco_divida_ativa int, reco_debito int"
+    "num_imoveis int, reco_inscricao int, reco_debito int"
 )
 
 FIRST_GENERATION = {

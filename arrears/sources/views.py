@@ -65,7 +65,7 @@ FROM v_item i JOIN {part} p ON p.p_partkey = i.l_partkey JOIN {customer} c ON c.
 SELECT extract(year FROM o_orderdate) AS ano, o_custkey AS id_contribuinte, sum(vlr_total) AS hist_valor_total,
   sum(vlr_pago) AS hist_valor_pago, count(DISTINCT l_partkey) AS num_imoveis,
   sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS pgt_cota_unica,
-  sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS reco_divida_ativa,
+  sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS reco_inscricao,
   sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS reco_debito
 FROM v_item GROUP BY 1, 2""",
     # Debt-register facts and dimensions of the source database.

@@ -67,7 +67,7 @@ def partition_counts(src):
         ("parcial_sem_aberto", "vlr_pago > 0 AND vlr_pago < vlr_total_dam AND vlr_aberto = 0", "v_dam"),
         ("nao_paga_lancado_difere_aberto", "vlr_pago = 0 AND vlr_total_dam <> vlr_aberto", "v_dam"),
         ("lancado_difere_soma", "vlr_total_dam <> vlr_pago + vlr_aberto", "v_dam"),
-        ("divida_maior_que_debito", "reco_divida_ativa > reco_debito", "v_hist")]))
+        ("divida_maior_que_debito", "reco_inscricao > reco_debito", "v_hist")]))
 def consistency(src):
     return Q.violations(src.dam, Q.bill_rules()).unionByName(Q.violations(src.hist, Q.history_rules()))
 
@@ -137,7 +137,7 @@ def pearson(src):
     return r6(S.pearson(src.dam, CORRELATED), "correlacao")
 
 
-RANKED = ["reco_debito", "reco_divida_ativa", "num_imoveis", "pgt_cota_unica", "hist_valor_pago"]
+RANKED = ["reco_debito", "reco_inscricao", "num_imoveis", "pgt_cota_unica", "hist_valor_pago"]
 
 
 @query("spearman", CORR_SHAPE, f"""

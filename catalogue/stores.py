@@ -257,7 +257,7 @@ def score_overrides(src):
     return P.score_overrides(framed)
 
 
-HISTORY_CTE = """hx AS (SELECT ano, id_contribuinte, num_imoveis, pgt_cota_unica, reco_divida_ativa, reco_debito + reco_divida_ativa AS reco_debito, hist_valor_pago, hist_valor_total,
+HISTORY_CTE = """hx AS (SELECT ano, id_contribuinte, num_imoveis, pgt_cota_unica, reco_inscricao, reco_debito + reco_inscricao AS reco_debito, hist_valor_pago, hist_valor_total,
   sum(pgt_cota_unica) OVER w AS hist_cota_unica, sum(hist_valor_pago) OVER w AS hist_pagamento, sum(hist_valor_total) OVER w AS hist_lancado,
   CASE WHEN hist_valor_total = 0 THEN 0 ELSE sum(f) OVER w END AS reco_credito
   FROM (SELECT *, CASE WHEN lag(hist_valor_total) OVER (PARTITION BY id_contribuinte ORDER BY ano) = 0 THEN 0 ELSE 1 END AS f FROM v_hist) z
@@ -280,10 +280,10 @@ def credit_store(src):
 
 
 @query("taxpayer_years", "id_contribuinte:long hist_valor_pago:double pgt_cota_unica:long hist_valor_total:double num_imoveis:long reco_credito:long "
-       "reco_debito:long reco_divida_ativa:long percentual_pago:double", f"""
+       "reco_debito:long reco_inscricao:long percentual_pago:double", f"""
 WITH {HISTORY_CTE} SELECT *, coalesce(CAST(hist_valor_pago AS DOUBLE)/nullif(CAST(hist_valor_total AS DOUBLE), 0)*100, 0) AS percentual_pago FROM (
   SELECT id_contribuinte, sum(hist_valor_pago) AS hist_valor_pago, sum(pgt_cota_unica) AS pgt_cota_unica, sum(hist_valor_total) AS hist_valor_total,
-    sum(num_imoveis) AS num_imoveis, sum(reco_credito) AS reco_credito, sum(reco_debito) AS reco_debito, sum(reco_divida_ativa) AS reco_divida_ativa FROM h GROUP BY 1) t""")
+    sum(num_imoveis) AS num_imoveis, sum(reco_credito) AS reco_credito, sum(reco_debito) AS reco_debito, sum(reco_inscricao) AS reco_inscricao FROM h GROUP BY 1) t""")
 def taxpayer_years(src):
     return P.taxpayer_years(src.hist, first_year=1997)
 

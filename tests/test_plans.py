@@ -86,7 +86,7 @@ def test_overrides(spark):
 
 def test_credit_recurrence_is_counted_before_years_are_cut(spark):
     history = spark.createDataFrame([(2015 + i, "t", 0, v, v, 1, 1, 2) for i, v in enumerate([5, 0, 7, 3])],
-                                    "ano int, id_contribuinte string, pgt_cota_unica int, hist_valor_pago int, hist_valor_total int, num_imoveis int, reco_divida_ativa int, reco_debito int")
+                                    "ano int, id_contribuinte string, pgt_cota_unica int, hist_valor_pago int, hist_valor_total int, num_imoveis int, reco_inscricao int, reco_debito int")
     out = {r["ano"]: (r["reco_credito"], r["hist_lancado"], r["reco_debito"]) for r in P.credit_history(history).collect()}
     assert out == {2017: (2, 12, 3), 2018: (3, 15, 3)}
 
