@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.functions.semantics import first_present, percent, present, ratio, round_even, sum0
-from arrears.operators.quantiles import SMALL_GROUP, exact_quantiles, largest_group
+from arrears.operators.quantiles import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -82,10 +82,7 @@ def frequency(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, for the table or per group.
-
-    Groups of counted small size get everything from one aggregate; larger ones take sliced quartiles.
-    """
+    """Count, mean, sample deviation, extremes and exact quartiles, for the table or per group."""
     keys = [by] if by else []
     base = present(df, *keys, col)
     n, total, squares = F.col("count"), F.col("_sum").cast("double"), F.col("_squares").cast("double")
@@ -95,18 +92,11 @@ def describe(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
         F.min(col).alias("min"), F.max(col).alias("max"),
     ]
     shown = [*keys, "count", ratio("_sum", "count").alias("mean"), deviation.alias("std"), "min", "max"]
-    small = largest_group(base, col, by) <= SMALL_GROUP
-    if small:
-        measures.append(F.percentile(F.col(col).cast("double"), F.array(*map(F.lit, QUARTILES))).alias("_q"))
-        shown += [F.col("_q")[i].alias(f"q{i}") for i in range(3)]
     summary = (base.groupBy(by) if by else base).agg(*measures).select(*shown)
-    if small:
-        return summary
-    quartiles = exact_quantiles(base, col, QUARTILES, by, small=0)
+    quartiles = exact_quantiles(base, col, QUARTILES, by)
     if by:
         return summary.join(quartiles.drop("n"), by)
-    row = quartiles.first()  # one row for the whole table
-    return summary.select("*", *[F.lit(row[f"q{i}"]).alias(f"q{i}") for i in range(3)])
+    return summary.join(quartiles.withColumnRenamed("n", "count"), "count", "left")  # one row on either side
 
 
 def describe_text(df: DataFrame) -> DataFrame:

@@ -1,8 +1,7 @@
 """Joins with explicit rules for missing keys, row conservation and clashing column names.
 
-Large joins are left to the planner: it broadcasts a side only below its size limit, and splits hot keys at run
-time. What it cannot know is done here: rows with a missing key are spread before the shuffle, and lookup sides
-are checked for unique keys.
+Joins are left to the planner: it broadcasts a side only below its size limit, and splits hot keys of inner, left, semi
+and anti joins at run time, rows with a missing key among them. Right and full joins are put together from those.
 """
 
 from __future__ import annotations
@@ -12,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.functions.semantics import keep_first, present
-
-NULL_SPREAD = 1024
+from arrears.functions.semantics import present
 
 
 def inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -22,43 +19,37 @@ def inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return present(left, *on).join(present(right, *on), list(on), "inner")
 
 
-def left_spreading_nulls(left: DataFrame, right: DataFrame, on: Sequence[str], spread: int = NULL_SPREAD) -> DataFrame:
-    """Left join in which rows with a missing key do not pile up in one task.
-
-    Such rows match nothing. Their hash would send all of them to one partition; a second join column sends
-    them to many instead, and is 0 for every row that can match.
-    """
-    keys = list(on)
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    slot = F.when(missing, 1 + F.pmod(F.xxhash64(*left.columns), F.lit(spread))).otherwise(F.lit(0).cast("bigint"))
-    spread_left = left.withColumn("_slot", slot)
-    matching = present(right, *keys).withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(1)))
-    return spread_left.join(matching, [*keys, "_slot"], "left").drop("_slot")
-
-
-def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Left join that cannot multiply rows: the right side is first reduced to one row per key."""
-    unique = keep_first(present(right, *on), list(on), list(order))
-    return left_spreading_nulls(left, unique, on)
+def left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join; missing keys match nothing, and those of the right side are not even shuffled."""
+    return left.join(present(right, *on), list(on), "left")
 
 
 def left_renamed(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left join on differently named keys; only the left name survives."""
-    return left_spreading_nulls(left, right.withColumnRenamed(right_key, left_key), [left_key])
+    return left_join(left, right.withColumnRenamed(right_key, left_key), [left_key])
 
 
 def full(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join of two frames with one row per key; rows with missing keys stay on their own side."""
-    return left.join(right, list(on), "full")
+    """Full outer join; rows with missing keys stay on their own side.
+
+    In two parts, the left join and the right rows without a match, because a hot key of a full join is never split.
+    """
+    joined = left_join(left, right, on)
+    return joined.unionByName(anti(right, left, on), allowMissingColumns=True)
 
 
 def full_matching_nulls(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join in which missing keys match each other."""
-    r = right.withColumnRenamed(key, "_right_key")
-    joined = left.join(r, F.col(key).eqNullSafe(F.col("_right_key")), "full")
-    return joined.withColumn(key, F.coalesce(key, "_right_key")).drop("_right_key")
+    """Full outer join of two frames with one row per key, in which the missing keys match each other.
+
+    Fails if both sides have several rows with a missing key, which would pair all of them.
+    """
+    nameless = [side.where(F.col(key).isNull()) for side in (left, right)]
+    if all(side.limit(2).count() > 1 for side in nameless):
+        raise ValueError(f"both sides have several rows without {key}")
+    matched = full(present(left, key), present(right, key), [key])
+    pair = [side.withColumn("_nameless", F.lit(1)) for side in (nameless[0], nameless[1].drop(key))]
+    unkeyed = pair[0].join(pair[1], "_nameless", "full").drop("_nameless")
+    return matched.unionByName(unkeyed.select(matched.columns))
 
 
 def right(left: DataFrame, right_side: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -86,14 +77,15 @@ def suffixed(left: DataFrame, right_side: DataFrame, on: Sequence[str], how: str
              suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Join in which columns that both sides have get a suffix each."""
     shared = [c for c in left.columns if c in right_side.columns and c not in on]
-    return left.withColumnsRenamed({c: c + suffixes[0] for c in shared}).join(
-        right_side.withColumnsRenamed({c: c + suffixes[1] for c in shared}), list(on), how)
+    first = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
+    second = right_side.withColumnsRenamed({c: c + suffixes[1] for c in shared})
+    return full(first, second, on) if how == "full" else first.join(second, list(on), how)
 
 
 def attach_measures(df: DataFrame, keys: Sequence[str], *measures) -> DataFrame:
     """Group measures next to every row of their group: aggregate first, then join the small result back."""
     grouped = present(df, *keys).groupBy(*keys).agg(*measures)
-    return left_spreading_nulls(df, grouped, keys)
+    return left_join(df, grouped, keys)
 
 
 def expect_rows(before: DataFrame, after: DataFrame, what: str) -> None:

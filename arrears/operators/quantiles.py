@@ -1,146 +1,67 @@
-"""Exact order statistics without sorting a whole group in one task.
+"""Exact order statistics, places and running totals of tables of any size, by one path.
 
-Approximate percentiles only propose a few cut points around each wanted rank. Exact counts between the
-cut points then say which slice holds the rank, and only that slice is ranked. A bad proposal costs time,
-never correctness.
+Equal values are counted first, so a value that a third of the rows share is one row. Rows are then dealt into ranges
+of the order, as many as the session has shuffle partitions, and written once with the number of their range. Sums per
+range give each range its offset, and windows run inside ranges only. What every step keeps per range or group stays in
+frames; nothing is collected.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SKETCH_ACCURACY = 10_000
-MARGIN = 4.0 / SKETCH_ACCURACY
-RANGE_PARTS = 64
-# Groups up to this many rows fit the built-in percentile's value → count buffer.
-SMALL_GROUP = 500_000
+from arrears.session import cut_lineage
 
 
-def _slice(value: Column, cuts: Column, number: int) -> Column:
-    """How many cut points lie strictly below a value."""
-    return reduce(lambda a, b: a + b, [F.when(value > cuts[i], 1).otherwise(0) for i in range(number)])
+def placed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measure: str) -> DataFrame:
+    """Add ``_before``, the sum of a measure over the earlier rows of the same keys, and ``_total``, that over all.
 
-
-def _ranked_slices(counts: DataFrame, key: str, parts: int) -> DataFrame:
-    """First and last rank of every distinct value of the chosen slices.
-
-    Slices of a very large table are cut once more, so that no task orders a whole slice.
-    """
-    within = [key, "_s"]
-    if parts > 1:
-        shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-        finer = counts.groupBy(*within).agg(F.percentile_approx("_v", shares, F.lit(SKETCH_ACCURACY)).alias("_finer"))
-        counts = counts.join(finer, within).withColumn(
-            "_part", F.size(F.filter("_finer", lambda cut: cut < F.col("_v")))).drop("_finer")
-        earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        starts = counts.groupBy(*within, "_part").agg(F.sum("_m").alias("_sum")).select(
-            *within, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_skip"))
-        within = [*within, "_part"]
-        counts = counts.join(starts, within).withColumn("_before", F.col("_before") + F.col("_skip"))
-    upto = Window.partitionBy(*within).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("_end", F.col("_before") + F.sum("_m").over(upto)).withColumn("_start", F.col("_end") - F.col("_m"))
-
-
-def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple], by: str | None = None) -> DataFrame:
-    """Values at zero-based ranks of the non-missing rows, per group.
-
-    ``ranks`` holds ``(name, level, rank)``: an output name, the rough position between 0 and 1, and a function
-    from the row count to the exact rank. Groups are the few classes or years of a report; each may hold any
-    number of rows. Three passes: sketch and count, slice counts, ranks inside the chosen slices.
-    """
-    rows = df.select(*([by] if by else []), F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    key = by or "_all"
-    keyed = rows.where(F.col(by).isNotNull()) if by else rows.withColumn(key, F.lit(0))
-    value_type = df.schema[value].dataType.simpleString()
-    key_type = keyed.schema[key].dataType.simpleString()
-    spark = df.sparkSession
-
-    shares = sorted({
-        min(max(level + side * MARGIN, 0.0), 1.0) for _, level, _ in ranks for side in (-1, 1)
-    })
-    sketch = keyed.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", F.array(*map(F.lit, shares)), F.lit(SKETCH_ACCURACY)).alias("cuts"),
-    )
-    groups = {r[key]: (r["n"], r["cuts"]) for r in sketch.collect()}  # one small row per group
-    if not groups:
-        found = ", ".join(f"{name} {value_type}" for name, _, _ in ranks)
-        return spark.createDataFrame([], f"{key} {key_type}, n bigint, {found}" if by else f"n bigint, {found}")
-    positions = {g: [rank(n) for _, _, rank in ranks] for g, (n, _) in groups.items()}
-    if by:
-        cuts = F.broadcast(spark.createDataFrame(
-            [(g, c) for g, (_, c) in groups.items()], f"{key} {key_type}, _cuts array<{value_type}>"))
-        placed = keyed.join(cuts, key)
-    else:  # one group: its few numbers are literals, so there is nothing to join
-        placed = keyed.withColumn("_cuts", F.array(*map(F.lit, groups[0][1])))
-    placed = placed.withColumn("_s", _slice(F.col("_v"), F.col("_cuts"), len(shares))).drop("_cuts")
-    sizes: dict = {}
-    for r in placed.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_m")).collect():  # groups × few slices
-        sizes.setdefault(r[key], {})[r["_s"]] = r["_m"]
-
-    needed = []  # (group, slice, rows before the slice)
-    for g, per_slice in sizes.items():
-        before = 0
-        for s in sorted(per_slice):
-            after = before + per_slice[s]
-            if any(before <= p < after for p in positions[g]):
-                needed.append((g, s, before))
-            before = after
-    # Joined on the slice number, also for one group: a filter on it would be evaluated again for every cut point.
-    on, wide = ([key, "_s"], f"{key} {key_type}, ") if by else (["_s"], "")
-    targets = spark.createDataFrame([t if by else t[1:] for t in needed], f"{wide}_s int, _before bigint")
-    chosen = placed.join(F.broadcast(targets), on)
-    counts = chosen.groupBy(key, "_s", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
-    largest = max((sizes[g][s] for g, s, _ in needed), default=0)
-    ranked = _ranked_slices(counts, key, parts=1 if largest <= SMALL_GROUP else RANGE_PARTS)
-    if by:
-        wanted = F.broadcast(spark.createDataFrame(
-            [(g, groups[g][0], *p) for g, p in positions.items()],
-            f"{key} {key_type}, n bigint, " + ", ".join(f"_r{i} bigint" for i in range(len(ranks))),
-        ))
-        ranked = ranked.join(wanted, key)
-    else:
-        known = {"n": groups[0][0], **{f"_r{i}": r for i, r in enumerate(positions[0])}}
-        ranked = ranked.withColumns({name: F.lit(number).cast("bigint") for name, number in known.items()})
-    at = lambda i: (F.col("_start") <= F.col(f"_r{i}")) & (F.col(f"_r{i}") < F.col("_end"))
-    picked = ranked.groupBy(key).agg(
-        F.max("n").alias("n"),
-        *[F.max(F.when(at(i), F.col("_v"))).alias(name) for i, (name, _, _) in enumerate(ranks)],
-    )
-    return picked if by else picked.drop(key)
-
-
-def largest_group(df: DataFrame, value: str, by: str | None = None) -> int:
-    """Known values in the largest group, or in the table."""
-    sizes = (df.groupBy(by) if by else df).agg(F.count(value).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str | None = None,
-                    small: int = SMALL_GROUP) -> DataFrame:
-    """Linearly interpolated quantiles ``q0, q1, …`` per group, as double.
-
-    Groups whose counted size is small use the built-in percentile; otherwise order statistics are sliced.
+    Rows with equal order share a range, so orders that hold many equal rows should be counted first. A window without
+    keys sees one row per range only.
     """
-    known = df.where(F.col(value).isNotNull())
+    ranges = df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
+    dealt = cut_lineage(ranges)
+    sums = dealt.groupBy(*keys, "_part").agg(F.sum(measure).alias("_sum"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_skip"),
+                         F.sum("_sum").over(whole).alias("_total"))
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = dealt.join(starts, [*keys, "_part"])
+    return found.withColumn(
+        "_before", F.col("_skip") + F.coalesce(F.sum(measure).over(inside), F.lit(0))).drop("_part", "_skip")
+
+
+def order_statistics(df: DataFrame, value: str, ranks: Sequence[tuple[str, Callable[[Column], Column]]],
+                     by: str | None = None) -> DataFrame:
+    """Values at zero-based ranks of the non-missing rows, per group; ``ranks`` holds names and functions from the
+    row count to the rank. A table without rows has no statistics."""
+    keys = [by] if by else []
+    known = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     if by:
         known = known.where(F.col(by).isNotNull())
-    if largest_group(known, value, by) <= small:
-        array = F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, map(float, levels))))
-        found = (known.groupBy(by) if by else known).agg(F.count(F.lit(1)).alias("n"), array.alias("_q"))
-        return found.select(*([by] if by else []), "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(levels))])
+    counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    ranked = placed(counts, keys, [F.col("_v").asc()], "_m")
+    n = F.col("_total")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_m")), F.col("_v")))
+
+    picked = ranked.groupBy(*keys).agg(F.max(n).alias("n"), *[at(rank(n)).alias(name) for name, rank in ranks])
+    return picked.where(F.col("n").isNotNull())
+
+
+def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str | None = None) -> DataFrame:
+    """Linearly interpolated quantiles ``q0, q1, …`` per group, as double."""
     ranks = []
     for i, level in enumerate(levels):
-        ranks.append((f"_lo{i}", level, lambda n, q=level: math.floor((n - 1) * q)))
-        ranks.append((f"_hi{i}", level, lambda n, q=level: math.ceil((n - 1) * q)))
-    found = order_statistics(known, value, ranks, by)
+        ranks.append((f"_lo{i}", lambda n, q=float(level): F.floor((n - 1) * F.lit(q))))
+        ranks.append((f"_hi{i}", lambda n, q=float(level): F.ceil((n - 1) * F.lit(q))))
+    found = order_statistics(df, value, ranks, by)
 
     def interpolated(i: int, level: float) -> Column:
         low, high = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
@@ -150,43 +71,7 @@ def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], by: str
     return found.select(*([by] if by else []), "n", *[interpolated(i, level) for i, level in enumerate(levels)])
 
 
-def range_cuts(df: DataFrame, columns: Sequence[str], parts: int = RANGE_PARTS) -> tuple[int, dict[str, list[float]]]:
-    """Row count and, per column, cut points of ranges with similar row counts, in one pass."""
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[
-        F.percentile_approx(F.col(c).cast("double"), shares, F.lit(SKETCH_ACCURACY)).alias(f"_{i}") for i, c in enumerate(columns)
-    ]).first()
-    return row["_rows"], {c: sorted(set(row[f"_{i}"] or [])) for i, c in enumerate(columns)}
-
-
-def range_parts(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
-    """Add ``_part``: the range of a numeric column that a row falls into."""
-    if not cuts:
-        return df.withColumn("_part", F.lit(0.0))
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_number", outputCol="_part", handleInvalid="keep",
-    )
-    return bucketizer.transform(df.withColumn("_number", F.col(col).cast("double"))).drop("_number")
-
-
-def running_total(df: DataFrame, order: Sequence[Column], ranged_by: str, measure: str, name: str,
-                  descending: bool = False, cuts: Sequence[float] | None = None) -> DataFrame:
-    """Cumulative sum over a whole table in parallel: ranges, range offsets, then sums inside ranges.
-
-    ``ranged_by`` is the leading order column and holds distinct values, so that no range can grow by repetition.
-    The offsets table has one row per range.
-    """
-    if cuts is None:
-        cuts = range_cuts(df, [ranged_by])[1][ranged_by]
-    parted = range_parts(df, ranged_by, cuts)
-    first = F.col("_part").desc() if descending else F.col("_part").asc()
-    per_part = parted.groupBy("_part").agg(F.sum(measure).alias("_sum"))
-    before = per_part.withColumn(
-        "_before", F.sum("_sum").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1))
-    )
-    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        parted.join(F.broadcast(before.select("_part", "_before")), "_part")
-        .withColumn(name, F.coalesce("_before", F.lit(0)) + F.sum(measure).over(inside))
-        .drop("_part", "_before")
-    )
+def running_total(df: DataFrame, order: Sequence[Column], measure: str, name: str) -> DataFrame:
+    """Cumulative sum over a whole table in an order without equal rows."""
+    found = placed(df, [], order, measure)
+    return found.withColumn(name, F.col("_before") + F.coalesce(measure, F.lit(0))).drop("_before", "_total")

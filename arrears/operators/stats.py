@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
 from arrears.functions.semantics import present
-from arrears.operators.joins import left_spreading_nulls
-from arrears.operators.quantiles import exact_quantiles, order_statistics, range_cuts, running_total
+from arrears.operators.joins import left_join
+from arrears.operators.quantiles import exact_quantiles, order_statistics, placed
 from arrears.session import cut_lineage
 
 HOT_SHARE = 0.01
@@ -72,7 +72,7 @@ def winsor_limits(df: DataFrame, columns: Sequence[str], low: float = 0.05, high
     """Values at the cut ranks of every column, all columns in the same passes."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "coluna", "valor")
     found = order_statistics(long, "valor", [
-        ("baixo", low, lambda n: int(low * n)), ("alto", 1 - high, lambda n: n - int(high * n) - 1),
+        ("baixo", lambda n: F.floor(n * F.lit(low))), ("alto", lambda n: n - F.floor(n * F.lit(high)) - 1),
     ], by="coluna")
     return {r["coluna"]: (r["baixo"], r["alto"]) for r in found.collect()}  # two numbers per column
 
@@ -99,22 +99,27 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def average_ranks(df: DataFrame, col: str, cuts: Sequence[float] | None = None) -> DataFrame:
-    """Rank of each distinct value with ties averaged; equal values are one row before anything is ordered."""
-    counts = present(df, col).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counts, [F.col(col).asc()], col, "_n", "_end", cuts=cuts)
-    return placed.select(col, "_n", (F.col("_end") - F.col("_n") + (F.col("_n") + 1) / F.lit(2.0)).alias("_rank"))
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rank of each distinct value of each column, ties averaged: rows (coluna, valor, _n, _rank).
+
+    Equal values are one row before anything is ordered, and all columns are ranked in the same passes.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "coluna", "valor")
+    counts = present(long, "valor").groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("_n"))
+    found = placed(counts, ["coluna"], [F.col("valor").asc()], "_n")
+    return found.select("coluna", "valor", "_n", (F.col("_before") + (F.col("_n") + 1) / F.lit(2.0)).alias("_rank"))
 
 
 def with_ranks(df: DataFrame, ranks: DataFrame, col: str, rows: int, name: str) -> DataFrame:
     """Attach the rank of each value. Values that fill more than 1 % of the rows, at most a hundred, come from a
     broadcast table; the join on the others therefore has no hot key."""
     is_hot = F.col("_n") > HOT_SHARE * rows
-    hot = ranks.where(is_hot).select(F.col(col).alias("_hot"), F.col("_rank").alias("_hot_rank"))
-    cold = ranks.where(~is_hot).select(F.col(col).alias("_cold"), F.col("_rank").alias("_cold_rank"))
-    marked = df.join(F.broadcast(hot), F.col(col) == F.col("_hot"), "left")
-    keyed = marked.withColumn("_cold", F.when(F.col("_hot").isNull(), F.col(col)))
-    joined = left_spreading_nulls(keyed, cold, ["_cold"])
+    hot = ranks.where(is_hot).select(F.col("valor").alias("_hot"), F.col("_rank").alias("_hot_rank"))
+    cold = ranks.where(~is_hot).select(F.col("valor").alias("_cold"), F.col("_rank").alias("_cold_rank"))
+    number = F.col(col).cast("double")
+    marked = df.join(F.broadcast(hot), number == F.col("_hot"), "left")
+    keyed = marked.withColumn("_cold", F.when(F.col("_hot").isNull(), number))
+    joined = left_join(keyed, cold, ["_cold"])
     return joined.withColumn(name, F.coalesce("_hot_rank", "_cold_rank")).drop("_hot", "_hot_rank", "_cold", "_cold_rank")
 
 
@@ -124,10 +129,11 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The complete rows are written once, because every column ranks them again.
     """
     base = cut_lineage(present(df.select(*columns), *columns))
-    rows, cuts = range_cuts(base, columns)
+    rows = base.count()
+    ranks = cut_lineage(average_ranks(base, columns))
     ranked = base
     for c in columns:
-        ranked = with_ranks(ranked, average_ranks(base, c, cuts[c]), c, rows, f"_r_{c}")
+        ranked = with_ranks(ranked, ranks.where(F.col("coluna") == c), c, rows, f"_r_{c}")
     return pearson(ranked.select(*[F.col(f"_r_{c}").alias(c) for c in columns]), columns)
 
 

@@ -1,7 +1,7 @@
 """Histories by year, cumulative shares, top groups and hashed samples.
 
 Windows run only over yearly or per-group aggregates, whose partitions have one row per year; anything that grows
-with the bills is aggregated first or summed over ranges.
+with the bills or the groups is summed over ranges.
 """
 
 from __future__ import annotations
@@ -13,10 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from arrears.functions.semantics import differs, percent, present, ratio
-from arrears.operators.quantiles import running_total
-from arrears.session import cut_lineage
-
-HASH_SPACE = 2**40
+from arrears.operators.quantiles import placed
 
 
 def history_window(entity: str, year: str, frame: tuple[int, int] | None = None):
@@ -58,10 +55,7 @@ def moving_average(df: DataFrame, group: str, year: str, value: str, name: str,
 def pareto(df: DataFrame, group: str, measure: str) -> DataFrame:
     """Groups by falling total with the cumulative percentage of the grand total."""
     per_group = present(df, group).groupBy(group).agg(F.sum(measure).alias(measure))
-    total = per_group.agg(F.sum(measure)).scalar()
-    window = Window.orderBy(F.col(measure).desc(), F.col(group)).rowsBetween(Window.unboundedPreceding, 0)
-    return per_group.withColumn("acumulado", F.sum(measure).over(window)).withColumn(
-        "porcentagem_acumulada", percent("acumulado", total))
+    return with_percentage(per_group, [F.col(measure).desc(), F.col(group).asc()], measure)
 
 
 def pareto_curve(df: DataFrame, measure: str) -> DataFrame:
@@ -70,11 +64,15 @@ def pareto_curve(df: DataFrame, measure: str) -> DataFrame:
     Rows with the same amount are one point of the curve, so a third of all bills at 0 is one row here; the
     cumulative sum then runs range by range. The points are written once, because cuts, offsets and sums read them.
     """
-    per_value = cut_lineage(present(df, measure).groupBy(measure).agg(
-        F.count(F.lit(1)).alias("linhas"), F.sum(measure).alias("soma")))
-    total = per_value.agg(F.sum("soma")).scalar()
-    summed = running_total(per_value, [F.col(measure).desc()], measure, "soma", "acumulado", descending=True)
-    return summed.withColumn("porcentagem_acumulada", percent("acumulado", total))
+    per_value = present(df, measure).groupBy(measure).agg(F.count(F.lit(1)).alias("linhas"), F.sum(measure).alias("soma"))
+    return with_percentage(per_value, [F.col(measure).desc()], "soma")
+
+
+def with_percentage(df: DataFrame, order: Sequence[Column], measure: str) -> DataFrame:
+    """Cumulative sum in an order, and its percentage of the whole."""
+    found = placed(df, [], order, measure)
+    summed = found.withColumn("acumulado", F.col("_before") + F.coalesce(measure, F.lit(0)))
+    return summed.withColumn("porcentagem_acumulada", percent("acumulado", "_total")).drop("_before", "_total")
 
 
 def year_over_year(df: DataFrame, group: str, year: str, value: str, name: str = "diferenca") -> DataFrame:
@@ -116,25 +114,19 @@ def head(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def hashed(key: Sequence[str], seed: int) -> Column:
+    """Text hash of a key and a seed, the same in every engine that knows md5."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
+
+
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """n rows picked by the hash of their key and a seed: repeatable under any partitioning.
 
-    A hash limit first keeps little more than n rows of a large table, so the final top-n merges few candidates.
-    It only widens until enough rows pass; the rows picked are the same with or without it.
+    Each task keeps its own n candidates only.
     """
-    place = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(HASH_SPACE))
-    placed = df.withColumn("_place", place)
-    total = df.count()
-    share = (n + 6 * n**0.5 + 16) / max(total, 1)
-    candidates = placed
-    while share < 0.5:
-        candidates = placed.where(F.col("_place") < int(share * HASH_SPACE))
-        if candidates.count() >= n:
-            break
-        candidates, share = placed, share * 2
-    return candidates.orderBy("_place", *key).limit(n).drop("_place")
+    return df.withColumn("_place", hashed(key, seed)).orderBy("_place", *key).limit(n).drop("_place")
 
 
 def in_training_share(key: Sequence[str], seed: int, share: int = 7, of: int = 10) -> Column:
     """True for a repeatable share of the keys."""
-    return F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(of)) < share
+    return F.conv(F.substring(hashed(key, seed), 1, 8), 16, 10).cast("bigint") % of < share

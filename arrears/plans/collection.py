@@ -9,7 +9,7 @@ from arrears.functions import fixed_values as fv
 from arrears.functions.bands import band_frequency, label_table
 from arrears.functions.ratings import collection_action
 from arrears.functions.semantics import capped, differs, present, ratio, round_even
-from arrears.operators.joins import left_spreading_nulls
+from arrears.operators.joins import left_join
 from arrears.operators.aggregates import crosstab, share_of_total
 
 FULL_KEY = ["cda", "tipo_divida", "id_pessoa", "da_aberto"]
@@ -50,7 +50,7 @@ def collection_lists(rated: DataFrame, base: DataFrame, taxpayers: DataFrame) ->
                               "cpf_cnpj_existe", "endereco_existe"] if c in base.columns]
     joined = present(candidates, *FULL_KEY).join(clear.select(*FULL_KEY, *attributes), FULL_KEY)
     invoices = taxpayers.where(F.col("da_aberto") == 1).select("id_pessoa", "tipo_divida", "qtd_notas_2anos")
-    complete = left_spreading_nulls(joined, invoices, ["id_pessoa", "tipo_divida"])
+    complete = left_join(joined, invoices, ["id_pessoa", "tipo_divida"])
     listed = [c for c in fv.COLLECTION_COLUMNS if c in complete.columns]
     return complete.select("tipo_divida", "acao", *listed)
 

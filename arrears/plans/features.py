@@ -12,7 +12,7 @@ from arrears.functions.semantics import (
 )
 from arrears.operators.cleaning import fill_everything, fill_nulls, typed_key, union_all
 from arrears.operators.extract import with_date
-from arrears.operators.joins import left_renamed, left_spreading_nulls
+from arrears.operators.joins import left_renamed, left_join
 from arrears.operators.quantiles import exact_quantiles
 from arrears.operators.windows import credit_recurrence, cumulative
 
@@ -212,7 +212,7 @@ def training_frame(debts: DataFrame, taxpayers: DataFrame, age_limit: int = fv.T
     people = fill_nulls(taxpayers.where(F.col("da_aberto") == 0).select(
         "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
         "situacao_cobranca", "class_contribuinte_peso"), {"quantidade_reparcelamento": 0})
-    return left_spreading_nulls(recent, people, ["id_pessoa", "tipo_divida"])
+    return left_join(recent, people, ["id_pessoa", "tipo_divida"])
 
 
 def first_debt_floor(taxpayers: DataFrame, good: str = "DEVEDOR BOM", level: float = 0.75) -> DataFrame:

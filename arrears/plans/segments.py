@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
 from arrears.functions.scalars import code_map
-from arrears.functions.semantics import capped, guarded, last_wins, present, ratio, round_even
+from arrears.functions.semantics import capped, guarded, last_wins, present, ratio
 from arrears.operators.stats import elbow
 from arrears.operators.windows import in_training_share
 from arrears.session import cut_lineage
@@ -176,8 +176,3 @@ def segment_taxpayers(taxpayers: DataFrame, training: DataFrame, columns: Sequen
         "inertia": float(model.summary.trainingCost), "centroids": centroids(model, columns),
         "weights": weights, "labelled": labelled,
     }
-
-
-def rounded_centroids(df: DataFrame, label: str, columns: Sequence[str], digits: int = 3) -> DataFrame:
-    """Mean of each feature per label."""
-    return df.groupBy(label).agg(*[round_even(F.avg(c), digits).alias(c) for c in columns])

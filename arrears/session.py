@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first two; the rest keep joins on hot keys and small stages in shape.
@@ -17,12 +15,15 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Checkpoints go when nothing refers to them any more; only a new session can be told so.
+BUILD_OPTIONS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app: str = "arrears", master: str | None = None, **options: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_OPTIONS, **options}.items():
+    for key, value in {**RUNTIME_OPTIONS, **BUILD_OPTIONS, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -35,13 +36,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only for local sessions without any."""
+    """The shared checkpoint folder that the session names; there is no substitute for it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        folder = tempfile.mkdtemp(prefix="arrears-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return folder
 
 

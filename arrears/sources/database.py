@@ -57,8 +57,11 @@ def scan_query(spark: SparkSession, connection: Connection, sql: str, slices: Sl
 
 
 def replace_table(df: DataFrame, connection: Connection, table: str, writers: int = 16, batch: int = 10_000) -> None:
-    """Replace a table's rows, keeping its definition; few writers, so the database is not flooded."""
+    """Replace a table's rows, keeping its definition; few writers, so the database is not flooded.
+
+    The rows are dealt to the writers by a shuffle, so what computes them keeps its own parallelism.
+    """
     (
-        df.coalesce(writers).write.format(connection.source).mode("overwrite")
+        df.repartition(writers).write.format(connection.source).mode("overwrite")
         .options(url=connection.url, dbtable=table, truncate="true", batchsize=str(batch), **connection.properties).save()
     )

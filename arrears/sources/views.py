@@ -6,7 +6,6 @@ Each view is plain SQL; ``{orders}`` and the like name a base table, other views
 from __future__ import annotations
 
 import re
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +14,6 @@ BASE_TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-FEW_SPLITS = 8
-
 TIME_KEY = "extract(year FROM {0})*10000 + extract(month FROM {0})*100 + extract(day FROM {0})"
 
 VIEWS: dict[str, str] = {
@@ -165,17 +162,9 @@ class Source:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @cached_property
-    def _lines(self) -> DataFrame:
-        """The bill lines. A table of a few splits would run every later step in those few tasks, so it is spread;
-        a table of ``FEW_SPLITS`` or more is left as it is scanned."""
-        lines = self.table("lineitem")
-        wanted = min(self.spark.sparkContext.defaultParallelism, FEW_SPLITS)
-        return lines.repartition(wanted) if lines.rdd.getNumPartitions() < wanted else lines
-
     def view(self, name: str) -> DataFrame:
         text = with_views(f"SELECT * FROM {name}", {t: "{" + t + "}" for t in BASE_TABLES})
-        frames = {t: self._lines if t == "lineitem" else self.table(t) for t in BASE_TABLES if "{" + t + "}" in text}
+        frames = {t: self.table(t) for t in BASE_TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **frames)
 
     def __getattr__(self, name: str) -> DataFrame:

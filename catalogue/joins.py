@@ -19,7 +19,7 @@ SELECT d.dam, d.id_contribuinte, d.ano_fato_gerador, h.hist_valor_total, h.reco_
 FROM v_dam d LEFT JOIN v_hist h ON h.id_contribuinte = d.id_contribuinte AND h.ano = d.ano_fato_gerador""")
 def join_left(src):
     history = src.hist.withColumnRenamed("ano", "ano_fato_gerador")
-    return J.left_spreading_nulls(src.dam, history, ["id_contribuinte", "ano_fato_gerador"])
+    return J.left_join(src.dam, history, ["id_contribuinte", "ano_fato_gerador"])
 
 
 @query("join_left_renamed", "dam:long id_contribuinte:long qtd_notas_2anos:long", """

@@ -24,7 +24,7 @@ def test_missing_keys_do_not_join_by_default(spark):
     left = spark.createDataFrame([(1, "a"), (None, "b")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (None, "y")], "k int, r string")
     assert rows(J.inner(left, right, ["k"]), "k") == [(1, "a", "x")]
-    joined = {r["l"]: r["r"] for r in J.left_spreading_nulls(left, right, ["k"]).collect()}
+    joined = {r["l"]: r["r"] for r in J.left_join(left, right, ["k"]).collect()}
     assert joined == {"a": "x", "b": None}
     matched = {(r["l"], r["r"]) for r in J.full_matching_nulls(left, right, "k").collect()}
     assert matched == {("a", "x"), ("b", "y")}

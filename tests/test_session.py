@@ -23,9 +23,9 @@ def test_cluster_without_a_folder_is_refused():
         checkpoint_folder(fake(None, "spark://host:7077")[0])
 
 
-def test_local_session_gets_one_temporary_folder():
-    spark, chosen = fake(None, "local[2]")
-    assert checkpoint_folder(spark) == checkpoint_folder(spark) == chosen[0]
+def test_local_session_without_a_folder_is_refused():
+    with pytest.raises(ValueError):
+        checkpoint_folder(fake(None, "local[2]")[0])
 
 
 def test_checkpoint_keeps_rows_and_cuts_the_plan(spark):
