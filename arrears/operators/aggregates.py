@@ -112,9 +112,16 @@ def describe_text(df: DataFrame) -> DataFrame:
     )
 
 
+def listed(column: str, values: Sequence) -> Column:
+    """A pivot column whose values must be in the list: a value that is not fails the job instead of vanishing."""
+    unlisted = F.raise_error(F.concat(F.lit(f"{column} has a value without a column: "), F.col(column).cast("string")))
+    return F.when(F.col(column).isNull() | F.col(column).isin(list(values)), F.col(column)).otherwise(unlisted)
+
+
 def pivot_distinct(df: DataFrame, row: str, column: str, entity: str, values: Sequence) -> DataFrame:
     """Distinct entities per row and column value, 0 where there are none, with the row total."""
-    counted = present(df, row, column).groupBy(row, column).agg(F.count_distinct(entity).alias("_n"))
+    counted = present(df, row, column).withColumn(column, listed(column, values)).groupBy(row, column).agg(
+        F.count_distinct(entity).alias("_n"))
     wide = counted.groupBy(row).pivot(column, list(values)).agg(F.first("_n")).fillna(0)
     return wide.withColumn("total", sum(F.col(str(v)) for v in values))
 
@@ -125,12 +132,14 @@ def column_totals(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def pivot_sum(df: DataFrame, row: str, column: str, measure: str, values: Sequence, prefix: str = "") -> DataFrame:
-    wide = present(df, row).groupBy(row).pivot(column, list(values)).agg(F.sum(measure)).fillna(0)
+    known = present(df, row).withColumn(column, listed(column, values))
+    wide = known.groupBy(row).pivot(column, list(values)).agg(F.sum(measure)).fillna(0)
     return wide.withColumnsRenamed({str(v): f"{prefix}{v}" for v in values})
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    wide = present(df, row, column).groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
+    known = present(df, row, column).withColumn(column, listed(column, values))
+    wide = known.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
     return wide.fillna(0)
 
 

@@ -11,6 +11,12 @@ from arrears.operators.quantiles import exact_quantiles
 from catalogue.cleaning import SIZE_SQL
 from catalogue.registry import query
 
+BILL_COLUMNS = [
+    "dam", "id_imovel", "id_contribuinte", "ano_fato_gerador", "vlr_total_dam", "vlr_pago", "vlr_aberto",
+    "tipo_propriedade", "natureza_imovel", "area_construida", "idade_imovel", "qtd_pavimentos", "bairro", "regiao", "rpa",
+    "tipo_contribuinte", "data_ultimo_pagamento", "atualizacao_cadastro",
+]
+BILL_TEXTS = ["tipo_propriedade", "natureza_imovel", "bairro", "regiao", "tipo_contribuinte", "atualizacao_cadastro"]
 KINDS = ["APARTAMENTO", "CASA", "LOJA", "SALA", "GALPAO"]
 YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 
@@ -52,12 +58,22 @@ def table_totals(src):
     return A.table_totals(src.dam, "vlr_total_dam").withColumn("desvio", trunc6("desvio"))
 
 
-@query("pct_opportunity", "ano_fato_gerador:long vlr_pago_total:double vlr_aberto_total:double vlr_total_dam:double percentual_pago:double oportunidade:double", """
+OPPORTUNITY_SHAPE = ("ano_fato_gerador:long vlr_pago_total:double vlr_aberto_total:double vlr_total_dam:double "
+                     "percentual_pago:double oportunidade:double")
+OPPORTUNITY_SQL = """
 SELECT *, percentual_pago*CAST(vlr_aberto_total AS DOUBLE)/100 AS oportunidade FROM (
   SELECT ano_fato_gerador, sum(vlr_pago) AS vlr_pago_total, sum(vlr_aberto) AS vlr_aberto_total, sum(vlr_total_dam) AS vlr_total_dam,
     CAST(sum(vlr_pago) AS DOUBLE)/CAST(sum(vlr_pago) + sum(vlr_aberto) AS DOUBLE)*100 AS percentual_pago
-  FROM v_dam WHERE trim(bairro) = 'NATION_7' GROUP BY 1) t""")
+  FROM v_dam WHERE {} GROUP BY 1) t"""
+
+
+@query("pct_opportunity", OPPORTUNITY_SHAPE, OPPORTUNITY_SQL.format("true"))
 def pct_opportunity(src):
+    return A.paid_share_and_opportunity(src.dam, "ano_fato_gerador")
+
+
+@query("pct_opportunity_neighbourhood", OPPORTUNITY_SHAPE, OPPORTUNITY_SQL.format("trim(bairro) = 'NATION_7'"))
+def pct_opportunity_neighbourhood(src):
     return A.paid_share_and_opportunity(src.dam.where(S.trimmed_equals("bairro", "NATION_7")), "ano_fato_gerador")
 
 
@@ -115,9 +131,9 @@ def describe_by_group(src):
 @query("describe_text", "coluna:string count:long unicos:long top:string freq:long", " UNION ALL ".join(f"""
 SELECT * FROM (SELECT '{c}' AS coluna, (SELECT count({c}) FROM v_dam) AS count, (SELECT count(DISTINCT {c}) FROM v_dam) AS unicos,
   {c} AS top, count(*) AS freq FROM v_dam WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY freq DESC, top LIMIT 1)"""
-    for c in ["tipo_propriedade", "bairro", "tipo_contribuinte"]))
+    for c in BILL_TEXTS))
 def describe_text(src):
-    return A.describe_text(src.dam.select("dam", "tipo_propriedade", "bairro", "tipo_contribuinte"))
+    return A.describe_text(src.dam)
 
 
 SIZE_PIVOT_SQL = f"""
@@ -169,13 +185,10 @@ def crosstab(src):
     return A.crosstab(src.dam, "regiao", "tipo_propriedade", KINDS)
 
 
-COUNTED = ["dam", "id_imovel", "id_contribuinte", "ano_fato_gerador", "tipo_propriedade", "bairro", "area_construida"]
-
-
 @query("distinct_per_column", "coluna:string distintos:long",
-       " UNION ALL ".join(f"SELECT '{c}' AS coluna, count(DISTINCT {c}) AS distintos FROM v_dam" for c in COUNTED))
+       " UNION ALL ".join(f"SELECT '{c}' AS coluna, count(DISTINCT {c}) AS distintos FROM v_dam" for c in BILL_COLUMNS))
 def distinct_per_column(src):
-    return A.distinct_per_column(src.dam.select(*COUNTED))
+    return A.distinct_per_column(src.dam)
 
 
 @query("argmax_row", "bairro:string maior:double tipo_propriedade:string dam:long", """

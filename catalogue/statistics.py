@@ -9,6 +9,7 @@ from arrears.operators import aggregates as A
 from arrears.operators import quality as Q
 from arrears.operators import stats as S
 from catalogue.aggregates import band_frequency_sql
+from catalogue.aggregates import BILL_COLUMNS
 from catalogue.registry import query
 from catalogue.windows import YEAR_SHARE_SQL, neighbourhood_years
 
@@ -27,9 +28,9 @@ def sql6(expression: str, name: str) -> str:
 @query("null_profile", "coluna:string nulos:long total:long percentual:double", " UNION ALL ".join(f"""
 SELECT '{c}' AS coluna, sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS nulos, count(*) AS total,
   CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE)/CAST(count(*) AS DOUBLE)*100 AS percentual FROM v_dam"""
-    for c in ["dam", "id_contribuinte", "tipo_propriedade", "atualizacao_cadastro", "data_ultimo_pagamento", "bairro"]))
+    for c in BILL_COLUMNS))
 def null_profile(src):
-    return Q.null_profile(src.dam.select("dam", "id_contribuinte", "tipo_propriedade", "atualizacao_cadastro", "data_ultimo_pagamento", "bairro"))
+    return Q.null_profile(src.dam)
 
 
 def _register_null_subset(name: str, by: str, kind: str):

@@ -7,6 +7,7 @@ from arrears.functions.bands import label_table
 from arrears.functions.semantics import ascending, descending, keep_first, round_even
 from arrears.operators import aggregates as A
 from arrears.operators import windows as W
+from arrears.operators.aggregates import listed
 from catalogue.registry import query
 
 YEAR_SHARE_SQL = """y AS (SELECT bairro, ano_fato_gerador AS ano,
@@ -117,7 +118,7 @@ FROM y JOIN t ON t.bairro = y.bairro GROUP BY 1""")
 def top20_matrix(src):
     top = W.top_groups(src.dam, "bairro", F.sum("vlr_aberto"), 20)
     years = neighbourhood_years(src).join(top, "bairro", "left_semi")
-    wide = years.groupBy("bairro").pivot("ano", TOP_YEARS).agg(F.first("pct"))
+    wide = years.withColumn("ano", listed("ano", TOP_YEARS)).groupBy("bairro").pivot("ano", TOP_YEARS).agg(F.first("pct"))
     return wide.withColumnsRenamed({str(y): f"ano_{y}" for y in TOP_YEARS})
 
 
