@@ -126,8 +126,9 @@ def judge(pages: DataFrame, url_column: str = "url", rules: tuple[Rule, ...] = R
     asked = sets.select("set", F.explode("set").alias("token"))
     met = asked.join(mined, asked["token"] == mined["rarest"]).where(
         F.size(F.array_except("tokens", "set")) == 0)
-    decided = met.groupBy("set").agg(F.max_by("verdict", F.struct(
-        "confidence", "support", F.size("tokens"), "verdict")).alias(strongest))
+    # Written, so that the join below reads both sides from exchanges of its own and a hot set can be split.
+    decided = settle(met.groupBy("set").agg(F.max_by("verdict", F.struct(
+        "confidence", "support", F.size("tokens"), "verdict")).alias(strongest)))
     joined = read.join(decided, read[tokens] == decided["set"], "left")
     return joined.select(
         *pages.columns, host, path, F.col(found)["name"].alias(rule),
