@@ -131,5 +131,5 @@ def judge(pages: DataFrame, url_column: str = "url", rules: tuple[Rule, ...] = R
         "confidence", "support", F.size("tokens"), "verdict")).alias(strongest)))
     joined = read.join(decided, read[tokens] == decided["set"], "left")
     return joined.select(
-        *pages.columns, host, path, F.col(found)["name"].alias(rule),
-        F.coalesce(F.col(found)["verdict"], F.col(strongest), F.lit(ALLOW)).alias(verdict))
+        *[read[c] for c in pages.columns], read[host], read[path], read[found]["name"].alias(rule),
+        F.coalesce(read[found]["verdict"], decided[strongest], F.lit(ALLOW)).alias(verdict))

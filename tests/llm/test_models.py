@@ -1,0 +1,274 @@
+"""Toxicity, vector search, licences and URL rules: held-out accuracy, brute force, and odd rows."""
+
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from arrears.llm import hnsw, license, toxicity, urls
+from tests.llm.helpers import Components, clashing, corpus, frame, prose
+
+RUDE = ["blockhead", "nitwit", "stinker", "ratface"]
+
+
+def toxic_corpus(size=900, seed=3):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(size):
+        words = prose(rng, rng.randint(10, 120)).split()
+        toxic = i % 6 == 0
+        if toxic:
+            for _ in range(rng.randint(1, 5)):
+                words.insert(rng.randrange(len(words)), rng.choice(RUDE))
+        rows.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def brute_marginals(evidence, chain):
+    """Sum over all label sequences."""
+    n = len(evidence)
+    mass = np.zeros(n)
+    pairs = np.zeros((2, 2))
+    whole = 0.0
+    for labels in itertools.product((0, 1), repeat=n):
+        w = math.exp(sum(e for e, y in zip(evidence, labels) if y) + sum(chain[a, b] for a, b in zip(labels, labels[1:])))
+        whole += w
+        mass += w * np.array(labels)
+        for a, b in zip(labels, labels[1:]):
+            pairs[a, b] += w
+    return mass / whole, pairs / whole
+
+
+def test_marginals_against_all_label_sequences():
+    rng = np.random.default_rng(0)
+    sizes = np.array([3, 0, 7, 1, 5])
+    chain = rng.normal(size=(2, 2))
+    evidence = rng.normal(size=sizes.sum()) * 2
+    chance, counts = toxicity.Chains(sizes).marginals(evidence, chain, pairs=True)
+    expected, pairs = [], np.zeros((2, 2))
+    for end, size in zip(np.cumsum(sizes), sizes):
+        if size:
+            m, p = brute_marginals(evidence[end - size:end], chain)
+            expected += list(m)
+            pairs += p
+    assert chance == pytest.approx(expected) and counts == pytest.approx(pairs)
+
+
+def test_held_out_documents(spark):
+    rows, labels = toxic_corpus()
+    docs = frame(spark, rows)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    field = toxicity.train(spark, docs, table)
+    judged = docs.withColumn("j", toxicity.judge(spark, F.col("text"), field)).withColumn(
+        "held", toxicity.held_out(F.col("doc_id"))).where("held").collect()
+    truth = {i: t for i, _, t in labels}
+    right = sum((r["j"]["score"] >= toxicity.REJECT) == (truth[r["doc_id"]] == 1) for r in judged)
+    assert right / len(judged) > 0.97
+    for r in judged:
+        words = [r["text"][s["start"]:s["end"]] for s in r["j"]["spans"]]
+        found = [w for span in words for w in span.split()]
+        if truth[r["doc_id"]]:
+            assert len(set(found) & set(RUDE)) == len(set(re.findall(r"\w+", r["text"])) & set(RUDE))
+
+
+def test_held_out_labels_are_not_learnt(spark):
+    rows, labels = toxic_corpus(300)
+    docs = frame(spark, rows)
+    held = {r["doc_id"] for r in docs.where(toxicity.held_out(F.col("doc_id"))).collect()}
+    flipped = [(i, q, 1 - t if i in held else t) for i, q, t in labels]
+    schema = "doc_id long, quality int, toxic int"
+    a, b = (toxicity.train(spark, docs, spark.createDataFrame(x, schema)) for x in (labels, flipped))
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.score_weights, b.score_weights)
+
+
+def test_odd_texts_and_labels(spark):
+    rows, labels = toxic_corpus(300)
+    table = spark.createDataFrame(labels + [(0, 1, None), (1, 0, None), (None, 1, 1), (3, 1, 1), (3, 1, 0)],
+                                  "doc_id long, quality int, toxic int")
+    field = toxicity.train(spark, frame(spark, rows), table)
+    docs = clashing(frame(spark, corpus() + [(900, "İİİ blockhead ßΣ nitwit", "en", "s", 0)]), "judged", "score")
+    out = docs.withColumn("j", toxicity.judge(spark, F.col("text"), field)).collect()
+    assert len(out) == len(corpus()) + 1 and all(0 <= r["j"]["score"] <= 1 for r in out)
+    empty = {r["j"]["score"] for r in out if not (r["text"] or "").strip()}
+    assert len(empty) == 1
+    grown = next(r for r in out if r["doc_id"] == 900)
+    assert [grown["text"][s["start"]:s["end"]] for s in grown["j"]["spans"]] == ["blockhead", "nitwit"]
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 1, 0)]])
+def test_without_labels_of_both_kinds(spark, labels):
+    docs = frame(spark, corpus(size=10))
+    field = toxicity.train(spark, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scores = docs.select(toxicity.judge(spark, F.col("text"), field)["score"]).distinct().collect()
+    assert [r[0] for r in scores] == [0.0]
+    assert frame(spark, []).select(toxicity.judge(spark, F.col("text"), field)).count() == 0
+
+
+def vectors(seed=4):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for label in (0, 1, 2):
+        for _ in range(120):
+            centre = rng.normal(size=12)
+            for _ in range(rng.integers(1, 5)):
+                rows.append([len(rows), (centre + rng.normal(size=12) * rng.choice([0.02, 0.25])).astype(np.float32), label])
+    big = rng.normal(size=12)
+    rows += [[1000 + i, (big + rng.normal(size=12) * 0.05).astype(np.float32), 1] for i in range(150)]
+    rows += [[1200 + i, rows[0][1], 0] for i in range(40)] + [[1300, rows[0][1], 2]]
+    out = [(int(i), [float(x) for x in v], int(l)) for i, v, l in rows]
+    out += [(2000, None, 1), (2001, [], 1), (2002, [0.0] * 12, 1), (2003, [float("nan")] * 12, 1), (2004, [float("inf")] + [1.0] * 11, 1),
+            (2005, [None] + [1.0] * 11, 1), (2006, out[0][1], None), (None, out[0][1], 0), (2007, [1.0, 2.0], 0), out[5], out[5]]
+    return out
+
+
+def brute_links(rows, limit=0.93):
+    usable = {}
+    for i, v, label in rows:
+        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            usable[i] = (label, np.array(np.float32(v), float))
+    parts, links = Components(), {}
+    items = sorted(usable.items())
+    for i, (label, v) in items:
+        parts.find(i)
+        links[i] = 0
+        for j, (other, w) in items:
+            if i != j and label == other and len(v) == len(w) and v @ w / (np.linalg.norm(v) * np.linalg.norm(w)) >= limit:
+                links[i] += 1
+                parts.join(i, j)
+    return sorted(((i, links.get(i, 0), parts.find(i) if i in usable else i) for i, *_ in rows), key=repr)
+
+
+@pytest.mark.parametrize("shard, block", [(hnsw.SHARD_ROWS, hnsw.BLOCK_ROWS), (60, 100)])
+def test_vectors(spark, shard, block):
+    rows = vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    found = hnsw.near_vectors(clashing(df, "id", "shard_", "n_links_"), shard_rows=shard, block_rows=block)
+    found = sorted((tuple(r) for r in found.collect()), key=repr)
+    expected = brute_links(rows)
+    total = sum(n for _, n, _ in expected)
+    assert [r[0] for r in found] == [r[0] for r in expected]
+    assert all(a[1] <= b[1] for a, b in zip(found, expected))
+    assert sum(n for _, n, _ in found) >= 0.99 * total
+    assert sum(a[2] == b[2] for a, b in zip(found, expected)) >= 0.99 * len(rows)
+
+
+def test_no_vectors(spark):
+    assert hnsw.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_beam_is_widened_until_the_audit_passes():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 8))
+    graph = hnsw.Graph(x / np.linalg.norm(x, axis=1)[:, None], 7)
+    width = hnsw.audited_beam(graph, 0.8)
+    truth = graph.x @ graph.x.T >= 0.8
+    found = sum(truth[i, graph.within(q, 0.8, width)].sum() for i, q in enumerate(graph.x))
+    assert found / truth.sum() >= 0.97
+
+
+def test_licences(spark):
+    rng = random.Random(6)
+    apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [
+        ("a/LICENSE", apache), ("a/b/c/x.txt", prose(rng, 60)), ("a/b/y.txt", f"{prose(rng, 30)}\n# {gpl}\n{prose(rng, 20)}"),
+        ("a/b/LICENSE", gpl), ("a/b/c/d/e.txt", ""), ("q/x.txt", prose(rng, 40)), ("top.txt", prose(rng, 40)), (None, gpl),
+        (None, None), ("a/z.txt", None), ("a/z.txt", None), ("q/y.txt", "The licence of this is not known, see the apache museum."),
+        ("q/long.txt", prose(rng, 8000) + "\nReleased under the MIT License."),
+    ]
+    df = clashing(spark.createDataFrame(rows, "path string, text string"), "print", "FOLDER", "below", "part", "own", "held")
+    found = sorted(((r["path"], r["license"], r["license_origin"]) for r in license.scan(df).collect()), key=repr)
+    assert found == sorted([
+        ("a/LICENSE", "Apache-2.0", "own"), ("a/b/c/x.txt", "GPL-3.0", "inherited"), ("a/b/y.txt", "GPL-3.0", "own"),
+        ("a/b/LICENSE", "GPL-3.0", "own"), ("a/b/c/d/e.txt", "GPL-3.0", "inherited"), ("q/x.txt", None, None),
+        ("top.txt", None, None), (None, "GPL-3.0", "own"), (None, None, None), ("a/z.txt", "Apache-2.0", "inherited"),
+        ("a/z.txt", "Apache-2.0", "inherited"), ("q/y.txt", None, None), ("q/long.txt", "MIT", "own")], key=repr)
+    assert license.scan(df.limit(0)).count() == 0
+
+
+def test_licence_scores_against_plain_cosines(spark):
+    rng = random.Random(9)
+    lines = [t for _, t in license.TEMPLATES] + ["Licensed under the MIT License, see file", "GNU public version", "the mit license of apache"]
+    rows = [(str(i), prose(rng, 20) + "\n" + rng.choice(lines) + (" " + prose(rng, 2) if i % 3 == 0 else "")) for i in range(60)]
+    split = lambda text: re.findall(r"[^\W_]+", text.lower())
+    documents = [set(split(t)) for _, t in rows]
+    idf = lambda w: math.log((len(rows) + 1) / (sum(w in d for d in documents) + 1)) + 1
+    known = {w for _, t in license.TEMPLATES for w in split(t)}
+    rarest = math.log(len(rows) + 1) + 1
+
+    def vector(text):
+        out = {}
+        for w in split(text):
+            out[w] = out.get(w, 0) + (idf(w) if w in known else rarest)
+        return out
+
+    def cosine(a, b):
+        return sum(a[w] * b.get(w, 0) for w in a) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    expected = {}
+    for path, text in rows:
+        best = max((round(cosine(vector(part), vector(t)), 9), name) for part in [*text.split("\n"), text] if split(part)
+                   for name, t in license.TEMPLATES)
+        if best[0] >= license.COSINE:
+            expected[path] = best[0]
+    found = {r["path"]: round(r["license_score"], 9) for r in license.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+             if r["license"] is not None}
+    assert found == pytest.approx(expected)
+
+
+def brute_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.name)).name if fits else None
+
+
+def test_urls(spark):
+    rng = random.Random(2)
+    hosts = ["example.net", "WWW.Example.NET", "a.example.com", "example.com", "org", "x.org", "notnet", "a.fr.org", "É.net", "net"]
+    paths = ["", "/", "/en/1", "/de/2.html", "/fr/3?q=1&r=2", "/en", "?x", "#y", "/de/#a", "/DE/1", "/en/page.html?id=7"]
+    rows = [(i, f"{rng.choice(['http', 'https', ''])}://{rng.choice(hosts)}{rng.choice(paths)}") for i in range(400)]
+    rows += [(1000, None), (1001, ""), (1002, "no scheme"), (1003, "://"), (None, "http://net/"), rows[0], rows[0]]
+    df = clashing(spark.createDataFrame(rows, "page_id long, url string"), "found_rule", "URL_TOKENS", "set", "token", "tokens")
+    out = urls.judge(df).collect()
+    assert len(out) == len(rows)
+    verdicts = {}
+    for r in out:
+        assert (r["host"], r["path"], r["rule"]) == brute_rule(r["url"])
+        verdicts.setdefault(r["url"], set()).add(r["verdict"])
+        if r["rule"]:
+            assert r["verdict"] == next(x.verdict for x in urls.RULES if x.name == r["rule"])
+    assert all(len(v) == 1 for v in verdicts.values()) and verdicts[None] == {"allow"} and verdicts["no scheme"] == {"allow"}
+    assert urls.judge(df.limit(0)).count() == 0
+    assert {r["verdict"] for r in urls.judge(df.where("url = 'no scheme'")).collect()} == {"allow"}
+
+
+def test_mined_rules_against_all_combinations(spark):
+    rng = random.Random(5)
+    names = list("abcdef")
+    rows = []
+    for _ in range(300):
+        tokens = sorted(rng.sample(names, rng.randint(1, 4)))
+        bad = "a" in tokens and "b" in tokens or "c" in tokens and rng.random() < 0.97
+        rows.append((tokens, "block" if bad else "allow"))
+    found = {(frozenset(r["tokens"]), r["verdict"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in urls.mine(
+        spark.createDataFrame(rows, "tokens array<string>, verdict string"), support=0.02, confidence=0.9).collect()}
+    expected = {}
+    for size in range(1, 7):
+        for combination in map(frozenset, itertools.combinations(names, size)):
+            holding = [v for t, v in rows if combination <= set(t)]
+            closed = holding and not any(len([1 for t, _ in rows if combination | {x} <= set(t)]) == len(holding)
+                                         for x in set(names) - combination)
+            for verdict in ("block", "allow"):
+                n = holding.count(verdict)
+                if closed and n >= 0.02 * len(rows) and n / len(holding) >= 0.9:
+                    expected[combination, verdict] = (round(n / len(holding), 9), round(n / len(rows), 9))
+    assert found == expected and expected
