@@ -147,7 +147,15 @@ def code_map(src):
     return sized.withColumn("porte_numero", S.code_map("porte", fv.SIZE_NUMBERS))
 
 
-@query("money_text", "bairro:string aberto:string pago:string")
+def _brazilian(number: str) -> str:
+    """Two decimals, thousands apart by points, as text."""
+    return f"translate(format('{{:,.2f}}', CAST({number} AS DOUBLE)), ',.', '.,')"
+
+
+@query("money_text", "bairro:string aberto:string pago:string", f"""
+WITH b AS (SELECT bairro, sum(vlr_aberto) AS a, sum(vlr_pago) AS p FROM v_dam GROUP BY bairro)
+SELECT bairro, 'R$ ' || {_brazilian('a')} AS aberto,
+  {_brazilian('CAST(p AS DOUBLE) / CAST(a + p AS DOUBLE) * 100')} || '%' AS pago FROM b""")
 def money_text(src):
     return src.dam.groupBy("bairro").agg(F.sum("vlr_aberto").alias("a"), F.sum("vlr_pago").alias("p")).select(
         "bairro", S.money_text("a").alias("aberto"), S.percent_text(ratio("p", F.col("a") + F.col("p")) * 100).alias("pago"))
@@ -204,7 +212,13 @@ def land_rule(src):
     return sized.groupBy(S.land_size("tipo_propriedade", "porte").alias("tamanho")).agg(F.count(F.lit(1)).alias("dams"))
 
 
-@query("json_records", "ano:long id_contribuinte:long json:string")
+HISTORY_COLUMNS = ["ano", "id_contribuinte", "hist_valor_total", "hist_valor_pago", "num_imoveis", "pgt_cota_unica",
+                   "reco_inscricao", "reco_debito"]
+HISTORY_JSON = " || ',' || ".join(f"""'"{c}":' || CAST({c} AS VARCHAR)""" for c in HISTORY_COLUMNS)
+
+
+@query("json_records", "ano:long id_contribuinte:long json:string",
+       f"SELECT ano, id_contribuinte, '{{' || {HISTORY_JSON} || '}}' AS json FROM v_hist")
 def json_records(src):
     return C.json_records(src.hist, ["ano", "id_contribuinte"])
 

@@ -140,12 +140,26 @@ def domain_sort(src):
     return counted.join(label_table(src.spark, fv.SIZE_ORDER[:3], "tamanho_imovel"), "tamanho_imovel").orderBy("ordem")
 
 
-@query("sample_n", "dam:long id_imovel:long vlr_aberto:double")
+def hash_sql(*columns: str) -> str:
+    """The text hash of a key and the seed."""
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"md5(concat_ws('|', '{fv.SEED}', {parts}))"
+
+
+def training_sql(*columns: str) -> str:
+    """Whether a key belongs to the training share."""
+    return f"(CAST('0x' || substr({hash_sql(*columns)}, 1, 8) AS BIGINT) % 10 < 7)"
+
+
+@query("sample_n", "dam:long id_imovel:long vlr_aberto:double", f"""
+SELECT dam, id_imovel, vlr_aberto FROM v_dam ORDER BY {hash_sql('dam', 'id_imovel')}, dam, id_imovel LIMIT 1400""")
 def sample_n(src):
     return W.sample_rows(src.dam.select("dam", "id_imovel", "vlr_aberto"), ["dam", "id_imovel"], 1400, seed=fv.SEED)
 
 
-@query("hash_split", "parte:string linhas:long certificados:long")
+@query("hash_split", "parte:string linhas:long certificados:long", f"""
+SELECT CASE WHEN {training_sql('cda')} THEN 'treino' ELSE 'teste' END AS parte, count(*) AS linhas, count(DISTINCT cda) AS certificados
+FROM v_divida GROUP BY 1""")
 def hash_split(src):
     part = F.when(W.in_training_share(["cda"], fv.SEED), "treino").otherwise("teste")
     return src.divida.groupBy(part.alias("parte")).agg(
