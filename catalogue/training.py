@@ -1,70 +1,127 @@
-"""Model and store queries; models differ between libraries, so only row counts are compared."""
+"""Model and store queries.
 
+A trained model differs between libraries, so its query returns facts with a known answer: how many rows were held out,
+that every certificate is scored once, that the model beats the mean. What has a closed form is compared as it is.
+"""
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
 from arrears.functions.bands import band_crosstab, half_open_labels
-from arrears.plans import collection as K
+from arrears.functions.semantics import round_even
 from arrears.plans import features as P
 from arrears.plans import recovery as R
 from arrears.plans import segments as S
 from arrears.session import cut_lineage
 from arrears.sources import files
 from catalogue.registry import query
-from catalogue.stores import credit, debts_v1, store_v1, stock_with_features, taxpayers
+from catalogue.stores import (
+    CREDIT_CTE, PARCEL_CTE, STOCK_CTE, STORE_V1_CTE, credit, debts_v1, stock_with_features, store_v1, taxpayers,
+)
+from catalogue.windows import training_sql
 
-TREES, DEPTH = 20, 8
+TREES = 100  # as many as the surveyed models have
+BOOSTING_ROUNDS = 30  # see README: every round of the full 2,000 is a chain of jobs
 V1_CLUSTER_FEATURES = ["status_situacao", "historico_pagamento_em_qtd", "historico_pagamento_em_valor"]
+INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
+AGE = fv.TRAINING_AGE_LIMIT
+HELD_OUT_SQL = f"da_aberto = 0 AND idade_divida < {AGE} AND NOT {training_sql(*INDEX_KEY)}"
 
 
 def accessible(src):
     return P.accessibility(P.taxpayer_profile(src.divida, src.notas))
 
 
-def segmented(src):
+def segmented(src, **sizes):
     people = cut_lineage(accessible(src))
-    return S.segment_taxpayers(people, P.training_slice(people), P.CLUSTER_FEATURES, ["id_pessoa", "tipo_divida"], k=5, trees=TREES, depth=DEPTH)
+    return S.segment_taxpayers(people, P.training_slice(people), P.CLUSTER_FEATURES, ["id_pessoa", "tipo_divida"],
+                               **{"k": 5, "trees": TREES, **sizes})
 
 
 def index_frame(src):
-    people, _ = segmented(src)
-    return P.training_frame(P.debt_store(src.divida), P.first_debt_floor(cut_lineage(people)))
+    """Training frame with closed-form classes, so that regressors are looked at apart from the segmentation."""
+    return P.training_frame(P.debt_store(src.divida), P.first_debt_floor(taxpayers(src)))
 
 
-INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
+def facts(src, rows, schema):
+    return src.spark.createDataFrame(rows, schema)
+
+
+def beats_mean(metrics) -> int:
+    """The mean of the training target has a coefficient of determination of about 0."""
+    return int(metrics["r2"] > 0.01)
 
 
-@query("kmeans_sweep", "k:long inercia:double score:double k_ideal:long")
+def valid_error(mse) -> int:
+    """Shares lie between 0 and 1, so a squared error does too."""
+    return int(0 < mse < 1)
+
+
+@query("kmeans_sweep", "k:long pessoas:long nao_pior_que_k2:long cotovelo_no_intervalo:long", """
+SELECT k, (SELECT count(*) FROM (SELECT id_pessoa, tipo_divida FROM v_divida WHERE da_aberto = 0 GROUP BY 1, 2 HAVING count(DISTINCT cda) > 1) t)
+  AS pessoas, 1 AS nao_pior_que_k2, 1 AS cotovelo_no_intervalo FROM range(2, 16) AS sizes(k)""")
 def kmeans_sweep(src):
+    """Inertia of 2 to 15 clusters; more clusters never fit worse than two."""
     prepared = cut_lineage(S.assembled(P.training_slice(accessible(src)), P.CLUSTER_FEATURES))
-    curve = S.sweep(prepared, range(2, 11))
-    return curve.withColumn("k_ideal", F.lit(S.best_k(curve)))
+    curve = S.sweep(prepared, range(2, 16))
+    inertia = {r["k"]: r["inercia"] for r in curve.collect()}  # one row per k
+    people, inside = prepared.count(), int(S.best_k(curve) in inertia)
+    return facts(src, [(k, people, int(v <= inertia[2]), inside) for k, v in inertia.items()],
+                 "k int, pessoas bigint, nao_pior_que_k2 int, cotovelo_no_intervalo int")
 
 
-@query("silhouette", "label_cluster:long pessoas:long silhueta:double geral:double")
-def silhouette(src):
-    _, learned = segmented(src)
-    overall = S.silhouette(learned["labelled"])
-    rows = S.silhouette_rows(learned["labelled"], P.CLUSTER_FEATURES)
-    return rows.groupBy("label_cluster").agg(F.count(F.lit(1)).alias("pessoas"), F.avg("silhueta").alias("silhueta")).withColumn("geral", F.lit(overall))
+SILHOUETTE_SQL = """
+WITH p AS (SELECT cda, id_pessoa % 3 AS g, idade_divida::DOUBLE AS x, quantidade_reparcelamento::DOUBLE AS y FROM v_divida
+  WHERE da_aberto = 1),
+d AS (SELECT a.cda, a.g, b.g AS h, sum((a.x - b.x)**2 + (a.y - b.y)**2) AS total, count(*) AS n FROM p a CROSS JOIN p b GROUP BY 1, 2, 3),
+m AS (SELECT cda, g, max(CASE WHEN g = h AND n > 1 THEN total / (n - 1) END) AS own, min(CASE WHEN g <> h THEN total / n END) AS other
+  FROM d GROUP BY 1, 2),
+s AS (SELECT g, coalesce((other - own) / nullif(greatest(own, other), 0), 0) AS v FROM m)
+SELECT g AS label_cluster, count(*) AS pessoas, round_even(avg(v)*1e6, 0)/1e6 AS silhueta,
+  (SELECT round_even(avg(v)*1e6, 0)/1e6 FROM s) AS geral FROM s GROUP BY g"""
 
 
-@query("segment_classifier", "class_contribuinte_nome:string da_aberto:long pessoas:long acuracia:double")
+@query("silhouette", "label_cluster:long pessoas:long silhueta:double geral:double", SILHOUETTE_SQL)
+def silhouette(src):
+    """Silhouettes of closed-form labels, per row from cluster moments and over all rows from the evaluator."""
+    columns = ["idade_divida", "quantidade_reparcelamento"]
+    labelled = src.divida.where("da_aberto = 1").withColumn(S.CLUSTER, (F.col("id_pessoa") % 3).cast("int"))
+    labelled = cut_lineage(S.assembled(labelled.select(S.CLUSTER, *[F.col(c).cast("double").alias(c) for c in columns]), columns))
+    rows = S.silhouette_rows(labelled, columns).groupBy(S.CLUSTER).agg(
+        F.count(F.lit(1)).alias("pessoas"), round_even(F.avg("silhueta"), 6).alias("silhueta"))
+    return rows.withColumn("geral", round_even(F.lit(S.silhouette(labelled)), 6))
+
+
+@query("segment_classifier", "da_aberto:long pessoas:long classes_conhecidas:long pesos_por_classe:long acerta_mais_que_a_maioria:long", """
+SELECT da_aberto, count(*) AS pessoas, 1 AS classes_conhecidas, 1 AS pesos_por_classe, 1 AS acerta_mais_que_a_maioria
+FROM (SELECT DISTINCT id_pessoa, tipo_divida, da_aberto FROM v_divida) t GROUP BY 1""")
 def segment_classifier(src):
+    """Everyone is classified once, into the named classes, and the forest repeats the clusters."""
     people, learned = segmented(src)
-    return people.groupBy("class_contribuinte_nome", "da_aberto").agg(F.count(F.lit(1)).alias("pessoas")).withColumn("acuracia", F.lit(learned["accuracy"]))
+    largest = learned["labelled"].groupBy(S.CLUSTER).count().agg(F.max("count") / F.sum("count")).first()[0]
+    known = F.col("class_contribuinte_nome").isin(list(learned["names"].values()))
+    return people.groupBy("da_aberto").agg(
+        F.count(F.lit(1)).alias("pessoas"), F.bool_and(known).cast("int").alias("classes_conhecidas"),
+        F.bool_and(F.col("class_contribuinte_peso").isNotNull()).cast("int").alias("pesos_por_classe"),
+    ).withColumn("acerta_mais_que_a_maioria", F.lit(int(learned["accuracy"] > largest)))
 
 
-@query("class_weights", "class_contribuinte_nome:string class_contribuinte_peso:double")
+@query("class_weights", "class_contribuinte_nome:string lugar:long", " UNION ALL ".join(
+    f"SELECT '{name}' AS class_contribuinte_nome, {place} AS lugar" for place, name in enumerate(fv.WEIGHT_ORDER_V2, 1)))
 def class_weights(src):
-    return S.class_weights(taxpayers(src))
+    """Weights are handed out by rank in a fixed order of classes, the smallest first."""
+    weights = S.class_weights(taxpayers(src))
+    return weights.select("class_contribuinte_nome", F.row_number().over(  # one row per class
+        Window.partitionBy().orderBy("class_contribuinte_peso")).alias("lugar"))
 
 
-@query("igr_regressor", "n:long r2:double mse:double rmse:double ccc:double aceito:long")
+@query("igr_regressor", "n:long melhor_que_media:long erros_coerentes:long", f"""
+SELECT count(*) AS n, 1 AS melhor_que_media, 1 AS erros_coerentes FROM v_divida WHERE {HELD_OUT_SQL}""")
 def igr_regressor(src):
-    _, metrics, _ = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
-    row = [tuple(metrics[c] for c in ("n", "r2", "mse", "rmse", "ccc")) + (int(R.accept_regressor(metrics)),)]
-    return src.spark.createDataFrame(row, "n bigint, r2 double, mse double, rmse double, ccc double, aceito int")
+    _, m, _ = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
+    coherent = int(abs(m["rmse"] ** 2 - m["mse"]) < 1e-9 and -1 <= m["ccc"] <= 1)
+    return facts(src, [(m["n"], beats_mean(m), coherent)], "n bigint, melhor_que_media int, erros_coerentes int")
 
 
 CREDIT_FEATURES = ["area_construida", "reco_debito", "reco_credito", "num_imoveis", "hist_pagamento", "hist_lancado", "idade_imovel", "hist_cota_unica"]
@@ -74,72 +131,112 @@ def credit_frame(src):
     return P.year_slices(credit(src), 2001)["treino"].select("dam", "id_imovel", "percentual_pago", *[F.col(c).cast("double").alias(c) for c in CREDIT_FEATURES])
 
 
-@query("boosted_regressor", "n:long r2:double rmse:double ccc:double")
+@query("boosted_regressor", "n:long erro_valido:long", f"""
+WITH {CREDIT_CTE} SELECT count(*) AS n, 1 AS erro_valido FROM cs
+WHERE ano < 2001 AND NOT {training_sql('dam', 'id_imovel')}""")
 def boosted_regressor(src):
     frame = cut_lineage(credit_frame(src))
-    _, metrics, _ = R.train_index(frame, CREDIT_FEATURES, "percentual_pago", ["dam", "id_imovel"], R.boosted(trees=15, rate=0.1, depth=5))
-    return src.spark.createDataFrame([tuple(metrics[c] for c in ("n", "r2", "rmse", "ccc"))], "n bigint, r2 double, rmse double, ccc double")
+    _, m, _ = R.train_index(frame, CREDIT_FEATURES, "percentual_pago", ["dam", "id_imovel"], R.boosted(trees=BOOSTING_ROUNDS))
+    return facts(src, [(m["n"], valid_error(m["mse"]))], "n bigint, erro_valido int")
 
 
-@query("model_comparison", "escala:string modelo:string n:long r2:double mse:double rmse:double ccc:double")
+@query("model_comparison", "escala:string modelo:string n:long erro_valido:long melhor_que_media:long", f"""
+SELECT escala, modelo, (SELECT count(*) FROM v_divida WHERE {HELD_OUT_SQL}) AS n, 1 AS erro_valido,
+  CASE modelo WHEN 'media' THEN 0 WHEN 'floresta' THEN 1 END AS melhor_que_media
+FROM (VALUES ('standard'), ('robust'), ('minmax')) AS e(escala) CROSS JOIN (VALUES ('media'), ('floresta'), ('reforco')) AS m(modelo)""")
 def model_comparison(src):
-    return R.compare_models(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY, {"media": None, "floresta": R.forest(TREES, DEPTH)})
+    models = {"media": None, "floresta": R.forest(TREES), "reforco": R.boosted(trees=BOOSTING_ROUNDS)}
+    found = R.compare_models(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY, models)
+    better = F.when(F.col("modelo") != "reforco", (F.col("r2") > 0.01).cast("int"))  # few rounds at a low rate promise nothing
+    return found.select("escala", "modelo", "n", F.col("mse").between(0, 1).cast("int").alias("erro_valido"), better.alias("melhor_que_media"))
 
 
-@query("importances", "variavel:string importancia:double")
+@query("importances", "variavel:string entre_zero_e_um:long somam_um:long", " UNION ALL ".join(
+    f"SELECT '{c}' AS variavel, 1 AS entre_zero_e_um, 1 AS somam_um" for c in P.FEATURES_V2))
 def importances(src):
-    _, _, found = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
-    return src.spark.createDataFrame(found, "variavel string, importancia double")
+    _, _, found = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
+    whole = int(abs(sum(v for _, v in found) - 1) < 1e-6)
+    return facts(src, [(name, int(0 <= v <= 1), whole) for name, v in found], "variavel string, entre_zero_e_um int, somam_um int")
 
 
-def predicted_index(src):
-    frame = cut_lineage(index_frame(src))
-    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
-    return R.prediction(model, frame)
+def closed_form_predictions(src):
+    return src.resid.withColumnsRenamed({"y": P.TARGET, "y_predict": R.PREDICTION})
 
 
-@query("residuals", "cda:long percentual_pago_cda:double igr:double residuos:double")
+@query("residuals", "cda:long da_aberto:long percentual_pago_cda:double igr:double residuos:double", """
+SELECT cda, da_aberto, y AS percentual_pago_cda, y_predict AS igr, y - y_predict AS residuos FROM v_resid
+WHERE y_predict <> 0 AND y_predict <> 1""")
 def residuals(src):
-    return R.residuals(predicted_index(src), P.TARGET, INDEX_KEY)
+    return R.residuals(closed_form_predictions(src), P.TARGET, ["cda", "da_aberto"])
 
 
-@query("prediction_bands", "faixa_linha:string " + " ".join(f"c{i}:long" for i in range(len(fv.PAID_RATIO_EDGES) - 1)))
+PREDICTION_EDGES = fv.PAID_RATIO_EDGES
+PREDICTION_LABELS = half_open_labels(PREDICTION_EDGES)
+PREDICTION_SQL = f"""
+WITH edge AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{label}', {low}::DOUBLE, {high}::DOUBLE)" for i, (label, low, high) in enumerate(
+    zip(PREDICTION_LABELS, PREDICTION_EDGES, PREDICTION_EDGES[1:])))}) AS e(place, label, low, high)),
+pair AS (SELECT a.label AS truth, b.place AS guess FROM v_resid JOIN edge a ON y >= a.low AND y < a.high JOIN edge b ON y_predict >= b.low AND y_predict < b.high
+  WHERE da_aberto = 0)
+SELECT truth AS faixa_linha, {', '.join(f'count(*) FILTER (guess = {i}) AS c{i}' for i in range(len(PREDICTION_LABELS)))}
+FROM pair GROUP BY truth"""
+
+
+@query("prediction_bands", "faixa_linha:string " + " ".join(f"c{i}:long" for i in range(len(PREDICTION_LABELS))), PREDICTION_SQL)
 def prediction_bands(src):
-    wide = band_crosstab(predicted_index(src), P.TARGET, "igr", fv.PAID_RATIO_EDGES)
-    return wide.withColumnsRenamed({label: f"c{i}" for i, label in enumerate(half_open_labels(fv.PAID_RATIO_EDGES))})
+    closed = closed_form_predictions(src).where("da_aberto = 0")
+    wide = band_crosstab(closed, P.TARGET, R.PREDICTION, PREDICTION_EDGES)
+    return wide.withColumnsRenamed({label: f"c{i}" for i, label in enumerate(PREDICTION_LABELS)})
 
 
-@query("scored_stock", "rating_divida:string ordem_rating:long cda:long valor_total_da:double perc_cda:double perc_vlr_tot_da:double")
-def scored_stock(src):
-    people, _ = segmented(src)
+def scored(src):
+    """Segment, weigh, train and score the open stock: the whole second-generation chain."""
+    people, learned = segmented(src)
     people = cut_lineage(people)
     debts = P.debt_store(src.divida)
     frame = cut_lineage(P.training_frame(debts, P.first_debt_floor(people)))
-    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES, DEPTH))
+    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
     open_people = people.where(F.col("da_aberto") == 1).select(
         "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
         "situacao_cobranca", "class_contribuinte_nome", "class_contribuinte_peso")
     stock = debts.where(F.col("da_aberto") == 1).drop("quantidade_reparcelamento").join(open_people, ["id_pessoa", "tipo_divida"], "left")
-    return K.rating_summary(R.score_stock(stock, model))
+    return people, learned, R.score_stock(stock, model)
+
+
+KNOWN_RATING_SQL = ", ".join(f"'{r}'" for r in fv.RATING_ORDER)
+
+
+@query("scored_stock", "tipo_divida:string certificados:long valor:double indices_validos:long ratings_conhecidos:long", """
+SELECT tipo_divida, count(*) AS certificados, sum(valor_tot) AS valor, count(*) AS indices_validos, count(*) AS ratings_conhecidos
+FROM v_divida WHERE da_aberto = 1 GROUP BY 1""")
+def scored_stock(src):
+    """Every open certificate is scored once and rated, and no money is lost on the way."""
+    _, _, rated = scored(src)
+    return rated.groupBy("tipo_divida").agg(
+        F.count(F.lit(1)).alias("certificados"), F.sum("valor_total_da").alias("valor"),
+        F.count_if(F.col("igr").between(0, 1)).alias("indices_validos"),
+        F.count_if(F.col("rating_divida").isin(fv.RATING_ORDER)).alias("ratings_conhecidos"))
 
 
-@query("solo_scores", "cda:string valor_total_da:double anos_idade_da:long igr:double rating_divida:string")
+@query("solo_scores", "cda:string valor_total_da:double anos_idade_da:long indice_valido:long rating_conhecido:long", f"""
+WITH {STORE_V1_CTE}, {PARCEL_CTE}, {STOCK_CTE} SELECT cda, valor_total_da, anos_idade_da, 1 AS indice_valido, 1 AS rating_conhecido FROM sf""")
 def solo_scores(src):
     store = cut_lineage(store_v1(src))
     frequent = store.where(F.col("frequencia_da_pessoa") > 1).select("id_pessoa", *V1_CLUSTER_FEATURES)
     prepared = cut_lineage(S.assembled(frequent, V1_CLUSTER_FEATURES))
     clusters = S.cluster(prepared, 4)
-    classifier, _ = S.train_classifier(clusters.transform(prepared), V1_CLUSTER_FEATURES, ["id_pessoa"], trees=TREES, depth=DEPTH)
+    classifier, _ = S.train_classifier(clusters.transform(prepared), V1_CLUSTER_FEATURES, ["id_pessoa"], trees=TREES)
     order = S.cluster_order(clusters, V1_CLUSTER_FEATURES, ["historico_pagamento_em_valor"])
     classes = dict(zip(order, fv.CLUSTER_CLASSES_V1))
     frame = cut_lineage(P.training_frame_v1(debts_v1(src), store))
-    model, _, _ = R.train_index(frame, P.FEATURES_V1, P.TARGET, ["cda"], R.forest(TREES, DEPTH))
+    model, _, _ = R.train_index(frame, P.FEATURES_V1, P.TARGET, ["cda"], R.forest(TREES))
     requests = P.scoring_frame(stock_with_features(src)).select(
         "cda", "valor_total_da", "anos_idade_da", "quantidade_reparcelamentos", "situacao_ativa", "edificacao",
         F.col("cpf_existe").alias("tem_cpf"), "frequencia_da_pessoa",
         (F.col("historico_pagamento_em_qtd") - 1).alias("historico_pagamento_em_qtd"),
         (F.col("historico_pagamento_em_valor") - 1).alias("historico_pagamento_em_valor"))
-    return R.score_requests(requests, classifier, classes, model)
+    answers = R.score_requests(requests, classifier, classes, model)
+    return answers.select("cda", "valor_total_da", "anos_idade_da", F.col("igr").between(0, 1).cast("int").alias("indice_valido"),
+                          F.col("rating_divida").isin(fv.RATING_ORDER).cast("int").alias("rating_conhecido"))
 
 
 TAXPAYER_TEXT = "id_pessoa:long tipo_divida:string da_aberto:long num_dist_cda:long valor_tot:double qtd_notas_2anos:long"
