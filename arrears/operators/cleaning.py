@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,16 @@ def one_hot(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     return df.select("*", *flags)
 
 
+def learn_one_hot(df: DataFrame, col: str) -> PipelineModel:
+    """Categories learned from the data, most frequent first, as a stage that is saved with a model.
+
+    Rows with a category that was not seen, or with none, get a vector in a place of its own.
+    """
+    number, vector = f"{col}_lugar", f"{col}_vetor"
+    indexer = StringIndexer(inputCol=col, outputCol=number, handleInvalid="keep")
+    return Pipeline(stages=[indexer, OneHotEncoder(inputCols=[number], outputCols=[vector], dropLast=False)]).fit(df)
+
+
 def json_records(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One JSON text per row next to its key."""
     return df.select(*key, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
