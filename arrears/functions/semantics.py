@@ -95,16 +95,19 @@ def last_wins(rules: Sequence[tuple[Column, object]], otherwise: object = None)
     return expression.otherwise(column(otherwise))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], nearly_unique: bool = False) -> DataFrame:
     """One row per key: the smallest by ``order``, then by the remaining columns.
 
-    An aggregate instead of a ranked window: map tasks already reduce a hot key to one row each.
+    An aggregate instead of a ranked window: map tasks already reduce a hot key to one row each. Rows are sorted for it
+    on both sides of the exchange; where keys are ``nearly_unique`` there is nothing to reduce, so rows are exchanged
+    first and one sort serves.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     payload = [c for c in order if c not in keys] + rest
     if not payload:
         return df.distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_first"))
+    dealt = df.repartition(*keys) if nearly_unique else df
+    picked = dealt.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_first"))
     columns = [F.col(k) if k in keys else F.col(f"_first.{k}").alias(k) for k in df.columns]
     return picked.select(*columns)
 

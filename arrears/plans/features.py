@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from arrears.functions import fixed_values as fv
 from arrears.functions import scalars as S
@@ -12,7 +13,7 @@ from arrears.functions.semantics import (
 )
 from arrears.operators.cleaning import fill_everything, fill_nulls, typed_key, union_all
 from arrears.operators.extract import with_date
-from arrears.operators.joins import left_renamed, left_join
+from arrears.operators.joins import left_join, left_renamed
 from arrears.operators.quantiles import exact_quantiles
 from arrears.operators.windows import credit_recurrence, cumulative
 
@@ -36,14 +37,17 @@ def certificate_totals(base: DataFrame, keys: list[str] = CERTIFICATE) -> DataFr
 
 
 def certificate_detail(base: DataFrame) -> DataFrame:
-    """Certificate attributes with the totals of their own partition and the paid ratio."""
-    totals = (
-        certificate_totals(base, PARTITIONED).drop("dif_tot_pago", "dif_tot_pago_aberto")
-        .withColumn("valor_tot", guarded("valor_tot"))
-    )
-    attributes = present(base, *PARTITIONED).drop("valor_tot", "valor_pago")
-    return attributes.join(totals, PARTITIONED, "left").withColumn(
-        "perc_pago", round_even(ratio("valor_pago", "valor_tot"), 5))
+    """Certificate attributes with the totals of their own partition and the paid ratio, from one exchange.
+
+    A certificate has few rows in a partition, so its totals are window sums.
+    """
+    own = Window.partitionBy(*PARTITIONED)
+    billed, paid = (F.coalesce(F.sum(c).over(own), F.lit(0)) for c in ("valor_tot", "valor_pago"))
+    balance = F.coalesce(F.col("valor_tot"), F.lit(0)) - F.coalesce(F.col("valor_pago"), F.lit(0))
+    still_open = F.sum(F.when(F.col("da_aberto") == 1, balance)).over(own)
+    return present(base, *PARTITIONED).withColumns(
+        {"valor_tot": guarded(billed), "valor_pago": paid, "valor_aberto": still_open}
+    ).withColumn("perc_pago", round_even(ratio("valor_pago", "valor_tot"), 5))
 
 
 def debt_store(base: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def installment_rates(parcels: DataFrame) -> DataFrame:
         S.compose_key_strict(kind, "cda").alias("cda"), "quantidade_reparcelamentos",
         ratio("total_valor_pago", "valor_lancado_total").alias("parcela_taxa_pagamento_valor"),
     )
-    return keep_first(rated, ["cda"], ["quantidade_reparcelamentos", "parcela_taxa_pagamento_valor"])
+    return keep_first(rated, ["cda"], ["quantidade_reparcelamentos", "parcela_taxa_pagamento_valor"], nearly_unique=True)
 
 
 def debt_store_v1(properties: DataFrame, businesses: DataFrame, dates: DataFrame, parcels: DataFrame, reference_year: int) -> DataFrame:
@@ -159,7 +163,7 @@ def debt_store_v1(properties: DataFrame, businesses: DataFrame, dates: DataFrame
     columns = ["cda", "id_pessoa", "tipo_divida", "valor_tot", "valor_pago", *optional,
                "divida_protestada", "divida_ajuizada", "inscricao_divida"]
     base = union_all(properties, businesses).select(*columns)
-    single = typed_key(keep_first(base, ["cda"], ["tipo_divida", "id_pessoa", "inscricao_divida"]), "id_pessoa")
+    single = typed_key(keep_first(base, ["cda"], ["tipo_divida", "id_pessoa", "inscricao_divida"], nearly_unique=True), "id_pessoa")
     dated = with_date(single, dates, "inscricao_divida", "data_inscricao_da")
     debts = (
         dated.withColumn("ano_inscricao_da", F.year("data_inscricao_da"))
@@ -176,7 +180,7 @@ def debt_store_v15(base: DataFrame, reference_year: int) -> DataFrame:
     single = keep_first(
         base.select("cda", "id_pessoa", "tipo_divida", "valor_tot", "valor_pago", "protesto", "divida_ajuizada",
                     S.parsed_year("inscricao_divida").alias("ano_inscricao_da")),
-        ["cda"], ["tipo_divida", "id_pessoa", "ano_inscricao_da"])
+        ["cda"], ["tipo_divida", "id_pessoa", "ano_inscricao_da"], nearly_unique=True)
     return (
         present(single, "id_pessoa").withColumn("id_pessoa", F.col("id_pessoa").cast("string"))
         .groupBy("cda", "id_pessoa", "tipo_divida")

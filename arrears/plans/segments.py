@@ -28,11 +28,11 @@ def assembled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=VECTOR).transform(df)
 
 
-def cluster(df: DataFrame, k: int, seed: int = fv.SEED, iterations: int = 20) -> KMeansModel:
+def cluster(df: DataFrame, k: int, seed: int = fv.SEED, iterations: int = 300) -> KMeansModel:
     return KMeans(k=k, seed=seed, maxIter=iterations, featuresCol=VECTOR, predictionCol=CLUSTER).fit(df)
 
 
-def sweep(df: DataFrame, ks: Sequence[int], seed: int = fv.SEED, iterations: int = 20) -> DataFrame:
+def sweep(df: DataFrame, ks: Sequence[int], seed: int = fv.SEED, iterations: int = 300) -> DataFrame:
     """Inertia and score per number of clusters; ``df`` is assembled and already cut from its lineage."""
     rows = []
     for k in ks:
