@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import SPACE, ascii_lower, fresh
+from arrears.llm.common import SPACE, ascii_lower, fresh, settle
 
 MIN_CHARS, MIN_DOCS = 40, 5
 
@@ -42,8 +42,9 @@ def dropped_positions(docs: DataFrame, id_column: str = "doc_id", text_column: s
     lines = lines.where(F.length("key") >= min_chars).select(
         "id", "print", "at", F.unhex(F.md5("key")).alias("hash"))
     holders = lines.select("hash", "id").distinct()
-    shared = (holders.groupBy("hash").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
-              .where(F.col("docs") >= min_docs).select("hash", "keeper"))
+    # Written, so that the join reads both sides from exchanges of its own and a hot line can be split.
+    shared = settle(holders.groupBy("hash").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
+                    .where(F.col("docs") >= min_docs).select("hash", "keeper"))
     return (lines.join(shared, "hash").where(~F.col("id").eqNullSafe(F.col("keeper")))
             .groupBy("id", "print").agg(F.collect_set("at").alias("positions")))
 
