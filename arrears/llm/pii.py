@@ -137,12 +137,14 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 def per_document(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  spans_column: str = "spans") -> DataFrame:
     """``docs`` with an array of (order, start, end), in order of kind and place; empty where there are none."""
-    key, hashed, mine = fresh(docs, "span_id", "span_print", "span_list")
+    key, hashed, mine, own = fresh(docs, "span_id", "span_print", "span_list", "own_print")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     lists = spans.groupBy(F.col("id").alias(key), F.col("print").alias(hashed)).agg(
         F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end"))).alias(mine))
-    text = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
-    return docs.join(lists, docs[id_column].eqNullSafe(lists[key]) & (text == lists[hashed]), "left").select(
+    # Hashed before the join, so that a text nobody selects is not shuffled.
+    printed = docs.withColumn(own, F.xxhash64(F.coalesce(docs[text_column], F.lit(""))))
+    same = printed[id_column].eqNullSafe(lists[key]) & (printed[own] == lists[hashed])
+    return printed.join(lists, same, "left").select(
         *docs.columns, F.coalesce(lists[mine], F.array().cast("array<struct<order:int,start:bigint,end:bigint>>"))
         .alias(spans_column))
 
