@@ -18,7 +18,7 @@ HEADLINE = [
     "debt_store_v1", "credit_store", "rating_summary", "collection_lists", "extract_property",
     "collection_sheet_year", "pivot_distinct", "entity_rollup", "cohort_new", "pareto_curve", "running_totals",
     "dedupe_first", "describe_by_group", "winsorize", "cumulative_new", "spearman", "rating_quantile", "join_left",
-    "attach_measures", "igr_regressor",
+    "attach_measures",
 ]
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from catalogue import REGISTRY
+from catalogue import REGISTRY, training
 from tests.compare import connect, difference
 from tests.conftest import SMALL
 
@@ -14,6 +14,13 @@ def con():
     connection.close()
 
 
+@pytest.fixture(autouse=True)
+def small_models(monkeypatch):
+    """The facts that model queries return hold for models of any size; small ones save minutes."""
+    monkeypatch.setattr(training, "TREES", 20)
+    monkeypatch.setattr(training, "BOOSTING_ROUNDS", 5)
+
+
 @pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, con, name):
     text, rows = difference(spark, con, SMALL, REGISTRY[name])

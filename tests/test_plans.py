@@ -105,3 +105,10 @@ def test_returning_and_new_bills_partition_the_year(spark, source):
     bills = R.sized(source.dam)
     new = R.new_property_bills(bills, 2001, 2000, one_per_property=False)
     assert new.count() + R.returning_property_bills(bills, 2001, 2000).count() == bills.where("ano_fato_gerador = 2001").count()
+
+
+def test_column_types_follow_the_schema(source):
+    from arrears.operators import quality
+
+    found = [tuple(r) for r in quality.column_types(source.dam).orderBy("posicao").collect()]
+    assert [(f[1], f[2]) for f in found] == [(f.name, f.dataType.simpleString()) for f in source.dam.schema]
