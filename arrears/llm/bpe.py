@@ -219,10 +219,29 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     vocabulary = spark.sparkContext.broadcast(Vocabulary(path).names)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        name = vocabulary.value.__getitem__
         for batch in batches:
-            yield pa.array((" ".join(map(name, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in batch),
-                           pa.string())
+            yield pa.array((text_of(x.as_py() or b"", vocabulary.value) for x in batch), pa.string())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "string")(ids)
+
+
+def round_trip(spark: SparkSession, text: Column, path: str) -> Column:
+    """Struct (ids, decoded) of whole texts: encoding, and decoding of its ids, in one Python worker per task instead
+    of two."""
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(path))
+    made = pa.struct([("ids", pa.binary()), ("decoded", pa.string())])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, names = TextEncoder(vocabulary.value), vocabulary.value.names
+        for batch in batches:
+            ids = list(encoder.encode(x.as_py() or "" for x in batch))
+            yield pa.StructArray.from_arrays(
+                [pa.array(ids, pa.binary()), pa.array((text_of(i, names) for i in ids), pa.string())], fields=list(made))
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "struct<ids:binary,decoded:string>")(text)
+
+
+def text_of(ids: bytes, names: list[str]) -> str:
+    return " ".join(map(names.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -47,8 +47,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text, null as 0: the starts of words, counted as removed characters would be, are the
-    pieces between white-space runs without the empty ones at the ends."""
+    """Number of words of a text, 0 for null: the pieces between white-space runs of the trimmed text."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))
     return F.when(trimmed == "", F.lit(0)).otherwise(
         F.size(F.split(trimmed, r"[\x20\x09-\x0D]+", -1))).cast("long")

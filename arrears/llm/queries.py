@@ -32,15 +32,13 @@ def tokenizer_path() -> str:
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer_path()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    docs = docs.withColumn("ids", bpe.encode(spark, F.col("text"), path))
-    docs = docs.withColumn("decoded", bpe.decode(spark, F.col("ids"), path))
-    return docs.select(
+    made = docs.select("doc_id", bpe.round_trip(spark, F.col("text"), tokenizer_path()).alias("made"))
+    return made.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("made.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("made.ids", 256).alias("ids_sha256"),
+        F.sha2("made.decoded", 256).alias("decoded_sha256"),
     )
 
 

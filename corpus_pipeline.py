@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose score reaches the rejection limit go; the field is fitted on the labelled ones among ``docs``."""
     field = toxicity.train(spark, docs, table(spark, folder, "labels"))
     judged, = fresh(docs, "judged")
-    scored = docs.withColumn(judged, toxicity.judge(spark, F.col("text"), field))
+    scored = docs.withColumn(judged, toxicity.judge(tune(spark), F.col("text"), field))
     return scored.where(F.col(judged)["score"] < toxicity.REJECT).select(*docs.columns)
 
 
@@ -34,6 +34,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    tune(spark)
     return simhash.one_per_group(docs)
 
 
@@ -43,11 +44,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    path = tokenizer_path()
-    ids = docs.select("doc_id", "source", "lang", "text").withColumn("ids", bpe.encode(spark, F.col("text"), path))
-    decoded = ids.withColumn("decoded", bpe.decode(spark, F.col("ids"), path))
-    return decoded.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                          "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    made = docs.select("doc_id", "source", "lang", bpe.round_trip(
+        tune(spark), F.col("text"), tokenizer_path()).alias("made"))
+    return made.select("doc_id", "source", "lang", (F.octet_length("made.ids") / 4).cast("long").alias("n_tokens"),
+                       "made.ids", F.sha2("made.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

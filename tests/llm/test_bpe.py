@@ -48,12 +48,14 @@ def test_documents(spark, library):
     docs = clashing(frame(spark, corpus()), "IDS_", "decoded_")
     path = tokenizer_path()
     coded = docs.withColumn("ids", bpe.encode(spark, F.col("text"), path))
-    rows = coded.withColumn("back", bpe.decode(spark, F.col("ids"), path)).collect()
+    rows = coded.withColumn("back", bpe.decode(spark, F.col("ids"), path)).withColumn(
+        "both", bpe.round_trip(spark, F.col("text"), path)).collect()
     assert len(rows) == len(corpus())
     for r in rows:
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         assert unpack(r["ids"]) == ids
         assert r["back"] == library.decode(ids, skip_special_tokens=False)
+        assert (r["both"]["ids"], r["both"]["decoded"]) == (r["ids"], r["back"])
 
 
 def test_empty_table(spark):
