@@ -2,10 +2,12 @@
 
 Pages that a fixed rule covers are the labelled ones. Their URLs become sets of tokens (host labels, path segments,
 extension, query keys), and FP-growth mines the token combinations that go with a label. Rules under the minimum
-support or confidence are pruned, and so are combinations that a further token always goes with: they say nothing about
-URLs without that token. A rule is indexed under its rarest token only; token sets without a fixed rule look their
-tokens up in that index, and what meets is checked to hold the whole combination. The strongest matching rule
-(confidence, then support) decides; a URL that matches none is allowed.
+support or confidence are pruned, nothing else is: labels come from hosts and paths themselves, so a host seen under one
+fixed rule always goes with that rule's tokens, and its rule must still reach its other pages. A rule is indexed under
+its rarest token only; token sets without a fixed rule look their tokens up in that index, and what meets is checked to
+hold the whole combination. The matching rule of highest confidence decides, of equal ones that with the rarest token
+(as with fixed rules the more particular one: a host's own rule goes before one for ``/en/`` anywhere), then that of
+higher support; a URL that matches none is allowed.
 
 Equal token sets are matched once, so a URL or host with a third of all rows weighs as one set; sets are brought back
 to the pages by a plain equi-join. Digits never make a token of their own, they stand as ``#``.
@@ -87,26 +89,34 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
         mark("type:", F.array(ending)), mark("key:", keys))))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """Rows (rule, tokens, verdict, confidence, support) from rows (tokens, verdict), rarest token first in tokens."""
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
+         closed: bool = True) -> DataFrame:
+    """Rows (rule, tokens, verdict, confidence, support, rarest, rarity) from rows (tokens, verdict).
+
+    ``rarity`` is how many labelled rows hold the rarest token.
+    ``closed`` keeps only combinations that no further token always goes with: a summary of the rules, not enough to
+    judge URLs that lack such a token.
+    """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("label:"), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     is_label = lambda token: F.startswith(token, F.lit("label:"))
     rules = model.associationRules.where(is_label(F.element_at("consequent", 1))
                                          & ~F.exists("antecedent", is_label))
-    frequent = model.freqItemsets.where(~F.exists("items", is_label)).select(
-        F.array_sort("items").alias("items"), "freq")
-    shorter = frequent.select(F.posexplode("items").alias("at", "token"), "items", "freq").select(
-        F.array_remove("items", F.col("token")).alias("items"), "freq").distinct()
-    whole = frequent.join(shorter, ["items", "freq"], "left_anti").select("items")
-    rules = rules.withColumn("items", F.array_sort("antecedent")).join(whole, "items", "left_semi")
+    if closed:
+        frequent = model.freqItemsets.where(~F.exists("items", is_label)).select(
+            F.array_sort("items").alias("items"), "freq")
+        shorter = frequent.select(F.posexplode("items").alias("at", "token"), "items", "freq").select(
+            F.array_remove("items", F.col("token")).alias("items"), "freq").distinct()
+        whole = frequent.join(shorter, ["items", "freq"], "left_anti").select("items")
+        rules = rules.withColumn("items", F.array_sort("antecedent")).join(whole, "items", "left_semi")
     counted = model.freqItemsets.where(F.size("items") == 1).select(
         F.element_at("items", 1).alias("token"), "freq")
     rules = settle(rules.select(
         F.xxhash64(F.array_join(F.array_sort("antecedent"), " ")).alias("rule"), F.col("antecedent").alias("tokens"),
         F.substring_index(F.element_at("consequent", 1), ":", -1).alias("verdict"), "confidence", "support"))
     ranked = (rules.select("rule", F.explode("tokens").alias("token")).join(counted, "token")
-              .groupBy("rule").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest")))
+              .groupBy("rule").agg(
+                  F.min_by("token", F.struct("freq", "token")).alias("rarest"), F.min("freq").alias("rarity")))
     return rules.join(ranked, "rule")
 
 
@@ -121,14 +131,14 @@ def judge(pages: DataFrame, url_column: str = "url", rules: tuple[Rule, ...] = R
         tokens, tokens_of(url, F.col(host), F.col(path)))
     labelled = read.where(F.col(found).isNotNull()).select(
         F.col(tokens).alias("tokens"), F.col(found)["verdict"].alias("verdict"))
-    mined = mine(settle(labelled), support, confidence)
+    mined = mine(settle(labelled), support, confidence, closed=False)
     sets = settle(read.where(F.col(found).isNull()).select(F.col(tokens).alias("set")).distinct())
     asked = sets.select("set", F.explode("set").alias("token"))
     met = asked.join(mined, asked["token"] == mined["rarest"]).where(
         F.size(F.array_except("tokens", "set")) == 0)
     # Written, so that the join below reads both sides from exchanges of its own and a hot set can be split.
     decided = settle(met.groupBy("set").agg(F.max_by("verdict", F.struct(
-        "confidence", "support", F.size("tokens"), "verdict")).alias(strongest)))
+        "confidence", -F.col("rarity"), "support", F.size("tokens"), "verdict")).alias(strongest)))
     joined = read.join(decided, read[tokens] == decided["set"], "left")
     return joined.select(
         *[read[c] for c in pages.columns], read[host], read[path], read[found]["name"].alias(rule),

@@ -251,6 +251,16 @@ def test_urls(spark):
     assert {r["verdict"] for r in urls.judge(df.where("url = 'no scheme'")).collect()} == {"allow"}
 
 
+def test_a_host_blocked_in_all_its_labelled_pages_is_blocked_on_its_others(spark):
+    """The host is labelled through one fixed rule only, so its label always goes with that rule's tokens."""
+    rows = [(i, f"http://casino-win.example.com/de/{i}") for i in range(20)]
+    rows += [(100 + i, f"http://good.example.net/en/{i}") for i in range(80)]  # more support than the host has
+    rows += [(200, "http://casino-win.example.com/en/1"), (201, "http://casino-win.example.org/en/x"), (202, "http://good.example.org/en/1")]
+    out = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [out[i]["rule"] for i in (200, 201, 202)] == [None] * 3
+    assert [out[i]["verdict"] for i in (200, 201, 202)] == ["block", "block", "allow"]
+
+
 def test_mined_rules_against_all_combinations(spark):
     rng = random.Random(5)
     names = list("abcdef")
