@@ -3,10 +3,12 @@
 Only vectors of one label and length are compared. Equal vectors form a class that takes part once and counts as many
 as it has. The classes of a label are dealt by hash into shards of about ``SHARD_ROWS``; every class is looked up in
 every shard of its label. Queries come in blocks of about ``BLOCK_ROWS``, so a label of any size becomes many bounded
-tasks, each of which builds the shard's graph and searches it. After building, a task searches ``AUDITS`` members whose
-neighbours it also finds by comparing them with the whole shard, and doubles the beam until ``RECALL`` of the true links
-is found. Then every query goes down the layers, the beam settles on the bottom layer, and from what is similar enough
-the search spreads along the graph until nothing new is similar. Cosines are verified in double precision.
+tasks, each of which builds the shard's graph and searches it. After building, a task searches ``AUDITS`` linked members
+whose neighbours it also finds by comparing them with the whole shard, and doubles the beam until ``RECALL`` of a
+member's true links is found in the mean, so that small groups weigh as much as large ones. If no beam that is cheaper
+than the whole shard gets there, queries are compared with the shard directly. Otherwise every query goes down the
+layers, the beam settles on the bottom layer, and from what is similar enough the search spreads along the graph until
+nothing new is similar. Cosines are verified in double precision.
 
 A task gives one count per query and a spanning forest of the links it saw, never pairs of a group; components of the
 forests' union are those of all links.
@@ -144,18 +146,57 @@ class Graph:
         return np.concatenate(found)
 
 
-def audited_beam(graph: Graph, limit: float) -> int:
-    """The narrowest beam, by doubling, that finds ``RECALL`` of the links of a spread of members."""
+def audit(graph: Graph, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Members spread over the shard that have links, ``AUDITS`` or all there are, and their true links as flags.
+
+    A member's hit on itself is no link.
+    """
     n = len(graph.x)
-    tried = np.unique(np.linspace(0, n - 1, min(n, AUDITS)).astype(int))
-    truth = graph.x[tried] @ graph.x.T >= limit
-    total, width = int(truth.sum()), FIRST_BEAM
-    while width < n:
-        found = sum(int(truth[i, graph.within(graph.x[t], limit, width)].sum()) for i, t in enumerate(tried))
-        if found >= RECALL * total:
+    order = np.random.default_rng(n).permutation(n)
+    tried, truth, known = [], [], 0
+    for start in range(0, n, AUDITS):
+        some = order[start:start + AUDITS]
+        near = graph.x[some] @ graph.x.T >= limit
+        near[np.arange(len(some)), some] = False
+        linked = near.any(axis=1)
+        tried.append(some[linked])
+        truth.append(near[linked])
+        known += int(linked.sum())
+        if known >= AUDITS:
             break
+    return np.concatenate(tried)[:AUDITS], np.concatenate(truth)[:AUDITS]
+
+
+def audited_beam(graph: Graph, limit: float) -> int:
+    """The narrowest beam, by doubling, that finds ``RECALL`` of a member's links in the mean over the audited members.
+
+    A beam that looks at as many vectors as the shard has is no use: then the shard's size is given, which tells that
+    queries are to be compared with the shard directly.
+    """
+    n, width = len(graph.x), FIRST_BEAM
+    if width * 2 * LINKS >= n:
+        return n
+    tried, truth = audit(graph, limit)
+    if not len(tried):
+        return width
+    links = truth.sum(axis=1)
+    while width * 2 * LINKS < n:
+        found = [truth[i, graph.within(graph.x[t], limit, width)].sum() for i, t in enumerate(tried)]
+        if np.mean(found / links) >= RECALL:
+            return width
         width *= 2
-    return width
+    return n
+
+
+def met_by(graph: Graph, queries: np.ndarray, limit: float, width: int):
+    """For each query the members that reach ``limit``: along the graph, or for the shard's width by comparing all."""
+    if width < len(graph.x):
+        for q in queries:
+            yield graph.within(q, limit, width)
+    else:
+        for start in range(0, len(queries), AUDITS):
+            for near in queries[start:start + AUDITS] @ graph.x.T >= limit:
+                yield np.flatnonzero(near)
 
 
 def search(key: tuple, members: pd.DataFrame, queries: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -174,8 +215,8 @@ def search(key: tuple, members: pd.DataFrame, queries: pd.DataFrame, cosine: flo
     of_member, of_query = place[:len(ids)], place[len(ids):]
     root = np.arange(len(everyone))
     links = np.zeros(len(own), np.int64)
-    for i, q in enumerate(asked):
-        met = graph.within(q / asked_size[i], cosine - 1e-9, width)
+    for i, met in enumerate(met_by(graph, asked / asked_size[:, None], cosine - 1e-9, width)):
+        q = asked[i]
         met = met[(raw[met] @ q) / (size[met] * asked_size[i]) >= cosine]
         met = met[ids[met] != own[i]]
         if len(met):

@@ -171,6 +171,42 @@ def test_beam_is_widened_until_the_audit_passes():
     assert found / truth.sum() >= 0.97
 
 
+def groups(big=300, pairs=60, width=24):
+    """One group of near-copies and many far pairs."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=width)
+    x = [centre + rng.normal(size=width) * 0.02 for _ in range(big)]
+    for _ in range(pairs):
+        one = rng.normal(size=width)
+        x += [one, one + rng.normal(size=width) * 0.02]
+    x = np.stack(x)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_a_large_group_does_not_hide_that_small_ones_are_missed():
+    class Narrow:
+        """Finds the large group with any beam, pairs with a beam of at least 32 (with 16, a vector finds itself)."""
+        x = np.concatenate([groups(900), groups(0, 200)])
+
+        def within(self, q, limit, width):
+            near = np.flatnonzero(self.x @ q >= limit)
+            return near if width >= 32 or len(near) > 2 else near[self.x[near] @ q > 1 - 1e-12]
+
+    assert hnsw.audited_beam(Narrow(), hnsw.COSINE) == 32
+
+
+def test_queries_meet_the_whole_shard_where_no_beam_passes(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(hnsw.Graph, "within", lambda self, q, limit, width: np.flatnonzero(self.x @ q > 1 - 1e-12))
+    x = groups()
+    ids = np.arange(len(x))
+    members = pd.DataFrame({"id": ids, "copies": 1, "vector": list(x)})
+    found = hnsw.search((0, len(x[0]), 0, 0), members, pd.DataFrame({"q_id": ids, "q_vector": list(x)}), hnsw.COSINE)
+    counts = found[found["kind"] == hnsw.COUNT].set_index("node")["links"].reindex(ids, fill_value=0)
+    assert (counts.to_numpy() == (x @ x.T >= hnsw.COSINE).sum(axis=1) - 1).all()
+
+
 def test_licences(spark):
     rng = random.Random(6)
     apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
