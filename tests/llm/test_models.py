@@ -226,6 +226,24 @@ def test_licences(spark):
     assert license.scan(df.limit(0)).count() == 0
 
 
+def test_full_licence_texts_and_wrapped_headers(spark):
+    import textwrap
+
+    texts, headers = dict(license.TEXTS), dict(license.HEADERS)
+    rng = random.Random(7)
+    rows = [(f"{name}/LICENSE", f"Copyright (c) 2019 A. N. Owner\n\n{text}") for name, text in texts.items()]
+    rows += [(f"{name}/src/a.py", prose(rng, 30)) for name in texts]
+    rows += [(f"h/{name}.py", "#!/bin/x\n" + textwrap.indent(textwrap.fill(text, 60), "# ") + "\n" + prose(rng, 200))
+             for name, text in headers.items()]
+    rows.append(("w/x.txt", f"{prose(rng, 40)}\nThis work is licensed under the GNU\nGeneral Public License, version 3\n{prose(rng, 40)}"))
+    found = {r["path"]: (r["license"], r["license_origin"]) for r in license.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    for name in texts:
+        assert found[f"{name}/LICENSE"] == (name, "own") and found[f"{name}/src/a.py"] == (name, "inherited")
+    for name in headers:
+        assert found[f"h/{name}.py"] == (name, "own")
+    assert found["w/x.txt"] == ("GPL-3.0", "own")
+
+
 def test_licence_scores_against_plain_cosines(spark):
     rng = random.Random(9)
     lines = [t for _, t in license.TEMPLATES] + ["Licensed under the MIT License, see file", "GNU public version", "the mit license of apache"]
