@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import bpe, exact, hnsw, license, lines, mixing, pii, simhash, toxicity, urls
+from arrears.llm import (bpe, byte_bpe, centroids, exact, hnsw, license, lines, mixing, negatives, pii, simhash,
+                         toxicity, urls)
 from arrears.llm.common import LOWER, UPPER, table, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,89 @@ def op9_license(spark: SparkSession, folder: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = urls.judge(table(spark, folder, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    made = docs.select("doc_id", byte_bpe.round_trip(
+        spark, F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).alias("made"))
+    return made.select(
+        "doc_id", F.size("made.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("made.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("made.decoded", 256).alias("decoded_sha256"))
+
+
+def rounds_sql(rounds: int) -> str:
+    """Each round of the clustering as two expressions in a row of common table expressions."""
+    near = """
+p{n} AS MATERIALIZED (
+  SELECT row, vec_id, v, min({{'distance': list_sum(list_transform(list_zip(v, m), lambda q: (q[1] - q[2]) * (q[1] - q[2]))),
+                             'cluster': c}}) AS best
+  FROM kept, c{n} GROUP BY row, vec_id, v
+)"""
+    move = """,
+s{n} AS (
+  SELECT c, d, sum(x) AS s, count(*) AS n
+  FROM (SELECT best.cluster AS c, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM p{n}) AS cut GROUP BY c, d
+), c{m} AS MATERIALIZED (
+  SELECT c{n}.c, coalesce(moved.m, c{n}.m) AS m FROM c{n} LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS m FROM s{n} GROUP BY c) AS moved USING (c)
+),"""
+    return "".join(near.format(n=n) + move.format(n=n, m=n + 1) for n in range(rounds)) + near.format(n=rounds)
+
+
+@query("op12_centroids", f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {centroids.WIDTH}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.WIDTH}
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY hash) - 1 AS INTEGER) AS c, v AS m
+  FROM (SELECT v, sha256('{centroids.SEED}:' || CAST(vec_id AS VARCHAR)) AS hash FROM kept
+        ORDER BY hash LIMIT {centroids.CLUSTERS}) AS drawn
+),{rounds_sql(centroids.ROUNDS)}
+SELECT vec_id, best.cluster AS cluster, CAST(best.distance AS BIGINT) AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM p{centroids.ROUNDS} JOIN c{centroids.ROUNDS} ON c = best.cluster
+""")
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    placed, about = centroids.cluster(table(spark, folder, "embeddings"))
+    # One row per centroid.
+    about = about.select("cluster", "cluster_inertia", "inertia", F.sha2(
+        F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+    return placed.join(F.broadcast(about), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op13_hard_negatives", f"""
+WITH taken AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor({negatives.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(coalesce(
+    list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM taken AS a JOIN taken AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE same
+  QUALIFY place <= {negatives.POSITIVES}
+)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (
+         PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive AS p JOIN scored AS n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND {negatives.LOWEST} * p.score <= 100 * n.score AND 100 * n.score <= {negatives.HIGHEST} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh vector has the next label, so that near vectors of another label exist."""
+    number = F.col("vec_id")
+    rows = table(spark, folder, "embeddings").withColumn("label", F.when(
+        number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, number % 50 == 0)
