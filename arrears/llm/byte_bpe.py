@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 600_000
 SHORT = 64  # bytes of a pre-token that shares a list with others and may be remembered
 AT_ONCE = 24  # bucket entries from which the leftmost of all words are merged at once
 WORD_BITS = 64
