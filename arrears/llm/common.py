@@ -65,6 +65,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def others(df: DataFrame, *names: str) -> list[Column]:
+    """The columns of ``df`` without those called as an output column (names compare without case)."""
+    made = {name.lower() for name in names}
+    return [df[c] for c in df.columns if c.lower() not in made]
+
+
 def text_print(text: Column) -> Column:
     """With the id, tells rows apart that repeat an id with another text; null reads as empty."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

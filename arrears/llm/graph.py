@@ -13,8 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs all larger neighbours of a node on the smallest node it knows, then all smaller ones, until no
     link changes; the links are then stars around the smallest node. Every round is written to the checkpoint folder.
-    No task holds the neighbours of a node: a hub's links are grouped with a map-side minimum and joined by a plain
-    equi-join that can be split. Links with a null end, and links of a node to itself, join nothing.
+    No task holds the neighbours of a node: a hub's links are grouped with a map-side minimum, which is written, and
+    joined by a plain equi-join whose sides both come from exchanges of their own, so that it can be split. Links with a null end, and links of a node to itself, join nothing.
     """
     links = settle(links.where(F.col("a") != F.col("b"))
                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -38,14 +38,14 @@ def mark(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return (both.where(F.col("b") > F.col("a")).join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     # Every link already points from the larger node to the smaller one.
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = settle(links.groupBy("a").agg(F.min("b").alias("m")))
     moved = links.join(least, "a")
     hung = moved.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.union(least.select("a", F.col("m").alias("b"))).distinct()

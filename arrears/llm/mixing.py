@@ -13,8 +13,10 @@ ranges, so a source with a third of all rows is spread over thousands of groups.
 each) is ordered as a whole.
 
 Rules: size is the number of words, null text 0; a null source is a source of its own, the last one; documents without
-words, and sources without any, are taken zero times; equal ids follow each other by size; equal rows may change
-places, which changes no result; empty tables give empty results.
+words, and sources without any, are taken zero times; equal ids follow each other by size, then by the hash of their
+text; equal rows may change places, which changes no result; very long texts are counted whole; empty tables give empty
+results; ``mix`` returns the table's columns, with ``position`` only to sort by, under a name that clashes with none.
+Sources must be few enough for one task to order them (some millions).
 """
 
 from __future__ import annotations
@@ -97,7 +99,7 @@ def plan_mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "s
     targets = source_targets(parts.groupBy("key").agg(F.sum("part_size").alias("source_size")), schedules, most)
     along = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("key", "part", F.coalesce(F.sum("part_size").over(along), F.lit(0)).alias("start"))
-    inside = (Window.partitionBy("key", "part").orderBy("hash", "id", "size")
+    inside = (Window.partitionBy("key", "part").orderBy("hash", "id", "size", "print")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = sized.join(starts.join(targets, "key"), ["key", "part"]).withColumn(
         "before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))

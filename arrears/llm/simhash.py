@@ -110,7 +110,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     parts = components(grid_links(points, distance)).withColumnRenamed("node", "bits")
     # The component of a fingerprint, then the smallest id of the component.
     grouped = points.join(parts, "bits", "left").withColumn("component", F.coalesce("component", "bits"))
-    smallest = grouped.groupBy("component").agg(F.min("least").alias("smallest"))
+    # Written, so that the join below reads both sides from exchanges of its own and a large component can be split.
+    smallest = settle(grouped.groupBy("component").agg(F.min("least").alias("smallest")))
     classes = grouped.join(smallest, "component").select(
         "bits", F.col("component").alias("group"), F.col("smallest").alias("component"))
     return prints.join(classes, "bits").select("id", "print", "bits", "group", "component")
