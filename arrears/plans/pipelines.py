@@ -22,7 +22,7 @@ INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
 
 
 def build_taxpayers(store: FeatureStore, snapshot: str, certificates: DataFrame, invoices: DataFrame, model_folder: str | None = None,
-                    k: int | None = 5, trees: int = 100, depth: int = 10) -> dict:
+                    k: int | None = 5, trees: int = 100, depth: int = 15) -> dict:
     """Profile, segment, name and weigh the taxpayers of both partitions; save the classifier if it is accepted."""
     people = cut_lineage(features.accessibility(features.taxpayer_profile(certificates, invoices)))
     classified, learned = segments.segment_taxpayers(
@@ -76,7 +76,7 @@ def publish_lists(store: FeatureStore, snapshot: str, certificates: DataFrame, f
 
 
 def build_taxpayers_v1(store: FeatureStore, snapshot: str, properties: DataFrame, businesses: DataFrame, invoices: DataFrame,
-                       k: int = 4, trees: int = 100, depth: int = 10) -> tuple[object, Mapping[int, int]]:
+                       k: int = 4, trees: int = 100, depth: int = 15) -> tuple[object, Mapping[int, int]]:
     """First-generation store with classes; returns the classifier and the class number of each cluster."""
     people = cut_lineage(features.taxpayer_store_v1(properties, businesses, invoices))
     frequent = people.where(F.col("frequencia_da_pessoa") > 1).select("id_pessoa", *CLUSTER_FEATURES_V1)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
@@ -18,10 +20,12 @@ from arrears.operators.stats import fit_scaler, regression_metrics
 from arrears.operators.windows import in_training_share
 from arrears.plans.features import FEATURES_V2, score_overrides, weighted_status
 from arrears.plans.segments import classify
-from arrears.session import cut_lineage
+from arrears.session import training_rows
 
 PREDICTION = "igr"
 VECTOR = "atributos_igr"
+NODE_MEMORY_MB = 512  # statistics of the nodes that one pass splits; more nodes a pass, fewer passes
+FITS_AT_ONCE = 6
 
 
 def split(df: DataFrame, key: Sequence[str], seed: int = fv.SEED) -> tuple[DataFrame, DataFrame]:
@@ -42,7 +46,9 @@ def scaler_stage(train: DataFrame, columns: Sequence[str], kind: str | None) ->
 
 
 def forest(trees: int = 100, depth: int = 15, seed: int = fv.SEED) -> RandomForestRegressor:
-    return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed)
+    """Deep trees keep the node of every row beside it, checkpointed, instead of finding it from the root each level."""
+    return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True, checkpointInterval=5,
+                                 maxMemoryInMB=NODE_MEMORY_MB)
 
 
 def boosted(trees: int = 2000, rate: float = 0.02, share: float = 0.9, depth: int = 6, seed: int = 0) -> GBTRegressor:
@@ -73,10 +79,15 @@ def importances(model: PipelineModel, columns: Sequence[str]) -> list[tuple[str,
     return sorted(zip(columns, map(float, found)), key=lambda item: -item[1])
 
 
+def matrix(frame: DataFrame, columns: Sequence[str], target: str, key: Sequence[str]) -> DataFrame:
+    """The columns that training and its metrics read."""
+    return frame.select(*dict.fromkeys([*key, *columns, target]))
+
+
 def train_index(frame: DataFrame, columns: Sequence[str], target: str, key: Sequence[str], regressor=None,
                 scaler: str | None = "standard", seed: int = fv.SEED) -> tuple[PipelineModel, dict, list[tuple[str, float]]]:
     """Fit on 70 % of the keys; metrics on the rest; importances by name."""
-    train, test = split(frame, key, seed)
+    train, test = split(training_rows(matrix(frame, columns, target, key), key), key, seed)
     model = fit(train, columns, target, regressor or forest(seed=seed), scaler)
     metrics = regression_metrics(prediction(model, test), target, PREDICTION).first().asDict()
     return model, metrics, importances(model, columns)
@@ -84,22 +95,38 @@ def train_index(frame: DataFrame, columns: Sequence[str], target: str, key: Sequ
 
 def compare_models(frame: DataFrame, columns: Sequence[str], target: str, key: Sequence[str], regressors: Mapping[str, object],
                    scalers: Sequence[str] = ("standard", "robust", "minmax"), seed: int = fv.SEED) -> DataFrame:
-    """Metrics of every scaler with every model; ``None`` as a model is the mean baseline."""
-    ready = cut_lineage(frame)
-    train, test = split(ready, key, seed)
-    rows = []
-    for scaler in scalers:
-        for name, regressor in regressors.items():
-            if regressor is None:
-                predicted = mean_baseline(train, test, target)
-            else:
-                predicted = prediction(fit(train, columns, target, regressor, scaler), test)
-            m = regression_metrics(predicted, target, PREDICTION).first()
-            rows.append((scaler, name, m["n"], m["r2"], m["mse"], m["rmse"], m["ccc"]))
-    return frame.sparkSession.createDataFrame(
+    """Metrics of every scaler with every model; ``None`` as a model is the mean baseline.
+
+    All fits read one written matrix and run side by side: levels and rounds of one model are chains of small jobs,
+    which leave most cores to the others.
+    """
+    spark = frame.sparkSession
+    train, test = split(training_rows(matrix(frame, columns, target, key), key), key, seed)
+
+    def measured(scaler: str, name: str) -> tuple:
+        regressor = regressors[name]
+        if regressor is None:
+            predicted = mean_baseline(train, test, target)
+        else:
+            predicted = prediction(fit(train, columns, target, regressor, scaler), test)
+        m = regression_metrics(predicted, target, PREDICTION).first()
+        return scaler, name, m["n"], m["r2"], m["mse"], m["rmse"], m["ccc"]
+
+    rows = side_by_side(spark, [(measured, scaler, name) for scaler in scalers for name in regressors])
+    return spark.createDataFrame(
         rows, "escala string, modelo string, n bigint, r2 double, mse double, rmse double, ccc double")
 
 
+def side_by_side(spark: SparkSession, calls: Sequence[tuple[Callable, ...]], at_once: int = FITS_AT_ONCE) -> list:
+    """Results of driver-side calls (function, arguments), at most ``at_once`` at a time, in the order given.
+
+    Threads inherit job group, description and scheduler pool; the first failure is raised once all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(call), *arguments) for call, *arguments in calls]
+    return [done.result() for done in waiting]
+
+
 def residuals(predicted: DataFrame, target: str, key: Sequence[str] = (), without_ends: bool = True) -> DataFrame:
     """Observed, predicted and their difference, largest difference first.
 

@@ -18,7 +18,7 @@ from arrears.functions.scalars import code_map
 from arrears.functions.semantics import capped, guarded, last_wins, present, ratio
 from arrears.operators.stats import elbow
 from arrears.operators.windows import in_training_share
-from arrears.session import cut_lineage
+from arrears.session import training_rows
 
 VECTOR = "atributos"
 CLUSTER = "label_cluster"
@@ -96,10 +96,11 @@ def silhouette_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def train_classifier(df: DataFrame, columns: Sequence[str], key: Sequence[str], label: str = CLUSTER, trees: int = 100,
-                     depth: int = 10, seed: int = fv.SEED) -> tuple[PipelineModel, float]:
+                     depth: int = 15, seed: int = fv.SEED) -> tuple[PipelineModel, float]:
     """Random forest that repeats a cluster label, and its accuracy on the 30 % of keys it has not seen."""
     is_training = in_training_share(key, seed)
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol=VECTOR, labelCol=label,
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True, checkpointInterval=5,
+                                    maxMemoryInMB=512, featuresCol=VECTOR, labelCol=label,
                                     predictionCol="classe_prevista", probabilityCol="_p", rawPredictionCol="_r")
     assembler = VectorAssembler(inputCols=list(columns), outputCol=VECTOR)
     rows = df.drop(VECTOR)
@@ -154,13 +155,13 @@ def class_weights(taxpayers: DataFrame, name: str = "class_contribuinte_nome") -
 
 
 def segment_taxpayers(taxpayers: DataFrame, training: DataFrame, columns: Sequence[str], key: Sequence[str], k: int | None = 5,
-                      ks: Sequence[int] = tuple(range(2, 16)), trees: int = 100, depth: int = 10,
+                      ks: Sequence[int] = tuple(range(2, 16)), trees: int = 100, depth: int = 15,
                       seed: int = fv.SEED) -> tuple[DataFrame, dict]:
     """Cluster the training slice, learn the clusters, classify everyone, name and weigh the classes.
 
     Without ``k`` the elbow of the sweep decides. Returns the classified taxpayers and what was learned.
     """
-    prepared = cut_lineage(assembled(training, columns))
+    prepared = training_rows(assembled(training, columns), key)
     curve = sweep(prepared, ks, seed) if k is None else None
     chosen = best_k(curve) if curve is not None else k
     model = cluster(prepared, chosen, seed)

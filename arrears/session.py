@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first two; the rest keep joins on hot keys and small stages in shape.
@@ -15,8 +17,9 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Checkpoints go when nothing refers to them any more; only a new session can be told so.
-BUILD_OPTIONS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+# Checkpoints go when nothing refers to them any more; only a new session can be told so, as of the order of jobs.
+# Fair scheduling lets models that are trained side by side share the cores.
+BUILD_OPTIONS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", "spark.scheduler.mode": "FAIR"}
 
 
 def build_session(app: str = "arrears", master: str | None = None, **options: str) -> SparkSession:
@@ -54,3 +57,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def training_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows written once for a trainer that scans them dozens of times, dealt evenly over the cores by their key.
+
+    Without the exchange a small or coalesced input would leave every pass to one task.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(df.repartition(parts, *key))

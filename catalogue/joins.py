@@ -29,11 +29,12 @@ def join_left_renamed(src):
 
 
 @query("join_full", "id_pessoa:long qtd_notas_2anos:long dividas:long", """
-WITH d AS (SELECT id_pessoa, count(*) AS dividas FROM v_divida WHERE id_pessoa % 3 = 0 GROUP BY 1)
+WITH d AS (SELECT id_pessoa, count(*) AS dividas FROM v_divida WHERE da_aberto = 1 GROUP BY 1)
 SELECT coalesce(d.id_pessoa, n.id_pessoa) AS id_pessoa, n.qtd_notas_2anos, d.dividas
 FROM d FULL JOIN v_notas n ON n.id_pessoa = d.id_pessoa""")
 def join_full(src):
-    debts = src.divida.where(F.col("id_pessoa") % 3 == 0).groupBy("id_pessoa").agg(F.count(F.lit(1)).alias("dividas"))
+    """Open debts and invoices: some taxpayers have only the one, some only the other."""
+    debts = src.divida.where(F.col("da_aberto") == 1).groupBy("id_pessoa").agg(F.count(F.lit(1)).alias("dividas"))
     return J.full(debts, src.notas, ["id_pessoa"])
 
 

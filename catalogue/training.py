@@ -19,7 +19,7 @@ from arrears.plans import features as P
 from arrears.plans import pipelines
 from arrears.plans import recovery as R
 from arrears.plans import segments as S
-from arrears.session import cut_lineage
+from arrears.session import cut_lineage, training_rows
 from arrears.sources import files
 from catalogue.registry import query
 from catalogue.stores import (
@@ -69,7 +69,7 @@ SELECT k, (SELECT count(*) FROM (SELECT id_pessoa, tipo_divida FROM v_divida WHE
   AS pessoas, 1 AS nao_pior_que_k2, 1 AS cotovelo_no_intervalo FROM range(2, 16) AS sizes(k)""")
 def kmeans_sweep(src):
     """Inertia of 2 to 15 clusters; more clusters never fit worse than two."""
-    prepared = cut_lineage(S.assembled(P.training_slice(accessible(src)), P.CLUSTER_FEATURES))
+    prepared = training_rows(S.assembled(P.training_slice(accessible(src)), P.CLUSTER_FEATURES), ["id_pessoa", "tipo_divida"])
     curve = S.sweep(prepared, range(2, 16))
     inertia = {r["k"]: r["inercia"] for r in curve.collect()}  # one row per k
     people, inside = prepared.count(), int(S.best_k(curve) in inertia)
@@ -125,7 +125,7 @@ def class_weights(src):
 @query("igr_regressor", "n:long melhor_que_media:long erros_coerentes:long", f"""
 SELECT count(*) AS n, 1 AS melhor_que_media, 1 AS erros_coerentes FROM v_divida WHERE {HELD_OUT_SQL}""")
 def igr_regressor(src):
-    _, m, _ = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
+    _, m, _ = R.train_index(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
     coherent = int(abs(m["rmse"] ** 2 - m["mse"]) < 1e-9 and -1 <= m["ccc"] <= 1)
     return facts(src, [(m["n"], beats_mean(m), coherent)], "n bigint, melhor_que_media int, erros_coerentes int")
 
@@ -141,8 +141,7 @@ def credit_frame(src):
 WITH {CREDIT_CTE} SELECT count(*) AS n, 1 AS erro_valido FROM cs
 WHERE ano < 2001 AND NOT {training_sql('dam', 'id_imovel')}""")
 def boosted_regressor(src):
-    frame = cut_lineage(credit_frame(src))
-    _, m, _ = R.train_index(frame, CREDIT_FEATURES, "percentual_pago", ["dam", "id_imovel"], R.boosted(trees=BOOSTING_ROUNDS))
+    _, m, _ = R.train_index(credit_frame(src), CREDIT_FEATURES, "percentual_pago", ["dam", "id_imovel"], R.boosted(trees=BOOSTING_ROUNDS))
     return facts(src, [(m["n"], valid_error(m["mse"]))], "n bigint, erro_valido int")
 
 
@@ -160,7 +159,7 @@ def model_comparison(src):
 @query("importances", "variavel:string entre_zero_e_um:long somam_um:long", " UNION ALL ".join(
     f"SELECT '{c}' AS variavel, 1 AS entre_zero_e_um, 1 AS somam_um" for c in P.FEATURES_V2))
 def importances(src):
-    _, _, found = R.train_index(cut_lineage(index_frame(src)), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
+    _, _, found = R.train_index(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
     whole = int(abs(sum(v for _, v in found) - 1) < 1e-6)
     return facts(src, [(name, int(0 <= v <= 1), whole) for name, v in found], "variavel string, entre_zero_e_um int, somam_um int")
 
@@ -199,7 +198,7 @@ def scored(src):
     people, learned = segmented(src)
     people = cut_lineage(people)
     debts = P.debt_store(src.divida)
-    frame = cut_lineage(P.training_frame(debts, P.first_debt_floor(people)))
+    frame = P.training_frame(debts, P.first_debt_floor(people))
     model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.forest(TREES))
     open_people = people.where(F.col("da_aberto") == 1).select(
         "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
@@ -228,12 +227,12 @@ WITH {STORE_V1_CTE}, {PARCEL_CTE}, {STOCK_CTE} SELECT cda, valor_total_da, anos_
 def solo_scores(src):
     store = cut_lineage(store_v1(src))
     frequent = store.where(F.col("frequencia_da_pessoa") > 1).select("id_pessoa", *V1_CLUSTER_FEATURES)
-    prepared = cut_lineage(S.assembled(frequent, V1_CLUSTER_FEATURES))
+    prepared = training_rows(S.assembled(frequent, V1_CLUSTER_FEATURES), ["id_pessoa"])
     clusters = S.cluster(prepared, 4)
     classifier, _ = S.train_classifier(clusters.transform(prepared), V1_CLUSTER_FEATURES, ["id_pessoa"], trees=TREES)
     order = S.cluster_order(clusters, V1_CLUSTER_FEATURES, ["historico_pagamento_em_valor"])
     classes = dict(zip(order, fv.CLUSTER_CLASSES_V1))
-    frame = cut_lineage(P.training_frame_v1(debts_v1(src), store))
+    frame = P.training_frame_v1(debts_v1(src), store)
     model, _, _ = R.train_index(frame, P.FEATURES_V1, P.TARGET, ["cda"], R.forest(TREES))
     requests = P.scoring_frame(stock_with_features(src)).select(
         "cda", "valor_total_da", "anos_idade_da", "quantidade_reparcelamentos", "situacao_ativa", "edificacao",
