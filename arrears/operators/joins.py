@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arrears.functions.semantics import present
+from arrears.session import cut_lineage
 
 
 def inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -83,13 +84,46 @@ def suffixed(left: DataFrame, right_side: DataFrame, on: Sequence[str], how: str
 
 
 def attach_measures(df: DataFrame, keys: Sequence[str], *measures) -> DataFrame:
-    """Group measures next to every row of their group: aggregate first, then join the small result back."""
-    grouped = present(df, *keys).groupBy(*keys).agg(*measures)
+    """Group measures next to every row of their group: aggregate first, then join the result back.
+
+    The groups are written first. An aggregate in the stage of the join would keep a hot key from being split; with
+    both sides behind exchanges of their own it is.
+    """
+    grouped = cut_lineage(present(df, *keys).groupBy(*keys).agg(*measures))
     return left_join(df, grouped, keys)
 
 
-def expect_rows(before: DataFrame, after: DataFrame, what: str) -> None:
-    """Fail when a step changed the number of rows."""
-    n, m = before.count(), after.count()
-    if n != m:
-        raise ValueError(f"{what}: {n} rows became {m}")
+class Conservation:
+    """Row count and sums of a frame at two places of one plan, taken by the very pass that writes the result.
+
+    ``enter`` marks the frame before a step, ``leave`` the one behind it; both are observed while the plan runs, so
+    nothing is planned or read twice. ``sums`` maps a name to the column before and the column behind. Sums should be
+    of whole numbers or decimals, which do not depend on the order of rows. ``check`` is called after the write and
+    fails when the two differ.
+    """
+
+    def __init__(self, what: str, **sums: tuple[str, str]):
+        self.what = what
+        self.sums = sums
+        self._before, self._behind = Observation(), Observation()
+
+    def _totals(self, side: int) -> list[Column]:
+        return [F.count(F.lit(1)).alias("rows"), *[F.sum(pair[side]).alias(name) for name, pair in self.sums.items()]]
+
+    def enter(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._before, *self._totals(0))
+
+    def leave(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._behind, *self._totals(1))
+
+    def totals(self) -> tuple[dict, dict]:
+        """Count and sums before and behind; 0 where there were no rows to observe."""
+        found = [side.get for side in (self._before, self._behind)]
+        return tuple({name: side.get(name) or 0 for name in ("rows", *self.sums)} for side in found)
+
+    def check(self) -> dict:
+        before, behind = self.totals()
+        changed = [f"{name} {before[name]} became {behind[name]}" for name in before if before[name] != behind[name]]
+        if changed:
+            raise ValueError(f"{self.what}: {', '.join(changed)}")
+        return before

@@ -13,7 +13,7 @@ from arrears.functions.semantics import (
 )
 from arrears.operators.cleaning import fill_everything, fill_nulls, typed_key, union_all
 from arrears.operators.extract import with_date
-from arrears.operators.joins import left_join, left_renamed
+from arrears.operators.joins import Conservation, left_join, left_renamed
 from arrears.operators.quantiles import exact_quantiles
 from arrears.operators.windows import credit_recurrence, cumulative
 
@@ -209,14 +209,20 @@ def training_frame_v1(debts: DataFrame, taxpayers: DataFrame, age_limit: int = f
     return fill_nulls(recent.join(people, "id_pessoa"), {"quantidade_reparcelamentos": 0})
 
 
-def training_frame(debts: DataFrame, taxpayers: DataFrame, age_limit: int = fv.TRAINING_AGE_LIMIT) -> DataFrame:
-    """Closed recent debts, second generation, with closed-partition taxpayer features."""
+def training_frame(debts: DataFrame, taxpayers: DataFrame, age_limit: int = fv.TRAINING_AGE_LIMIT,
+                   watch: Conservation | None = None) -> DataFrame:
+    """Closed recent debts, second generation, with closed-partition taxpayer features.
+
+    ``watch`` observes the debts before and behind the join, which must neither lose nor repeat any.
+    """
     recent = debts.where((F.col("da_aberto") == 0) & (F.col("idade_divida") < age_limit)).select(
         *PARTITIONED, TARGET, "valor_total_da", "idade_divida")
     people = fill_nulls(taxpayers.where(F.col("da_aberto") == 0).select(
         "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
         "situacao_cobranca", "class_contribuinte_peso"), {"quantidade_reparcelamento": 0})
-    return left_join(recent, people, ["id_pessoa", "tipo_divida"])
+    if watch is None:
+        return left_join(recent, people, ["id_pessoa", "tipo_divida"])
+    return watch.leave(left_join(watch.enter(recent), people, ["id_pessoa", "tipo_divida"]))
 
 
 def first_debt_floor(taxpayers: DataFrame, good: str = "DEVEDOR BOM", level: float = 0.75) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
 from arrears.functions.scalars import code_map
+from arrears.operators.joins import Conservation, left_join
 from arrears.plans import collection, features, recovery, segments
 from arrears.session import cut_lineage
 from arrears.sources.files import FeatureStore
@@ -19,6 +20,7 @@ from arrears.sources.files import FeatureStore
 TAXPAYERS, DEBTS, SCORED = "fs_contribuinte", "fs_igr", "estoque_avaliado"
 CLUSTER_FEATURES_V1 = ["status_situacao", "historico_pagamento_em_qtd", "historico_pagamento_em_valor"]
 INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
+TAXPAYER_KEY = ["id_pessoa", "tipo_divida"]  # taxpayers and debts are bucketed by it, so they join without an exchange
 
 
 def build_taxpayers(store: FeatureStore, snapshot: str, certificates: DataFrame, invoices: DataFrame, model_folder: str | None = None,
@@ -27,7 +29,7 @@ def build_taxpayers(store: FeatureStore, snapshot: str, certificates: DataFrame,
     people = cut_lineage(features.accessibility(features.taxpayer_profile(certificates, invoices)))
     classified, learned = segments.segment_taxpayers(
         people, features.training_slice(people), features.CLUSTER_FEATURES, ["id_pessoa", "tipo_divida"], k, trees=trees, depth=depth)
-    store.publish(classified, TAXPAYERS, snapshot)
+    store.publish(classified, TAXPAYERS, snapshot, TAXPAYER_KEY)
     accepted = recovery.accept_segments(learned["k"])
     path = recovery.save_if_accepted(learned["classifier"], accepted and bool(model_folder), model_folder or "", "classificador-contribuinte")
     return {"num_clusters": learned["k"], "inercia": learned["inertia"], "centroides": learned["centroids"],
@@ -35,32 +37,37 @@ def build_taxpayers(store: FeatureStore, snapshot: str, certificates: DataFrame,
 
 
 def build_debts(store: FeatureStore, snapshot: str, certificates: DataFrame) -> None:
-    store.publish(features.debt_store(certificates), DEBTS, snapshot)
+    store.publish(features.debt_store(certificates), DEBTS, snapshot, TAXPAYER_KEY)
 
 
 def train(store: FeatureStore, snapshot: str, model_folder: str, trees: int = 100, depth: int = 15,
           r2: float = fv.GATE_R2, mse: float = fv.GATE_MSE) -> dict:
     """Train the recovery index on closed recent debts; save the model only when it passes the gate."""
     people = features.first_debt_floor(store.read(TAXPAYERS, snapshot))
-    frame = cut_lineage(features.training_frame(store.read(DEBTS, snapshot), people))
-    model, metrics, weights = recovery.train_index(frame, features.FEATURES_V2, features.TARGET, INDEX_KEY, recovery.forest(trees, depth))
+    watch = Conservation("training frame", value=("valor_total_da", "valor_total_da"))
+    frame = features.training_frame(store.read(DEBTS, snapshot), people, watch=watch)
+    model, metrics, weights = recovery.train_index(
+        frame, features.FEATURES_V2, features.TARGET, INDEX_KEY, recovery.forest(trees, depth), watch=watch)
     path = recovery.save_if_accepted(model, recovery.accept_regressor(metrics, r2, mse), model_folder, "modelo-igr")
     return {**metrics, "importancias": weights, "modelo": path}
 
 
-def stock(store: FeatureStore, snapshot: str) -> DataFrame:
-    """Open certificates with the open-partition features of their taxpayers."""
+def stock(store: FeatureStore, snapshot: str, watch: Conservation | None = None) -> DataFrame:
+    """Open certificates with the open-partition features of their taxpayers; ``watch`` observes the join."""
     people = store.read(TAXPAYERS, snapshot).where(F.col("da_aberto") == 1).select(
         "id_pessoa", "tipo_divida", "num_dist_cda", "quantidade_reparcelamento", "historico_pagamento_em_valor",
         "situacao_cobranca", "class_contribuinte", "class_contribuinte_nome", "class_contribuinte_peso")
     debts = store.read(DEBTS, snapshot).where(F.col("da_aberto") == 1).drop("quantidade_reparcelamento")
-    return debts.join(people, ["id_pessoa", "tipo_divida"], "left")
+    if watch is None:
+        return left_join(debts, people, TAXPAYER_KEY)
+    return watch.leave(left_join(watch.enter(debts), people, TAXPAYER_KEY))
 
 
 def score(store: FeatureStore, snapshot: str, model_path: str, variant: str = "k5") -> DataFrame:
     """Score and rate the open stock, publish it and return the rating summary."""
-    rated = recovery.score_stock(stock(store, snapshot), recovery.open_model(model_path), variant)
-    store.publish(rated, SCORED, snapshot)
+    watch = Conservation("scored stock", value=("valor_total_da", "valor_total_da"))
+    rated = recovery.score_stock(stock(store, snapshot, watch), recovery.open_model(model_path), variant)
+    store.publish(rated, SCORED, snapshot, watch=watch)
     return collection.rating_summary(store.read(SCORED, snapshot))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from arrears.functions import fixed_values as fv
 from arrears.functions.ratings import rating
 from arrears.functions.scalars import code_map
+from arrears.operators.joins import Conservation
 from arrears.operators.stats import fit_scaler, regression_metrics
 from arrears.operators.windows import in_training_share
 from arrears.plans.features import FEATURES_V2, score_overrides, weighted_status
@@ -85,9 +86,16 @@ def matrix(frame: DataFrame, columns: Sequence[str], target: str, key: Sequence[
 
 
 def train_index(frame: DataFrame, columns: Sequence[str], target: str, key: Sequence[str], regressor=None,
-                scaler: str | None = "standard", seed: int = fv.SEED) -> tuple[PipelineModel, dict, list[tuple[str, float]]]:
-    """Fit on 70 % of the keys; metrics on the rest; importances by name."""
-    train, test = split(training_rows(matrix(frame, columns, target, key), key), key, seed)
+                scaler: str | None = "standard", seed: int = fv.SEED,
+                watch: Conservation | None = None) -> tuple[PipelineModel, dict, list[tuple[str, float]]]:
+    """Fit on 70 % of the keys; metrics on the rest; importances by name.
+
+    ``watch`` is checked as soon as the rows are written, before anything is learned from them.
+    """
+    rows = training_rows(matrix(frame, columns, target, key), key)
+    if watch is not None:
+        watch.check()
+    train, test = split(rows, key, seed)
     model = fit(train, columns, target, regressor or forest(seed=seed), scaler)
     metrics = regression_metrics(prediction(model, test), target, PREDICTION).first().asDict()
     return model, metrics, importances(model, columns)

@@ -14,7 +14,7 @@ from arrears.functions import fixed_values as fv
 from arrears.functions.bands import band_crosstab, half_open_labels
 from arrears.functions.semantics import round_even
 from arrears.operators import cleaning as C
-from arrears.operators.joins import left_join
+from arrears.operators.joins import Conservation, left_join
 from arrears.plans import features as P
 from arrears.plans import pipelines
 from arrears.plans import recovery as R
@@ -278,6 +278,35 @@ def store_roundtrip(src):
     return store.read("fs_contribuinte", "2002-01-01")
 
 
+@query("conserved_joins", "etapa:string linhas_antes:long linhas_depois:long valor_antes:double valor_depois:double trocas:long", f"""
+SELECT 'treino' AS etapa, count(*) AS linhas_antes, count(*) AS linhas_depois, sum(valor_tot) AS valor_antes, sum(valor_tot) AS valor_depois,
+  0 AS trocas FROM v_divida WHERE da_aberto = 0 AND idade_divida < {AGE}
+UNION ALL SELECT 'estoque', count(*), count(*), sum(valor_tot), sum(valor_tot), 0 FROM v_divida WHERE da_aberto = 1""")
+def conserved_joins(src):
+    """Debts and money before and behind the joins with the taxpayers, observed while the joined rows are written, and
+    the exchanges that the joins of the bucketed stores plan."""
+    store = files.FeatureStore(src.spark, files.scratch_folder(src.spark, "conserved"), buckets=8)
+    base = cut_lineage(src.divida)
+    store.publish(P.debt_store(base), pipelines.DEBTS, "2002-01", pipelines.TAXPAYER_KEY)
+    people = taxpayers(src).withColumn("class_contribuinte", F.lit(0))
+    store.publish(people, pipelines.TAXPAYERS, "2002-01", pipelines.TAXPAYER_KEY)
+    rows = []
+    for stage in ("treino", "estoque"):
+        watch = Conservation(stage, value=("valor_total_da", "valor_total_da"))
+        joined = pipelines.stock(store, "2002-01", watch) if stage == "estoque" else P.training_frame(
+            store.read(pipelines.DEBTS, "2002-01"), store.read(pipelines.TAXPAYERS, "2002-01"), watch=watch)
+        exchanges = exchanges_of(joined)
+        store.publish(joined, stage, "2002-01", watch=watch)
+        before, behind = watch.totals()
+        rows.append((stage, before["rows"], behind["rows"], float(before["value"]), float(behind["value"]), exchanges))
+    return facts(src, rows, "etapa string, linhas_antes bigint, linhas_depois bigint, valor_antes double, valor_depois double, trocas int")
+
+
+def exchanges_of(df) -> int:
+    """How many exchanges by hash or range a plan holds before it runs; broadcasts of small sides are none."""
+    return df._jdf.queryExecution().executedPlan().toString().count(" Exchange ")
+
+
 LEARNED_BEFORE = 2000
 
 

@@ -4,9 +4,10 @@ import zipfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.operators.joins import expect_rows
+from arrears.operators.joins import Conservation, left_join
 from arrears.sources import archives, database, files
 
 SCHEMA = T.StructType([
@@ -114,7 +115,70 @@ def test_load_tables(spark, tmp_path):
     assert tables["b"].first()["id"] == 2
 
 
+def rows_of(store, table="fs"):
+    return sorted(map(tuple, store.read(table, "2020").select("id", "da_aberto", "valor").collect()))
+
+
+def small(spark, *rows):
+    return spark.createDataFrame(rows, "id int, da_aberto int, valor bigint")
+
+
+@pytest.mark.parametrize("keys", [(), ("id",)])
+def test_a_failed_publication_leaves_the_one_before(spark, tmp_path, keys):
+    store = files.FeatureStore(spark, str(tmp_path), buckets=3)
+    with pytest.raises(FileNotFoundError):
+        store.read("fs", "2020")
+    store.publish(small(spark, (1, 0, 5), (2, 1, 6)), "fs", "2020", keys)
+    first = store.current("fs", "2020")
+    broken = small(spark, (3, 0, 7)).withColumn("valor", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        store.publish(broken, "fs", "2020", keys)
+    watch = Conservation("repeated", value=("valor", "valor"))
+    repeated = watch.leave(watch.enter(small(spark, (3, 0, 7))).crossJoin(spark.range(2).drop("id")))
+    with pytest.raises(ValueError, match="repeated: rows 1 became 2, value 7 became 14"):
+        store.publish(repeated, "fs", "2020", keys, watch)
+    assert store.current("fs", "2020") == first and rows_of(store) == [(1, 0, 5), (2, 1, 6)]
+    store.publish(small(spark, (4, 0, 8)), "fs", "2020", keys)
+    again = files.FeatureStore(spark, str(tmp_path))
+    assert rows_of(again) == [(4, 0, 8)] and again.current("fs", "2020") > first
+    store.prune("fs", "2020", keep=1)
+    assert rows_of(store) == [(4, 0, 8)] and len(list((tmp_path / "fs" / "snapshot=2020").glob("0000000[1]-*"))) == 0
+
+
+def test_readers_keep_the_version_they_opened(spark, tmp_path):
+    store = files.FeatureStore(spark, str(tmp_path), buckets=2)
+    store.publish(small(spark, (1, 0, 5)), "fs", "2020", ["id"])
+    opened = store.read("fs", "2020")
+    store.publish(small(spark, (2, 0, 6)), "fs", "2020", ["id"])
+    assert opened.collect()[0]["id"] == 1 and rows_of(store) == [(2, 0, 6)]
+
+
+def test_bucketed_stores_join_without_an_exchange(spark, tmp_path):
+    store = files.FeatureStore(spark, str(tmp_path), buckets=4)
+    left = spark.range(200).selectExpr("CAST(id % 50 AS int) AS id", "'a' AS tipo", "CAST(id % 2 AS int) AS da_aberto")
+    store.publish(left, "dividas", "2020", ["id", "tipo"])
+    store.publish(left.distinct().withColumn("peso", F.lit(1)), "pessoas", "2020", ["id", "tipo"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        people = store.read("pessoas", "2020").where("da_aberto = 0").drop("da_aberto")
+        joined = left_join(store.read("dividas", "2020"), people, ["id", "tipo"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_row_conservation(spark):
-    expect_rows(spark.range(3), spark.range(3), "same")
-    with pytest.raises(ValueError, match="3 rows became 2"):
-        expect_rows(spark.range(3), spark.range(2), "fewer")
+    watch = Conservation("same", total=("id", "number"))
+    kept = watch.leave(watch.enter(spark.range(5)).withColumnRenamed("id", "number"))
+    kept.write.format("noop").mode("overwrite").save()
+    assert watch.check() == {"rows": 5, "total": 10}
+    watch = Conservation("fewer")
+    watch.leave(watch.enter(spark.range(3)).where("id > 0")).collect()
+    with pytest.raises(ValueError, match="fewer: rows 3 became 2"):
+        watch.check()
+    watch = Conservation("nothing")
+    watch.leave(watch.enter(spark.range(0))).collect()
+    assert watch.check() == {"rows": 0}
