@@ -8,8 +8,13 @@ each node its last token from its ancestors' tokens, and a prefix shared by many
 Texts never leave their partition: there is no shuffle, tasks keep no state between partitions, and a worker's table
 of known words is emptied when it holds ``KNOWN_WORDS`` entries, which changes time only.
 
+A node keeps its last token and where that begins; the ids of a word are put together once, at its end, by going back
+from token to token. So a word of any length costs linear time and memory.
+
 Rules: a null text is the empty text; empty texts give no ids; the strings of special tokens in a text become those
-tokens; very long texts are encoded whole.
+tokens; very long texts and words are encoded whole; repeated rows are encoded alike; an empty table gives an empty
+result. Classes and lower case of letters are those of the library's own Unicode tables, asked once when a vocabulary
+is loaded. Columns beside the text pass through untouched under any name.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +42,29 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+CLASSES = {r"\p{L}": (r"\p{L}", "\u4e00"), r"\p{N}": (r"\p{N}", "\u0663"), r"\s": (r"\p{White_Space}", "\u2003")}
+OTHER = "\u2603"
+
+
+@cache
+def library_letters() -> tuple[dict[str, str], dict[int, str]]:
+    """Code points that the library's Unicode tables treat differently from Python's: their normal form, and a stand-in
+    of their class for the word pattern. Planes 4 to 13, 15 and 16 hold no letters and are not asked."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000)]]
+    everything = "".join(points)
+    lower = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
+    changed = {point: told for point in points if (told := lower(point)) != normal(point)}
+    told, own = {}, {}
+    for name, (prop, sign) in CLASSES.items():
+        split = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True)
+        told[sign] = set().union(*(piece for piece, _ in split.pre_tokenize_str(everything)))
+        own[sign] = set(regex.findall(prop, everything))
+    odd = set().union(*(told[sign] ^ own[sign] for sign in told))
+    return changed, {ord(point): next((sign for sign in told if point in told[sign]), OTHER) for point in odd}
+
+
 class Vocabulary:
     """What encoding and decoding need of a tokenizer file: ids, merge ranks, word pattern, special tokens.
 
@@ -53,6 +82,7 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in whole["added_tokens"]}
         split = next(p for p in whole["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern: str = split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
+        self.lower, self.odd = library_letters()
         self.parts: dict[str, tuple[str, str]] = {}
         self.born: dict[str, int] = {}
         self.rank: dict[tuple[str, str], int] = {}
@@ -110,12 +140,12 @@ class WordEncoder:
         """Insert words into a trie and hand states down it depth first.
 
         Sorted words are the trie: neighbours share their path up to their common start, and reading on walks it depth
-        first. ``last`` and ``code`` hold the last token and the whole encoding of each node on the current path.
+        first. ``last`` and ``back`` hold the last token of each node on the current path and where it begins.
         """
         symbols = self.alphabet.__getitem__
         spelled = sorted((word if word.isascii() and word.isprintable() else
                           "".join(map(symbols, word.encode("utf-8"))), word) for word in words)
-        last, code, before = [""], [b""], ""
+        last, back, before = [""], [0], ""
         out: dict[str, bytes] = {}
         packed, packed_end, find = self.packed, self.packed_end, self._last
         for path, word in spelled:
@@ -123,20 +153,29 @@ class WordEncoder:
             common, most = 0, min(size, len(last)) - 1
             while common < most and path[common] == before[common]:
                 common += 1
-            del last[common + 1:], code[common + 1:]
+            del last[common + 1:], back[common + 1:]
             for depth in range(common + 1, size):
-                token, begin = find(path[:depth], depth, packed, last)
+                token, begin = find(path, depth, packed, last)
                 last.append(token)
-                code.append(code[begin] + packed[token])
+                back.append(begin)
             token, begin = find(path, size, packed_end, last)
-            out[word] = code[begin] + packed_end[token]
+            if begin:
+                ids = [packed_end[token]]
+                while begin:
+                    ids.append(packed[last[begin]])
+                    begin = back[begin]
+                ids.reverse()
+                out[word] = b"".join(ids)
+            else:
+                out[word] = packed_end[token]
             before = path
         return out
 
     def _last(self, path: str, size: int, tokens: dict[str, bytes], last: list[str]) -> tuple[str, int]:
-        """The one token of ``tokens`` that ends ``path``, longest first, and where it begins."""
+        """The one token of ``tokens`` that ends the first ``size`` letters of ``path``, longest first, and where it
+        begins."""
         for begin in range(max(0, size - self.longest), size):
-            token = path[begin:]
+            token = path[begin:size]
             if token in tokens:
                 if begin == 0:
                     return token, 0
@@ -146,7 +185,7 @@ class WordEncoder:
                     fits = self._fits(last[begin], whole)
                 if fits:
                     return token, begin
-        raise ValueError(f"no token ends {path!r}")
+        raise ValueError(f"no token ends {path[max(0, size - self.longest):size]!r}")
 
     def _fits(self, left: str, right: str) -> bool:
         if len(self.pairs) >= KNOWN_PAIRS:
@@ -160,7 +199,9 @@ class TextEncoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.words = WordEncoder(vocabulary)
-        self.split = regex.compile(vocabulary.pattern).findall
+        self.split = regex.compile(vocabulary.pattern)
+        self.lower, self.odd = vocabulary.lower, vocabulary.odd
+        self.strange = frozenset([*self.lower, *map(chr, self.odd)])
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.known = {s: i.to_bytes(4, "little") for s, i in vocabulary.special.items()}
@@ -170,9 +211,16 @@ class TextEncoder:
         if self.special and self.special.search(text):
             out: list[str] = []
             for part in self.special.split(text):
-                out += [part] if part in self.fixed else self.split(normal(part))
+                out += [part] if part in self.fixed else self.plain(part)
             return out
-        return self.split(normal(text))
+        return self.plain(text)
+
+    def plain(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        if text.isascii() or self.strange.isdisjoint(text):
+            return self.split.findall(normal(text))
+        text = "".join(self.lower.get(c) or normal(c) for c in unicodedata.normalize("NFC", text))
+        return [text[found.start():found.end()] for found in self.split.finditer(text.translate(self.odd))]
 
     def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
         chunk: list[list[str]] = []

@@ -1,6 +1,7 @@
 """Encoding and decoding against the tokenizers library."""
 
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,34 @@ def test_documents(spark, library):
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert docs.withColumn("ids", bpe.encode(spark, F.col("text"), tokenizer_path())).count() == 0
+
+
+def test_letters_of_one_unicode_table_only(library, encoder):
+    strange = [*encoder.lower, *map(chr, sorted(encoder.odd)[::9])]
+    texts = [f"a{c}b {c} 1{c}{c}" for c in strange]
+    rng = random.Random(11)
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    texts += ["".join(chr(rng.choice(points)) for _ in range(30)) for _ in range(1500)]
+    assert [unpack(i) for i in encoder.encode(iter(texts))] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("letters", ["acgt", "abcdefghijklmnopqrstuvwxyz", "a"])
+def test_long_words(library, encoder, letters):
+    rng = random.Random(12)
+    word = "".join(rng.choice(letters) for _ in range(30_000))
+    ids, = encoder.encode(iter([word]))
+    assert unpack(ids) == library.encode(word, add_special_tokens=False).ids
+
+
+def test_long_words_take_linear_memory(encoder):
+    """Some hundred bytes a letter: a word of a million letters stays below 500 MB."""
+    rng = random.Random(13)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60_000))
+    tracemalloc.start()
+    ids, = encoder.encode(iter([word]))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 400 * len(word)
+    spelled = "".join(encoder.words.v.names[i] for i in unpack(ids))
+    assert spelled.removesuffix(encoder.words.suffix) == word

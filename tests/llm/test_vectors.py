@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import clashing
+from tests.llm.helpers import clashing
 from pyspark.sql import functions as F
 
 from arrears.llm import centroids, negatives
