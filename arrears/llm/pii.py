@@ -1,20 +1,23 @@
-"""Personal data: patterns find it, and corpus co-occurrence finds the words beside it that give it away.
-
-Base spans are the values of four patterns that pass their checks. Each distinct value is a protected entity. Around
-every value lies a context of ``REACH`` code points to each side, up to the next value of its kind. A word of a context
-discloses the entity by their pointwise mutual information, log(p(entity, word) / (p(entity) p(word))), estimated from
-the documents that hold each; the information content of the entity, -log p(entity), is the most it can be. Words whose
-share of it reaches ``DISCLOSURE``, seen with the entity in at least ``CONTEXTS`` different contexts (copies of a text
-have the same contexts and count once), become spans of kind ``term``. ``sanitise`` generalises values to their kind
-and terms to ``[TERM]``.
-
-Document frequencies come from all words of all documents, combined on the map side before they move. Values and their
-contexts are few and short; texts are never shuffled to find spans. Everything is a built-in expression. The patterns
-take no step twice: a run of characters is entered at its start or where the last value ended, and loops do not give
-back, so long runs cost linear time and no stack.
+"""Personal data: patterns find it, and corpus co-occurrence finds the words in its documents that give it away.
+
+Base spans are the values of four patterns that pass their checks. Each distinct value is a protected entity e. A word
+w discloses it by their pointwise mutual information, log(p(w | e) / p(w)), estimated from whole documents: p(w) is the
+share of documents that hold the word, p(w | e) that of the entity's documents, smoothed by ``SMOOTHING`` documents
+that hold the word as often as any do, so that one document is weaker evidence than ten. The information content of the
+entity, -log p(e), is the most it can be. Words whose share of it reaches ``DISCLOSURE`` become spans of kind ``term``
+wherever they stand in documents that hold the entity, outside of base spans. ``sanitise`` generalises values to their
+kind and terms to ``[TERM]``. Copies of a text are one document for all counts.
+
+Document frequencies come from all words of all documents, combined on the map side before they move; texts that have
+copies are counted as often as they stand and corrected once per text. Only texts that hold values are read a second
+time for the places of their words. Everything is a built-in expression. The patterns take no step twice: a run of
+characters is entered at its start or where the last value ended, and loops do not give back, so long runs cost linear
+time and no stack.
 
 Rules: a null text is empty and has no spans; offsets count code points, ends are exclusive; rows that repeat id and
-text have the same spans each; a null id is an id of its own; values are compared in lower case.
+text have the same spans each; a null id is an id of its own; values and words are compared in lower case; an entity of
+all documents has no content and no terms; very long texts are read whole; an empty table gives an empty result. A
+column of the table that has the name of an output column gives way to it; all others pass through.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.common import fresh, settle
+from arrears.llm.common import fresh, others, settle
 
 KINDS = ("email", "ip", "card", "phone", "term")
 LOCAL = "A-Za-z0-9._%+-"
@@ -32,8 +35,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-REACH = 80
-DISCLOSURE, CONTEXTS = 0.75, 3
+DISCLOSURE, SMOOTHING = 0.85, 1.0
 TERM = r"\p{L}{3,}"
 BYTE_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -53,100 +55,131 @@ def passes(kind: Column, value: Column) -> Column:
             .otherwise(size.between(9, 15)))
 
 
-def base_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows (id, print, kind, start, end, value, left, right): the values that pass, with their contexts."""
+def numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Rows (id, print, text), null texts empty."""
     text = F.coalesce(F.col(text_column), F.lit(""))
+    return docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
+
+
+def base_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Rows (id, print, kind, start, end, value): the values that pass."""
     own = F.col("text")
     needs = {"email": own.contains("@"), "phone": own.contains("+"), "ip": own.rlike("[0-9]"),
              "card": own.rlike("[0-9]")}
-    found = []
-    for kind, pattern in PATTERNS.items():
-        values = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
-        pieces = F.split(F.col("text"), pattern, -1)
-        found.append(F.when(needs[kind], F.struct(F.lit(kind).alias("kind"), values.alias("values"), F.transform(
-            pieces, lambda p: F.struct(F.length(p).alias("size"), F.left(p, F.lit(REACH)).alias("head"),
-                                       F.right(p, F.lit(REACH)).alias("tail"))).alias("pieces"))))
-    hits = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    found = [F.when(needs[kind], F.struct(F.lit(kind).alias("kind"), placed(pattern).alias("pairs")))
+             for kind, pattern in PATTERNS.items()]
+    hits = numbered(docs, id_column, text_column)
     hits = hits.select("id", "print", F.explode(F.array_compact(F.array(*found))).alias("hit")).where(
-        F.size("hit.values") > 0)
+        F.size("hit.pairs") > 0)
     # Rows that repeat id and text are one here; all values of a row and kind then lie in one partition.
-    hits = hits.groupBy("id", "print", F.col("hit.kind").alias("kind")).agg(F.first("hit").alias("hit"))
-    pairs = F.transform(F.col("hit.values"), lambda v, at: F.struct(
-        v.alias("value"), F.get(F.col("hit.pieces"), at).alias("before"),
-        F.get(F.col("hit.pieces"), at + 1).alias("after")))
-    each = hits.select("id", "print", "kind", F.posexplode(pairs).alias("at", "pair"))
-    row = Window.partitionBy("id", "print", "kind").orderBy("at")
-    gaps = F.sum(F.col("pair.before.size").cast("long")).over(row.rowsBetween(Window.unboundedPreceding, 0))
-    past = F.sum(F.length("pair.value").cast("long")).over(row.rowsBetween(Window.unboundedPreceding, -1))
-    each = each.withColumn("start", gaps + F.coalesce(past, F.lit(0)))
-    return each.where(passes(F.col("kind"), F.col("pair.value"))).select(
-        "id", "print", "kind", "start", (F.col("start") + F.length("pair.value")).alias("end"),
-        F.lower("pair.value").alias("value"),
-        F.when(F.col("pair.before.size") > REACH, F.regexp_replace("pair.before.tail", r"^\p{L}+", ""))
-        .otherwise(F.col("pair.before.tail")).alias("left"),
-        F.when(F.col("pair.after.size") > REACH, F.regexp_replace("pair.after.head", r"\p{L}+$", ""))
-        .otherwise(F.col("pair.after.head")).alias("right"))
-
-
-def context_terms(spans: DataFrame) -> DataFrame:
-    """Rows (id, print, kind, value, context, term, start, end): the words of each context and where they stand."""
-    def words(side: str, origin: Column) -> Column:
-        values = F.regexp_extract_all(F.col(side), F.lit(TERM), F.lit(0))
-        pieces = F.split(F.col(side), TERM, -1)
-        # At most REACH / 4 words a side, so sums over starts of the arrays stay small.
-        return F.transform(values, lambda v, at: F.struct(F.lower(v).alias("term"), (origin + F.aggregate(
-            F.slice(pieces, 1, at + 1), F.lit(0), lambda a, p: a + F.length(p)) + F.aggregate(
-            F.slice(values, 1, at), F.lit(0), lambda a, p: a + F.length(p))).alias("start"), F.length(v).alias("size")))
-
-    both = F.concat(words("left", F.col("start") - F.length("left")), words("right", F.col("end")))
-    return spans.select(
-        "id", "print", "kind", "value", F.xxhash64("left", "right").alias("context"), F.explode(both).alias("w")
-    ).select("id", "print", "kind", "value", "context", F.col("w.term").alias("term"),
-             F.col("w.start").alias("start"), (F.col("w.start") + F.col("w.size")).alias("end"))
-
-
-def disclosing(docs: DataFrame, terms: DataFrame, spans: DataFrame, id_column: str, text_column: str,
-               disclosure: float, contexts: int) -> DataFrame:
-    """Rows (kind, value, term, share) of the words that disclose a value."""
-    total = docs.count()
-    pairs = (terms.groupBy("kind", "value", "term")
-             .agg(F.countDistinct("context").alias("contexts"), F.countDistinct("id", "print").alias("both"))
-             .where(F.col("contexts") >= contexts))
-    holders = spans.groupBy("kind", "value").agg(F.countDistinct("id", "print").alias("entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_column), F.lit(""))), F.lit(TERM),
-                                                  F.lit(0)))
-    frequency = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("word"))
-    told = pairs.join(holders, ["kind", "value"]).join(frequency, "term")
-    content = -F.log(F.col("entity") / F.lit(float(total)))
-    mutual = F.log(F.col("both") * F.lit(float(total)) / (F.col("entity") * F.col("word")))
-    return (told.withColumn("share", F.when(content > 0, mutual / content).otherwise(0.0))
-            .where(F.col("share") >= disclosure).select("kind", "value", "term", "share"))
+    hits = hits.groupBy("id", "print", F.col("hit.kind").alias("kind")).agg(F.first("hit.pairs").alias("pairs"))
+    each = with_places(hits, ["id", "print", "kind"])
+    return each.where(passes(F.col("kind"), F.col("value"))).select(
+        "id", "print", "kind", "start", "end", F.lower("value").alias("value"))
+
+
+def placed(pattern: str) -> Column:
+    """The matches of a pattern in ``text``, each with the length of what lies between it and the one before."""
+    values = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
+    gaps = F.transform(F.split(F.col("text"), pattern, -1), F.length)
+    return F.filter(F.arrays_zip(values.alias("value"), gaps.alias("gap")), lambda p: p["value"].isNotNull())
+
+
+def with_places(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows (key, value, start, end) from one array of ``pairs`` per key: running sums of gaps and values."""
+    each = rows.select(*key, F.posexplode("pairs").alias("at", "pair"))
+    so_far = Window.partitionBy(*key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("pair.value").cast("long")
+    end = F.sum(F.col("pair.gap").cast("long") + size).over(so_far)
+    return each.select(*key, F.col("pair.value").alias("value"), (end - size).alias("start"), end.alias("end"))
+
+
+def word_places(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows (print, term, start, end): the words of the texts that hold values, outside of the values."""
+    held = spans.select("print", F.col("start").alias("from"), F.col("end").alias("to")).distinct()
+    # Each text once; only texts with values get here, and Spark sends their prints round when they are few.
+    own = texts.select("print", "text").join(held.select("print").distinct(), "print", "left_semi")
+    words = with_places(own.dropDuplicates(["print"]).select("print", placed(TERM).alias("pairs")), ["print"])
+    inside = (words["print"] == held["print"]) & (words["start"] < held["to"]) & (words["end"] > held["from"])
+    return words.join(held, inside, "left_anti").select("print", F.lower("value").alias("term"), "start", "end")
+
+
+def frequencies(texts: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (term, word): how many distinct texts hold each word; and how many distinct texts there are."""
+    copies = settle(texts.groupBy("print").agg(F.count(F.lit(1)).alias("copies")))
+    repeated = texts.join(copies.where(F.col("copies") > 1), "print").dropDuplicates(["print"])
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
+    counted = texts.select(F.explode(words).alias("term"), F.lit(1).cast("long").alias("n")).union(
+        repeated.select(F.explode(words).alias("term"), (1 - F.col("copies")).alias("n")))
+    return counted.groupBy("term").agg(F.sum("n").alias("word")), copies.count()
+
+
+def disclosing(texts: DataFrame, places: DataFrame, spans: DataFrame, disclosure: float, smoothing: float
+               ) -> DataFrame:
+    """Rows (print, term) of the words that disclose a value of that text."""
+    frequency, total = frequencies(texts)
+    total = F.lit(float(max(total, 1)))
+    holders = settle(spans.select("kind", "value", "print").distinct())
+    entities = holders.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("entity"))
+    both = (holders.join(places.select("print", "term").distinct(), "print")
+            .groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("both")))
+    told = both.join(entities, ["kind", "value"]).join(frequency, "term")
+    usual = F.col("word") / total
+    given = (F.col("both") + F.lit(smoothing) * usual) / (F.col("entity") + F.lit(smoothing))
+    content = F.log(total / F.col("entity"))
+    share = F.when(content > 0, F.log(given / usual) / content).otherwise(0.0)
+    # Written, so that a value of very many documents can be split in the join.
+    told = settle(told.where(share >= disclosure).select("kind", "value", "term"))
+    return told.join(holders, ["kind", "value"]).select("print", "term").distinct()
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", disclosure: float = DISCLOSURE,
-               contexts: int = CONTEXTS) -> DataFrame:
+               smoothing: float = SMOOTHING) -> DataFrame:
     """Rows (id, print, kind, start, end) of all spans, told by id and text hash."""
     spans = settle(base_spans(docs, id_column, text_column))
-    terms = settle(context_terms(spans))
-    told = disclosing(docs, terms, spans, id_column, text_column, disclosure, contexts)
-    place = ["id", "print", "kind", "start", "end"]
-    added = terms.join(told, ["kind", "value", "term"]).withColumn("kind", F.lit("term")).select(place).distinct()
-    return spans.select(place).union(added)
+    texts = numbered(docs, id_column, text_column)
+    places = settle(word_places(texts, spans))
+    told = disclosing(texts, places, spans, disclosure, smoothing)
+    added = settle(places.join(told, ["print", "term"]).select("print", "start", "end"))
+    row = ["id", "print", "kind", "start", "end"]
+    rows = spans.select("id", "print").distinct().join(added, "print").withColumn("kind", F.lit("term"))
+    return spans.select(row).union(rows.select(row))
 
 
 def per_document(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 spans_column: str = "spans") -> DataFrame:
-    """``docs`` with an array of (order, start, end), in order of kind and place; empty where there are none."""
-    key, hashed, mine, own = fresh(docs, "span_id", "span_print", "span_list", "own_print")
+                 spans_column: str = "spans", clean: str | None = None) -> DataFrame:
+    """``docs`` with an array of (order, start, end), in order of kind and place, empty where there are none; and, if
+    ``clean`` names a column, the text with all spans replaced by their kind in brackets.
+
+    Spans that overlap are cut where an earlier one ends, so nothing of any span stays.
+    """
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    lists = spans.groupBy(F.col("id").alias(key), F.col("print").alias(hashed)).agg(
-        F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end"))).alias(mine))
+    row = Window.partitionBy("id", "print").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    cut = spans.withColumn("from", F.coalesce(F.max("end").over(row), F.lit(0)).cast("long"))
+    key, hashed, mine, cuts, own = fresh(docs, "span_id", "span_print", "span_list", "cut_list", "own_print")
+    lists = cut.groupBy(F.col("id").alias(key), F.col("print").alias(hashed)).agg(
+        F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end"))).alias(mine),
+        F.sort_array(F.collect_list(F.when(F.col("end") > F.col("from"), F.struct(
+            F.greatest("start", "from").alias("start"), "end", "from", "kind")))).alias(cuts))
     # Hashed before the join, so that a text nobody selects is not shuffled.
     printed = docs.withColumn(own, F.xxhash64(F.coalesce(docs[text_column], F.lit(""))))
     same = printed[id_column].eqNullSafe(lists[key]) & (printed[own] == lists[hashed])
-    return printed.join(lists, same, "left").select(
-        *docs.columns, F.coalesce(lists[mine], F.array().cast("array<struct<order:int,start:bigint,end:bigint>>"))
-        .alias(spans_column))
+    joined = printed.join(lists, same, "left")
+    made = [F.coalesce(lists[mine], F.array().cast("array<struct<order:int,start:bigint,end:bigint>>")).alias(spans_column)]
+    if clean is not None:
+        text = F.coalesce(printed[text_column], F.lit(""))
+        made.append(F.when(lists[mine].isNull(), text).otherwise(generalised(text, lists[cuts])).alias(clean))
+    return joined.select(*others(docs, spans_column, *([clean] if clean else [])), *made)
+
+
+def generalised(text: Column, cuts: Column) -> Column:
+    """The text between the cuts, and the kind of each in brackets; the cuts are in order and do not overlap."""
+    def piece(c: Column) -> Column:
+        kept = F.substring(text, (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int"))
+        return F.concat(kept, F.lit("["), F.upper(c["kind"]), F.lit("]"))
+
+    rest = F.substring(text, (F.element_at(cuts, -1)["end"] + 1).cast("int"), F.length(text))
+    return F.concat(F.array_join(F.transform(cuts, piece), ""), rest)
 
 
 def as_text(spans: Column) -> Column:
@@ -157,22 +190,7 @@ def as_text(spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", clean: str = "clean_text",
              **thresholds) -> DataFrame:
-    """``docs`` with its texts, values and disclosing words replaced by their kind in brackets.
-
-    Spans that overlap are cut where an earlier one ends, so nothing of any span stays.
-    """
-    mine, = fresh(docs, "span_list")
-    spans = find_spans(docs, id_column, text_column, **thresholds)
-    row = Window.partitionBy("id", "print").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    cut = spans.withColumn("from", F.coalesce(F.max("end").over(row), F.lit(0))).where(F.col("end") > F.col("from"))
-    cut = cut.select("id", "print", "kind", "from", F.greatest("start", "from").alias("start"), "end")
-    lists = cut.groupBy("id", "print").agg(F.sort_array(F.collect_list(F.struct("start", "end", "from", "kind")))
-                                           .alias(mine))
-    text = F.coalesce(docs[text_column], F.lit(""))
-    joined = docs.join(lists, docs[id_column].eqNullSafe(lists["id"]) & (F.xxhash64(text) == lists["print"]), "left")
-    body = F.array_join(F.transform(lists[mine], lambda s: F.concat(
-        text.substr((s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), F.lit("["),
-        F.upper(s["kind"]), F.lit("]"))), "")
-    tail = text.substr((F.element_at(lists[mine], -1)["end"] + 1).cast("int"), F.length(text))
-    return joined.select(*[docs[c] for c in docs.columns],
-                         F.when(lists[mine].isNull(), text).otherwise(F.concat(body, tail)).alias(clean))
+    """``docs`` with its texts, values and disclosing words replaced by their kind in brackets."""
+    spans, = fresh(docs, "span_list")
+    found = find_spans(docs, id_column, text_column, **thresholds)
+    return per_document(docs, found, id_column, text_column, spans, clean).drop(spans)

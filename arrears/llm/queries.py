@@ -49,12 +49,12 @@ TRIMMED = f"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12)
 @query("op2_pii")
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = pii.per_document(docs, pii.find_spans(docs))
+    found = pii.per_document(docs, pii.find_spans(docs), clean="clean_text")
     base = F.filter("spans", lambda s: s["order"] < len(pii.KINDS))
     counts = [F.size(F.filter("spans", lambda s, n=n: s["order"] == n)).cast("long").alias(f"n_{kind}")
               for n, kind in enumerate(pii.KINDS[:-1], 1)]
     return found.select("doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"),
-                        pii.as_text(F.col("spans")).alias("spans"))
+                        pii.as_text(F.col("spans")).alias("spans"), F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
 @query("op3_mixing", """

@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 
 from arrears.llm import pii
-from tests.llm.helpers import clashing, corpus, frame
+from tests.llm.helpers import clashing, corpus, frame, prose
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -82,35 +82,30 @@ def secret_corpus():
     return rows
 
 
-def brute_terms(rows):
-    documents, holders, both, contexts = len(rows), defaultdict(set), defaultdict(set), defaultdict(set)
-    frequency = defaultdict(set)
-    places = defaultdict(set)
-    for n, (doc_id, text, *_) in enumerate(rows):
-        for w in set(re.findall(r"[^\W\d_]{3,}", text.lower())):
-            frequency[w].add(n)
-        found = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(PLAIN["email"], text)]
-        for start, end, value in found:
-            holders[value].add((doc_id, text))
-            left, right = text[max(0, start - 80):start], text[end:end + 80]
-            if start > 80:
-                left = re.sub(r"^[^\W\d_]+", lambda m: " " * len(m.group()), left)
-            if len(text) > end + 80:
-                right = re.sub(r"[^\W\d_]+$", "", right)
-            for side, origin in ((left, start - len(left)), (right, end)):
-                for m in re.finditer(r"[^\W\d_]{3,}", side):
-                    pair = value, m.group().lower()
-                    both[pair].add((doc_id, text))
-                    contexts[pair].add((left.strip(), right))
-                    places[pair].add((doc_id, origin + m.start(), origin + m.end()))
-    out = set()
-    for (value, term), docs in both.items():
-        if len(contexts[value, term]) >= pii.CONTEXTS:
-            content = -math.log(len(holders[value]) / documents)
-            mutual = math.log(len(docs) * documents / (len(holders[value]) * len(frequency[term])))
-            if mutual / content >= pii.DISCLOSURE:
-                out |= places[value, term]
-    return out
+def brute_terms(rows, kinds=("email",)):
+    """Terms by whole distinct documents, word by word."""
+    texts = sorted({text or "" for _, text, *_ in rows})
+    found = {t: [(m.start(), m.end(), m.group(), k) for k in kinds for m in re.finditer(PLAIN[k], t) if passes(k, m.group())]
+             for t in texts}
+    words = {t: [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", t)] for t in texts}
+    frequency, holders = defaultdict(set), defaultdict(set)
+    for t in texts:
+        for *_, w in words[t]:
+            frequency[w].add(t)
+        for *_, value, kind in found[t]:
+            holders[kind, value.lower()].add(t)
+    outside = {t: [w for w in words[t] if not any(w[0] < e and w[1] > s for s, e, *_ in found[t])] for t in texts}
+    told = defaultdict(set)
+    for held in holders.values():
+        content = math.log(len(texts) / len(held))
+        for w in {w for t in held for *_, w in outside[t]}:
+            both = sum(any(w == o for *_, o in outside[t]) for t in held)
+            usual = len(frequency[w]) / len(texts)
+            given = (both + pii.SMOOTHING * usual) / (len(held) + pii.SMOOTHING)
+            if content > 0 and math.log(given / usual) / content >= pii.DISCLOSURE:
+                for t in held:
+                    told[t].add(w)
+    return {(doc_id, s, e) for doc_id, text, *_ in rows for s, e, w in outside[text or ""] if w in told[text or ""]}
 
 
 def test_disclosing_terms(spark):
@@ -119,7 +114,18 @@ def test_disclosing_terms(spark):
     found = {(r["id"], r["start"], r["end"]) for r in spans}
     assert found == brute_terms(rows)
     texts = {r[0]: r[1] for r in rows}
-    assert {texts[i][s:e] for i, s, e in found} == {"Zephyrine", "Quill"}
+    assert {"Zephyrine", "Quill"} <= {texts[i][s:e] for i, s, e in found}
+    assert not {texts[i][s:e] for i, s, e in found} & {"office", "meeting", "please"}
+
+
+def test_disclosing_terms_of_a_corpus(spark):
+    """Random prose with addresses; rare words of one document are weaker evidence than those of several."""
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 40) + (f" owner{i % 7}@mail.example.com {'Ysolde Brandt' if i % 7 == 3 else ''}" if i % 5 == 0 else ""),
+             "en", "s", 0) for i in range(300)] + [*corpus(), *secret_corpus()]
+    spans = pii.find_spans(frame(spark, rows)).where("kind = 'term'").collect()
+    found = {(r["id"], r["start"], r["end"]) for r in spans}
+    assert found == brute_terms(rows, ("email", "ip", "card", "phone")) and len(found) > 50
 
 
 def test_sanitised_text(spark):
