@@ -1,20 +1,23 @@
 """URL filtering: fixed host and path rules first, mined token rules for the rest.
 
 Pages that a fixed rule covers are the labelled ones. Their URLs become sets of tokens (host labels, path segments,
-extension, query keys), and FP-growth mines the token combinations that go with a label. Rules under the minimum
-support or confidence are pruned, nothing else is: labels come from hosts and paths themselves, so a host seen under one
-fixed rule always goes with that rule's tokens, and its rule must still reach its other pages. A rule is indexed under
-its rarest token only; token sets without a fixed rule look their tokens up in that index, and what meets is checked to
-hold the whole combination. The matching rule of highest confidence decides, of equal ones that with the rarest token
-(as with fixed rules the more particular one: a host's own rule goes before one for ``/en/`` anywhere), then that of
-higher support; a URL that matches none is allowed.
+extension, query keys), and FP-growth mines the token combinations that go with a label. Tokens that stand in the same
+labelled rows are interchangeable there: they are merged into one item before mining, so k tokens that always come
+together cost one item and not 2^k combinations, and a URL holds an item if it holds any of its tokens. Rules under the
+minimum support or confidence are pruned, and so are rules that hold a shorter one of the same verdict and at least
+their confidence: whatever they match, the shorter one does. A rule is indexed under its rarest item only; token sets
+without a fixed rule look their items up in that index, and what meets is checked to hold the whole combination. The
+matching rule of highest confidence decides, of equal ones that with the rarer rarest item (as with fixed rules the
+more particular one: a host's own rule goes before one for ``/en/`` anywhere), then that of higher support, then
+``block``; a URL that matches none is allowed.
 
 Equal token sets are matched once, so a URL or host with a third of all rows weighs as one set; sets are brought back
 to the pages by a plain equi-join. Digits never make a token of their own, they stand as ``#``.
 
 Rules: a null URL, or one without ``://``, has an empty host and path and no tokens, so it is allowed; of two fixed
-rules of equal length that fit, the first listed wins; repeated pages are judged alike; without labelled pages nothing
-is mined.
+rules of equal length that fit, the first listed wins; repeated pages are judged alike; very long URLs are read whole,
+and their tokens count like any others; without labelled pages nothing is mined; an empty table gives an empty result.
+A column of the table that has the name of an output column gives way to it; all others pass through.
 """
 
 from __future__ import annotations
@@ -89,57 +92,84 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
         mark("type:", F.array(ending)), mark("key:", keys))))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
-         closed: bool = True) -> DataFrame:
-    """Rows (rule, tokens, verdict, confidence, support, rarest, rarity) from rows (tokens, verdict).
+def merged(labelled: DataFrame) -> DataFrame:
+    """Rows (token, item): the smallest of the tokens that stand in the same labelled rows as a token.
 
-    ``rarity`` is how many labelled rows hold the rarest token.
-    ``closed`` keeps only combinations that no further token always goes with: a summary of the rules, not enough to
-    judge URLs that lack such a token.
+    Where a token stands shows in its number of rows and two sums of their hashes.
     """
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("label:"), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    is_label = lambda token: F.startswith(token, F.lit("label:"))
+    sets = labelled.groupBy("tokens").agg(F.count(F.lit(1)).alias("times"))
+    held = sets.select(F.explode("tokens").alias("token"), "times", F.xxhash64("tokens").alias("one"),
+                       F.xxhash64(F.lit(1), "tokens").alias("two"))
+    where = held.groupBy("token").agg(F.sum("times").alias("rows"), *[
+        F.sum(F.col(h).cast("decimal(38,0)")).alias(h) for h in ("one", "two")])
+    items = where.groupBy("rows", "one", "two").agg(F.min("token").alias("item"))
+    return where.join(items, ["rows", "one", "two"]).select("token", "item")
+
+
+def mine(labelled: DataFrame, items: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """Rows (rule, items, verdict, confidence, support, rarest, rarity) from rows (tokens, verdict) and the items of
+    the tokens.
+
+    ``rarity`` is how many labelled rows hold the rarest item.
+    """
+    apart = settle(labelled.withColumn("row", F.monotonically_increasing_id()))
+    baskets = (apart.select("row", "verdict", F.explode("tokens").alias("token")).join(items, "token")
+               .groupBy("row", "verdict").agg(F.collect_set("item").alias("held")))
+    baskets = settle(apart.select("row", "verdict").join(baskets.drop("verdict"), "row", "left").select(F.concat(
+        F.coalesce("held", F.array().cast("array<string>")), F.array(F.concat(F.lit("label:"), "verdict"))).alias("basket")))
+    model = FPGrowth(itemsCol="basket", minSupport=support, minConfidence=confidence).fit(baskets)
+    is_label = lambda item: F.startswith(item, F.lit("label:"))
     rules = model.associationRules.where(is_label(F.element_at("consequent", 1))
                                          & ~F.exists("antecedent", is_label))
-    if closed:
-        frequent = model.freqItemsets.where(~F.exists("items", is_label)).select(
-            F.array_sort("items").alias("items"), "freq")
-        shorter = frequent.select(F.posexplode("items").alias("at", "token"), "items", "freq").select(
-            F.array_remove("items", F.col("token")).alias("items"), "freq").distinct()
-        whole = frequent.join(shorter, ["items", "freq"], "left_anti").select("items")
-        rules = rules.withColumn("items", F.array_sort("antecedent")).join(whole, "items", "left_semi")
     counted = model.freqItemsets.where(F.size("items") == 1).select(
-        F.element_at("items", 1).alias("token"), "freq")
+        F.element_at("items", 1).alias("item"), "freq")
     rules = settle(rules.select(
-        F.xxhash64(F.array_join(F.array_sort("antecedent"), " ")).alias("rule"), F.col("antecedent").alias("tokens"),
+        F.xxhash64(F.array_join(F.array_sort("antecedent"), " ")).alias("rule"), F.col("antecedent").alias("items"),
         F.substring_index(F.element_at("consequent", 1), ":", -1).alias("verdict"), "confidence", "support"))
-    ranked = (rules.select("rule", F.explode("tokens").alias("token")).join(counted, "token")
+    ranked = (rules.select("rule", F.explode("items").alias("item")).join(counted, "item")
               .groupBy("rule").agg(
-                  F.min_by("token", F.struct("freq", "token")).alias("rarest"), F.min("freq").alias("rarity")))
-    return rules.join(ranked, "rule")
+                  F.min_by("item", F.struct("freq", "item")).alias("rarest"), F.min("freq").alias("rarity")))
+    return shortest(settle(rules.join(ranked, "rule")))
+
+
+def shortest(rules: DataFrame) -> DataFrame:
+    """The rules that hold no shorter one of the same verdict and at least their confidence; shorter ones are found
+    through their rarest item."""
+    shorter = rules.select(F.col("rule").alias("less"), F.col("items").alias("less_items"), F.col("rarest").alias("item"),
+                           F.col("verdict").alias("less_verdict"), F.col("confidence").alias("less_confidence"))
+    asked = rules.select("rule", "items", "verdict", "confidence", F.explode("items").alias("item"))
+    covered = asked.join(shorter, "item").where(
+        (F.col("verdict") == F.col("less_verdict")) & (F.col("less_confidence") >= F.col("confidence"))
+        & (F.size("less_items") < F.size("items")) & (F.size(F.array_except("less_items", "items")) == 0))
+    gone = covered.select("rule", "verdict").distinct()
+    return rules.join(gone, ["rule", "verdict"], "left_anti")
 
 
 def judge(pages: DataFrame, url_column: str = "url", rules: tuple[Rule, ...] = RULES, support: float = SUPPORT,
           confidence: float = CONFIDENCE, host: str = "host", path: str = "path", rule: str = "rule",
           verdict: str = "verdict") -> DataFrame:
     """``pages`` with host, path, the name of the fixed rule that fits or null, and the verdict."""
-    found, tokens, strongest = fresh(pages, "found_rule", "url_tokens", "strongest_rule")
+    own_host, own_path, found, tokens, strongest = fresh(pages, "url_host", "url_path", "found_rule", "url_tokens",
+                                                         "strongest_rule")
     url = F.col(url_column)
-    read = pages.withColumn(host, host_of(url)).withColumn(path, path_of(url))
-    read = read.withColumn(found, rule_for(F.col(host), F.col(path), rules)).withColumn(
-        tokens, tokens_of(url, F.col(host), F.col(path)))
-    labelled = read.where(F.col(found).isNotNull()).select(
-        F.col(tokens).alias("tokens"), F.col(found)["verdict"].alias("verdict"))
-    mined = mine(settle(labelled), support, confidence, closed=False)
+    read = pages.withColumn(own_host, host_of(url)).withColumn(own_path, path_of(url))
+    read = read.withColumn(found, rule_for(F.col(own_host), F.col(own_path), rules)).withColumn(
+        tokens, tokens_of(url, F.col(own_host), F.col(own_path)))
+    labelled = settle(read.where(F.col(found).isNotNull()).select(
+        F.col(tokens).alias("tokens"), F.col(found)["verdict"].alias("verdict")))
+    items = settle(merged(labelled))
+    mined = mine(labelled, items, support, confidence)
     sets = settle(read.where(F.col(found).isNull()).select(F.col(tokens).alias("set")).distinct())
-    asked = sets.select("set", F.explode("set").alias("token"))
-    met = asked.join(mined, asked["token"] == mined["rarest"]).where(
-        F.size(F.array_except("tokens", "set")) == 0)
+    asked = sets.select("set", F.explode("set").alias("token")).join(items, "token")
+    asked = settle(asked.groupBy("set").agg(F.collect_set("item").alias("held")))
+    asked = asked.select("set", "held", F.explode("held").alias("item"))
+    met = asked.join(mined, asked["item"] == mined["rarest"]).where(
+        F.size(F.array_except("items", "held")) == 0)
     # Written, so that the join below reads both sides from exchanges of its own and a hot set can be split.
     decided = settle(met.groupBy("set").agg(F.max_by("verdict", F.struct(
-        "confidence", -F.col("rarity"), "support", F.size("tokens"), "verdict")).alias(strongest)))
+        "confidence", -F.col("rarity"), "support", "verdict")).alias(strongest)))
     joined = read.join(decided, read[tokens] == decided["set"], "left")
     return joined.select(
-        *[read[c] for c in pages.columns], read[host], read[path], read[found]["name"].alias(rule),
+        *[read[c.name] for c in pages.schema if c.name.lower() not in {n.lower() for n in (host, path, rule, verdict)}],
+        read[own_host].alias(host), read[own_path].alias(path), read[found]["name"].alias(rule),
         F.coalesce(read[found]["verdict"], decided[strongest], F.lit(ALLOW)).alias(verdict))

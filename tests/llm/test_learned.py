@@ -4,9 +4,11 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from arrears.llm import hnsw, license, toxicity, urls
@@ -244,34 +246,68 @@ def test_full_licence_texts_and_wrapped_headers(spark):
     assert found["w/x.txt"] == ("GPL-3.0", "own")
 
 
+def brute_parts(text):
+    """Lines, runs of lines and of paragraphs, comment blocks, and the whole text."""
+    parts = [text, *(m.group() for m in regex.finditer(license.COMMENTS, text))]
+    for pieces in (text.split("\n"), regex.split(r"\n[^\p{L}\p{N}]*\n", text)):
+        parts += ["\n".join(pieces[i:i + n]) for n in range(1, license.RUN + 1) for i in range(len(pieces) - n + 1)]
+    return dict.fromkeys(p for p in parts if regex.search(license.TOKEN, p))
+
+
+SHORT_TEMPLATES = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"), ("MIT", "Released under the MIT License"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3, by its owners and by nobody else"))
+
+
 def test_licence_scores_against_plain_cosines(spark):
     rng = random.Random(9)
-    lines = [t for _, t in license.TEMPLATES] + ["Licensed under the MIT License, see file", "GNU public version", "the mit license of apache"]
-    rows = [(str(i), prose(rng, 20) + "\n" + rng.choice(lines) + (" " + prose(rng, 2) if i % 3 == 0 else "")) for i in range(60)]
-    split = lambda text: re.findall(r"[^\W_]+", text.lower())
-    documents = [set(split(t)) for _, t in rows]
-    idf = lambda w: math.log((len(rows) + 1) / (sum(w in d for d in documents) + 1)) + 1
-    known = {w for _, t in license.TEMPLATES for w in split(t)}
+    split = lambda text: regex.findall(license.TOKEN, text.lower())
+    given = [t for _, t in SHORT_TEMPLATES]
+    wrapped = [given[2].replace("GNU ", "GNU\n"), "# " + given[2].replace(", version", "\n# , version"),
+               given[2].replace("work is", "work\n\nis").replace("by its", "by\n --\n its")]
+    lines = [*given, *wrapped, "Licensed under the MIT License, see file", "GNU public version", "the mit license of apache"]
+    rows = [(f"{i}/x", prose(rng, 20) + "\n" + rng.choice(lines) + (" " + prose(rng, 2) if i % 3 == 0 else "") +
+             "\n" + prose(rng, 5)) for i in range(70)]
+    rows += [("a/LICENSE", given[1]), ("b/x", wrapped[0])]
+    holding = Counter(w for _, t in rows for w in set(split(t)))
+    known = {w for t in given for w in split(t)}
     rarest = math.log(len(rows) + 1) + 1
+    weight = {w: math.log((len(rows) + 1) / (holding[w] + 1)) + 1 for w in known}
 
     def vector(text):
-        out = {}
-        for w in split(text):
-            out[w] = out.get(w, 0) + (idf(w) if w in known else rarest)
-        return out
+        return {w: n * weight.get(w, rarest) for w, n in Counter(split(text)).items()}
 
     def cosine(a, b):
         return sum(a[w] * b.get(w, 0) for w in a) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
 
+    vectors = [(name, vector(t)) for name, t in SHORT_TEMPLATES]
     expected = {}
     for path, text in rows:
-        best = max((round(cosine(vector(part), vector(t)), 9), name) for part in [*text.split("\n"), text] if split(part)
-                   for name, t in license.TEMPLATES)
+        best = max((round(cosine(vector(part), v), 9), name) for part in brute_parts(text) for name, v in vectors)
         if best[0] >= license.COSINE:
             expected[path] = best[0]
-    found = {r["path"]: round(r["license_score"], 9) for r in license.scan(spark.createDataFrame(rows, "path string, text string")).collect()
-             if r["license"] is not None}
-    assert found == pytest.approx(expected)
+    found = {r["path"]: round(r["license_score"], 9) for r in license.scan(
+        spark.createDataFrame(rows, "path string, text string"), templates=SHORT_TEMPLATES).collect() if r["license"] is not None}
+    assert found == pytest.approx(expected) and len(expected) > 30
+
+
+def test_prose_with_a_notice_licenses_nobody_else(spark):
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [("a/essay.txt", f"Blue zebras sing.\n{notice}"), ("a/other.txt", "nothing here"), ("b/NOTICE", f"Blue zebras sing.\n{notice}"),
+            ("b/c/other.txt", "nothing here"), ("d/any.txt", notice), ("d/other.txt", "nothing here")]
+    rows += [(f"z/{i}", "some words of no interest") for i in range(20)]
+    found = {r["path"]: (r["license"], r["license_origin"]) for r in license.scan(
+        spark.createDataFrame(rows, "path string, text string"), cosine=0.5).collect()}
+    assert found["a/essay.txt"] == ("Apache-2.0", "own") and found["a/other.txt"] == (None, None)
+    assert found["b/c/other.txt"] == found["d/other.txt"] == ("Apache-2.0", "inherited")
+
+
+def test_a_licence_in_the_root_holds_for_all(spark):
+    rows = [("LICENSE", "Released under the MIT License"), ("src/a/b.py", "x"), ("c.py", ""), (None, "y"), ("src/LICENSE",
+            "Licensed under the Apache License, Version 2.0"), ("/abs/d.py", "z")]
+    found = {r["path"]: r["license"] for r in license.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found == {"LICENSE": "MIT", "src/a/b.py": "Apache-2.0", "c.py": "MIT", None: None, "src/LICENSE": "Apache-2.0",
+                     "/abs/d.py": "MIT"}
 
 
 def brute_rule(url):
@@ -315,24 +351,69 @@ def test_a_host_blocked_in_all_its_labelled_pages_is_blocked_on_its_others(spark
     assert [out[i]["verdict"] for i in (200, 201, 202)] == ["block", "block", "allow"]
 
 
+def brute_mined(rows, support, confidence):
+    """Rules (tokens, verdict, confidence, support, rarity) over single tokens, none merged: all combinations that pass
+    and hold no shorter one of the same verdict and at least their confidence."""
+    names = sorted({t for tokens, _ in rows for t in tokens})
+    passing = {}
+    for size in range(1, max((len(set(t)) for t, _ in rows), default=0) + 1):
+        for combination in map(frozenset, itertools.combinations(names, size)):
+            holding = [v for t, v in rows if combination <= set(t)]
+            for verdict in ("block", "allow"):
+                n = holding.count(verdict)
+                if n and n >= support * len(rows) and n / len(holding) >= confidence:
+                    rarity = min(sum(x in t for t, _ in rows) for x in combination)
+                    passing[combination, verdict] = (n / len(holding), n / len(rows), rarity)
+    return {key: found for key, found in passing.items() if not any(
+        other < key[0] and verdict == key[1] and told[0] >= found[0] for (other, verdict), told in passing.items())}
+
+
 def test_mined_rules_against_all_combinations(spark):
+    """Each mined rule stands for those with any of the tokens that were merged into its items."""
     rng = random.Random(5)
-    names = list("abcdef")
     rows = []
     for _ in range(300):
-        tokens = sorted(rng.sample(names, rng.randint(1, 4)))
+        tokens = rng.sample("abcdef", rng.randint(1, 4))
         bad = "a" in tokens and "b" in tokens or "c" in tokens and rng.random() < 0.97
-        rows.append((tokens, "block" if bad else "allow"))
-    found = {(frozenset(r["tokens"]), r["verdict"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in urls.mine(
-        spark.createDataFrame(rows, "tokens array<string>, verdict string"), support=0.02, confidence=0.9).collect()}
-    expected = {}
-    for size in range(1, 7):
-        for combination in map(frozenset, itertools.combinations(names, size)):
-            holding = [v for t, v in rows if combination <= set(t)]
-            closed = holding and not any(len([1 for t, _ in rows if combination | {x} <= set(t)]) == len(holding)
-                                         for x in set(names) - combination)
-            for verdict in ("block", "allow"):
-                n = holding.count(verdict)
-                if closed and n >= 0.02 * len(rows) and n / len(holding) >= 0.9:
-                    expected[combination, verdict] = (round(n / len(holding), 9), round(n / len(rows), 9))
+        rows.append((sorted(tokens + (["c2", "c3"] if "c" in tokens else []) + (["f2"] if "f" in tokens else [])), "block" if bad else "allow"))
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    items = urls.merged(labelled)
+    members = {}
+    for r in items.collect():
+        members.setdefault(r["item"], []).append(r["token"])
+    assert sorted(map(sorted, members.values())) == [["a"], ["b"], ["c", "c2", "c3"], ["d"], ["e"], ["f", "f2"]]
+    found = {}
+    for r in urls.mine(labelled, items, support=0.02, confidence=0.9).collect():
+        for tokens in itertools.product(*(members[i] for i in r["items"])):
+            found[frozenset(tokens), r["verdict"]] = (round(r["confidence"], 9), round(r["support"], 9), r["rarity"])
+    expected = {k: (round(c, 9), round(s, 9), n) for k, (c, s, n) in brute_mined(rows, 0.02, 0.9).items()}
     assert found == expected and expected
+
+
+def test_the_verdict_of_every_page_without_a_fixed_rule(spark):
+    rng = random.Random(12)
+    hosts = ["casino.example.com", "shop.example.com", "news.example.net", "a.org", "b.org", "casino.example.org", "x.net"]
+    rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{rng.choice(['win', 'read', 'buy'])}{rng.choice(['', '?id=1'])}")
+            for i in range(260)]
+    rows.append((900, "http://casino.example.org/" + "/".join(f"p{'x' * (i % 50)}{'y' * (i // 50)}" for i in range(2000)) + "/win"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    tokens = {r["url"]: frozenset(r["t"]) for r in pages.select("url", urls.tokens_of(
+        F.col("url"), urls.host_of(F.col("url")), urls.path_of(F.col("url"))).alias("t")).collect()}
+    labelled = [(tokens[u], next(r.verdict for r in urls.RULES if r.name == brute_rule(u)[2])) for _, u in rows if brute_rule(u)[2]]
+    mined = brute_mined(labelled, 0.01, 0.9)
+    out = {r["page_id"]: r for r in urls.judge(pages, support=0.01, confidence=0.9).collect()}
+    verdicts = Counter()
+    for page_id, url in rows:
+        if brute_rule(url)[2] is None:
+            met = [(c, -n, s, verdict) for (held, verdict), (c, s, n) in mined.items() if held <= tokens[url]]
+            assert out[page_id]["verdict"] == (max(met)[3] if met else "allow"), url[:80]
+            verdicts[out[page_id]["verdict"]] += 1
+    assert len(verdicts) == 2
+
+
+def test_tokens_that_always_come_together_cost_one_item(spark):
+    path = "/".join("abcdefghijklmnopqrstuvwxyz"[i] * 3 for i in range(26))
+    rows = [(i, f"http://bad.example.net/x/{path}") for i in range(30)] + [(100 + i, f"http://ok.example.net/en/{i}") for i in range(50)]
+    rows += [(200, "http://other.example.org/de/zzz"), (201, "http://other.example.org/de/free")]
+    out = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert out[200] == "block" and out[201] == "allow"
