@@ -9,8 +9,8 @@ wherever they stand in documents that hold the entity, outside of base spans. ``
 kind and terms to ``[TERM]``. Copies of a text are one document for all counts.
 
 Document frequencies come from all words of all documents, combined on the map side before they move; texts that have
-copies are counted as often as they stand and corrected once per text. Only texts that hold values are read a second
-time for the places of their words. Everything is a built-in expression. The patterns take no step twice: a run of
+copies are counted as often as they stand and corrected once per text. Only texts in which a pattern matches are written aside, for
+the places of their words. Everything is a built-in expression. The patterns take no step twice: a run of
 characters is entered at its start or where the last value ended, and loops do not give back, so long runs cost linear
 time and no stack.
 
@@ -61,18 +61,23 @@ def numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
 
 
-def base_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows (id, print, kind, start, end, value): the values that pass."""
+def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Rows (id, print, text, kind, pairs) of the texts in which a pattern matches; the rest of the corpus stays where
+    it is."""
     own = F.col("text")
     needs = {"email": own.contains("@"), "phone": own.contains("+"), "ip": own.rlike("[0-9]"),
              "card": own.rlike("[0-9]")}
     found = [F.when(needs[kind], F.struct(F.lit(kind).alias("kind"), placed(pattern).alias("pairs")))
              for kind, pattern in PATTERNS.items()]
-    hits = numbered(docs, id_column, text_column)
-    hits = hits.select("id", "print", F.explode(F.array_compact(F.array(*found))).alias("hit")).where(
-        F.size("hit.pairs") > 0)
+    hits = numbered(docs, id_column, text_column).select("id", "print", "text", F.explode(
+        F.array_compact(F.array(*found))).alias("hit"))
+    return hits.where(F.size("hit.pairs") > 0).select("id", "print", "text", "hit.kind", "hit.pairs")
+
+
+def base_spans(hits: DataFrame) -> DataFrame:
+    """Rows (id, print, kind, start, end, value): the values of candidates that pass."""
     # Rows that repeat id and text are one here; all values of a row and kind then lie in one partition.
-    hits = hits.groupBy("id", "print", F.col("hit.kind").alias("kind")).agg(F.first("hit.pairs").alias("pairs"))
+    hits = hits.groupBy("id", "print", "kind").agg(F.first("pairs").alias("pairs"))
     each = with_places(hits, ["id", "print", "kind"])
     return each.where(passes(F.col("kind"), F.col("value"))).select(
         "id", "print", "kind", "start", "end", F.lower("value").alias("value"))
@@ -94,11 +99,10 @@ def with_places(rows: DataFrame, key: list[str]) -> DataFrame:
     return each.select(*key, F.col("pair.value").alias("value"), (end - size).alias("start"), end.alias("end"))
 
 
-def word_places(texts: DataFrame, spans: DataFrame) -> DataFrame:
+def word_places(hits: DataFrame, spans: DataFrame) -> DataFrame:
     """Rows (print, term, start, end): the words of the texts that hold values, outside of the values."""
     held = spans.select("print", F.col("start").alias("from"), F.col("end").alias("to")).distinct()
-    # Each text once; only texts with values get here, and Spark sends their prints round when they are few.
-    own = texts.select("print", "text").join(held.select("print").distinct(), "print", "left_semi")
+    own = hits.select("print", "text").join(held.select("print").distinct(), "print", "left_semi")
     words = with_places(own.dropDuplicates(["print"]).select("print", placed(TERM).alias("pairs")), ["print"])
     inside = (words["print"] == held["print"]) & (words["start"] < held["to"]) & (words["end"] > held["from"])
     return words.join(held, inside, "left_anti").select("print", F.lower("value").alias("term"), "start", "end")
@@ -134,11 +138,13 @@ def disclosing(texts: DataFrame, places: DataFrame, spans: DataFrame, disclosure
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", disclosure: float = DISCLOSURE,
-               smoothing: float = SMOOTHING) -> DataFrame:
-    """Rows (id, print, kind, start, end) of all spans, told by id and text hash."""
-    spans = settle(base_spans(docs, id_column, text_column))
+               smoothing: float = SMOOTHING, hits: DataFrame | None = None) -> DataFrame:
+    """Rows (id, print, kind, start, end) of all spans, told by id and text hash; ``hits`` are the written candidates,
+    for callers that need them too."""
+    hits = settle(candidates(docs, id_column, text_column)) if hits is None else hits
+    spans = settle(base_spans(hits))
     texts = numbered(docs, id_column, text_column)
-    places = settle(word_places(texts, spans))
+    places = settle(word_places(hits, spans))
     told = disclosing(texts, places, spans, disclosure, smoothing)
     added = settle(places.join(told, ["print", "term"]).select("print", "start", "end"))
     row = ["id", "print", "kind", "start", "end"]
@@ -146,6 +152,27 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return spans.select(row).union(rows.select(row))
 
 
+def span_lists(spans: DataFrame) -> DataFrame:
+    """Rows (id, print, spans, cuts): the spans of a text as (order, start, end), by kind and place; and as (start, end,
+    from, kind), by place and cut where an earlier one ends, with the place from which text before them stays."""
+    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
+    row = Window.partitionBy("id", "print").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    cut = spans.withColumn("from", F.coalesce(F.max("end").over(row), F.lit(0)).cast("long"))
+    return cut.groupBy("id", "print").agg(
+        F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end"))).alias("spans"),
+        F.sort_array(F.collect_list(F.when(F.col("end") > F.col("from"), F.struct(
+            F.greatest("start", "from").alias("start"), "end", "from", "kind")))).alias("cuts"))
+
+
+def generalised_texts(hits: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows (id, print, clean) of the texts with spans, each span replaced by its kind; other texts stay as they are."""
+    texts = hits.select("id", "print", "text").dropDuplicates(["id", "print"])
+    lists = span_lists(spans)
+    same = texts["id"].eqNullSafe(lists["id"]) & (texts["print"] == lists["print"])
+    return texts.join(lists, same).select(
+        texts["id"], texts["print"], generalised(texts["text"], lists["cuts"]).alias("clean"))
+
+
 def per_document(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  spans_column: str = "spans", clean: str | None = None) -> DataFrame:
     """``docs`` with an array of (order, start, end), in order of kind and place, empty where there are none; and, if
@@ -153,14 +180,8 @@ def per_document(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", t
 
     Spans that overlap are cut where an earlier one ends, so nothing of any span stays.
     """
-    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    row = Window.partitionBy("id", "print").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    cut = spans.withColumn("from", F.coalesce(F.max("end").over(row), F.lit(0)).cast("long"))
     key, hashed, mine, cuts, own = fresh(docs, "span_id", "span_print", "span_list", "cut_list", "own_print")
-    lists = cut.groupBy(F.col("id").alias(key), F.col("print").alias(hashed)).agg(
-        F.sort_array(F.collect_list(F.struct(order.alias("order"), "start", "end"))).alias(mine),
-        F.sort_array(F.collect_list(F.when(F.col("end") > F.col("from"), F.struct(
-            F.greatest("start", "from").alias("start"), "end", "from", "kind")))).alias(cuts))
+    lists = span_lists(spans).toDF(key, hashed, mine, cuts)
     # Hashed before the join, so that a text nobody selects is not shuffled.
     printed = docs.withColumn(own, F.xxhash64(F.coalesce(docs[text_column], F.lit(""))))
     same = printed[id_column].eqNullSafe(lists[key]) & (printed[own] == lists[hashed])

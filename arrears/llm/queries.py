@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arrears.llm import (bpe, byte_bpe, centroids, exact, hnsw, license, lines, mixing, negatives, pii, simhash,
                          toxicity, urls)
-from arrears.llm.common import LOWER, UPPER, table, tune
+from arrears.llm.common import LOWER, UPPER, settle, table, text_print, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,13 +48,22 @@ TRIMMED = f"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12)
 
 @query("op2_pii")
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts are hashed where they lie; only texts with spans move, to be generalised."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = pii.per_document(docs, pii.find_spans(docs), clean="clean_text")
+    hits = settle(pii.candidates(docs))
+    spans = settle(pii.find_spans(docs, hits=hits))
+    hashed = docs.withColumn("own_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).withColumn(
+        "print", text_print(F.col("text")))
+    clean = pii.generalised_texts(hits, spans).select(
+        F.col("id").alias("clean_id"), F.col("print").alias("clean_print"), F.sha2("clean", 256).alias("clean_sha256"))
+    found = pii.per_document(hashed, spans).select("doc_id", "own_sha256", "print", "spans")
+    found = found.join(clean, F.col("doc_id").eqNullSafe(F.col("clean_id")) & (F.col("print") == F.col("clean_print")), "left")
     base = F.filter("spans", lambda s: s["order"] < len(pii.KINDS))
     counts = [F.size(F.filter("spans", lambda s, n=n: s["order"] == n)).cast("long").alias(f"n_{kind}")
               for n, kind in enumerate(pii.KINDS[:-1], 1)]
     return found.select("doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"),
-                        pii.as_text(F.col("spans")).alias("spans"), F.sha2("clean_text", 256).alias("clean_sha256"))
+                        pii.as_text(F.col("spans")).alias("spans"),
+                        F.coalesce("clean_sha256", "own_sha256").alias("clean_sha256"))
 
 
 @query("op3_mixing", """

@@ -55,7 +55,7 @@ def test_base_spans(spark):
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(600)]
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + corpus()[-20:] + [(None, "c@d.ee", None, None, 0)]
     docs = clashing(frame(spark, rows), "id", "KIND", "spans_", "start", "end", "span_id")
-    found = pii.per_document(docs, pii.base_spans(docs).select("id", "print", "kind", "start", "end"))
+    found = pii.per_document(docs, pii.base_spans(pii.candidates(docs)).select("id", "print", "kind", "start", "end"))
     mine = defaultdict(list)
     for r in found.collect():
         mine[r["doc_id"], r["text"]].append([(pii.KINDS[s["order"] - 1], s["start"], s["end"]) for s in r["spans"]])
@@ -149,3 +149,14 @@ def test_spans_as_text(spark):
 def test_empty_table(spark):
     assert pii.find_spans(frame(spark, [])).count() == 0
     assert pii.sanitise(frame(spark, [])).count() == 0
+
+
+def test_query_hashes_the_generalised_texts(spark, tmp_path):
+    from arrears.llm.queries import QUERIES
+
+    rows = [*secret_corpus(), (99, "é +49 30 1234567 a@b.cc", "de", "s", 0), (None, None, None, None, 0), (7, None, None, None, 0)]
+    docs = frame(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = sorted((r["doc_id"] or -1, hashlib.sha256(r["clean_text"].encode()).hexdigest()) for r in pii.sanitise(docs).collect())
+    found = QUERIES["op2_pii"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or -1, r["clean_sha256"]) for r in found) == expected
