@@ -6,10 +6,11 @@ share of documents that hold the word, p(w | e) that of the entity's documents,
 that hold the word as often as any do, so that one document is weaker evidence than ten. The information content of the
 entity, -log p(e), is the most it can be. Words whose share of it reaches ``DISCLOSURE`` become spans of kind ``term``
 wherever they stand in documents that hold the entity, outside of base spans. ``sanitise`` generalises values to their
-kind and terms to ``[TERM]``. Copies of a text are one document for all counts.
+kind and terms to ``[TERM]``. An entity's documents are its distinct texts, so copies are no further evidence; p(w)
+counts all documents, so the words of a text in wide circulation are common ones.
 
-Document frequencies come from all words of all documents, combined on the map side before they move; texts that have
-copies are counted as often as they stand and corrected once per text. Only texts in which a pattern matches are written aside, for
+Document frequencies come from all words of all documents, combined on the map side before they move; texts are never
+joined for them. Only texts in which a pattern matches are written aside, for
 the places of their words. Everything is a built-in expression. The patterns take no step twice: a run of
 characters is entered at its start or where the last value ended, and loops do not give back, so long runs cost linear
 time and no stack.
@@ -108,21 +109,16 @@ def word_places(hits: DataFrame, spans: DataFrame) -> DataFrame:
     return words.join(held, inside, "left_anti").select("print", F.lower("value").alias("term"), "start", "end")
 
 
-def frequencies(texts: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (term, word): how many distinct texts hold each word; and how many distinct texts there are."""
-    copies = settle(texts.groupBy("print").agg(F.count(F.lit(1)).alias("copies")))
-    repeated = texts.join(copies.where(F.col("copies") > 1), "print").dropDuplicates(["print"])
+def frequencies(texts: DataFrame) -> DataFrame:
+    """Rows (term, word): how many documents hold each word."""
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
-    counted = texts.select(F.explode(words).alias("term"), F.lit(1).cast("long").alias("n")).union(
-        repeated.select(F.explode(words).alias("term"), (1 - F.col("copies")).alias("n")))
-    return counted.groupBy("term").agg(F.sum("n").alias("word")), copies.count()
+    return texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("word"))
 
 
 def disclosing(texts: DataFrame, places: DataFrame, spans: DataFrame, disclosure: float, smoothing: float
                ) -> DataFrame:
     """Rows (print, term) of the words that disclose a value of that text."""
-    frequency, total = frequencies(texts)
-    total = F.lit(float(max(total, 1)))
+    frequency, total = frequencies(texts), F.lit(float(max(texts.count(), 1)))
     holders = settle(spans.select("kind", "value", "print").distinct())
     entities = holders.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("entity"))
     both = (holders.join(places.select("print", "term").distinct(), "print")
@@ -144,7 +140,7 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     hits = settle(candidates(docs, id_column, text_column)) if hits is None else hits
     spans = settle(base_spans(hits))
     texts = numbered(docs, id_column, text_column)
-    places = settle(word_places(hits, spans))
+    places = word_places(hits, spans)
     told = disclosing(texts, places, spans, disclosure, smoothing)
     added = settle(places.join(told, ["print", "term"]).select("print", "start", "end"))
     row = ["id", "print", "kind", "start", "end"]

@@ -83,24 +83,25 @@ def secret_corpus():
 
 
 def brute_terms(rows, kinds=("email",)):
-    """Terms by whole distinct documents, word by word."""
+    """Terms word by word: frequencies over all documents, entities over distinct texts."""
     texts = sorted({text or "" for _, text, *_ in rows})
     found = {t: [(m.start(), m.end(), m.group(), k) for k in kinds for m in re.finditer(PLAIN[k], t) if passes(k, m.group())]
              for t in texts}
     words = {t: [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", t)] for t in texts}
     frequency, holders = defaultdict(set), defaultdict(set)
+    for n, (_, text, *_) in enumerate(rows):
+        for *_, w in words[text or ""]:
+            frequency[w].add(n)
     for t in texts:
-        for *_, w in words[t]:
-            frequency[w].add(t)
         for *_, value, kind in found[t]:
             holders[kind, value.lower()].add(t)
     outside = {t: [w for w in words[t] if not any(w[0] < e and w[1] > s for s, e, *_ in found[t])] for t in texts}
     told = defaultdict(set)
     for held in holders.values():
-        content = math.log(len(texts) / len(held))
+        content = math.log(len(rows) / len(held))
         for w in {w for t in held for *_, w in outside[t]}:
             both = sum(any(w == o for *_, o in outside[t]) for t in held)
-            usual = len(frequency[w]) / len(texts)
+            usual = len(frequency[w]) / len(rows)
             given = (both + pii.SMOOTHING * usual) / (len(held) + pii.SMOOTHING)
             if content > 0 and math.log(given / usual) / content >= pii.DISCLOSURE:
                 for t in held:
