@@ -14,7 +14,9 @@ A task gives one count per query and a spanning forest of the links it saw, neve
 forests' union are those of all links.
 
 Rules: vectors that are null, empty, zero or hold a null or non-finite component, and those with a null label or null
-id, link with nothing and are their own component; rows that repeat an id and a vector count once.
+id, link with nothing and are their own component; rows that repeat an id and a vector count once; vectors of different
+lengths link with nothing of each other; a component is named by its smallest id, so ties decide nothing; an empty table
+gives an empty result. Other columns of the table are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,6 +9,11 @@ one lies a step above the other. So no pair within reach is missed, whatever the
 capped. Pairs that meet are checked by their differing bits.
 
 Copies share a fingerprint and take part once, so a group of copies never forms pairs.
+
+Rules: a null or empty text, or one without words, has fingerprint zero and is linked like any other; whole texts are
+read, whatever their length; a bit that is set in exactly half of the hashes is 0; rows that repeat an id or a text are
+rows of their own, ``one_per_group`` keeps one of those that repeat both; a null id is larger than all others; an empty
+table gives an empty result. Other columns pass through ``one_per_group`` under any name.
 """
 
 from __future__ import annotations
