@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, folder) and returns a frame; all but the last return the columns of ``documents``. The
 stages read ``docs`` more than once, so ``run`` writes each result to the shared checkpoint folder before the next one
 starts; a job that loses executors goes on from there.
+
+Rules of all stages: null texts are empty texts; null ids, labels and sources, empty and very long texts, ties and
+repeated rows are treated as the operator of the stage states; an empty table passes through as an empty one; columns
+beyond those of ``documents`` pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
