@@ -6,15 +6,18 @@ that every certificate is scored once, that the model beats the mean. What has a
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from arrears.functions import fixed_values as fv
 from arrears.functions.bands import band_crosstab, half_open_labels
-from arrears.functions.semantics import round_even
+from arrears.functions.semantics import capped, guarded, ratio, round_even
 from arrears.operators import cleaning as C
 from arrears.operators.joins import Conservation, left_join
+from arrears.operators.stats import regression_metrics
 from arrears.plans import features as P
 from arrears.plans import pipelines
 from arrears.plans import recovery as R
@@ -22,8 +25,9 @@ from arrears.plans import segments as S
 from arrears.session import cut_lineage, training_rows
 from arrears.sources import files
 from catalogue.registry import query
+from catalogue.statistics import r6, sql6
 from catalogue.stores import (
-    CREDIT_CTE, PARCEL_CTE, STOCK_CTE, STORE_V1_CTE, credit, debts_v1, stock_with_features, store_v1, taxpayers,
+    ACCESS_CTE, CREDIT_CTE, PARCEL_CTE, STOCK_CTE, STORE_V1_CTE, credit, debts_v1, stock_with_features, store_v1, taxpayers,
 )
 from catalogue.windows import training_sql
 
@@ -122,6 +126,81 @@ def class_weights(src):
         Window.partitionBy().orderBy("class_contribuinte_peso")).alias("lugar"))
 
 
+@query("discriminant_weights", "lugar:long posicao:double", f"""
+WITH {ACCESS_CTE}, paid AS (SELECT class_contribuinte_nome, avg(CASE WHEN valor_pago >= coalesce(nullif(valor_tot, 0), 1) THEN 1e0 ELSE 0e0 END) AS p
+  FROM a WHERE class_contribuinte_nome IS NOT NULL GROUP BY 1),
+ends AS (SELECT min(p) AS low, max(p) AS high FROM paid)
+SELECT row_number() OVER (ORDER BY p) AS lugar, {sql6('(p - low)/(high - low)', 'posicao')} FROM paid CROSS JOIN ends""")
+def discriminant_weights(src):
+    """Coefficients of the discriminant from the lowest, 0, to the highest, 1.
+
+    For classes as 0/1 columns they are the classes' shares of full payment, up to shift and scale.
+    """
+    paid = F.coalesce(capped(ratio("valor_pago", guarded("valor_tot"))).cast("int") == 1, F.lit(False)).cast("int")
+    rows = taxpayers(src).groupBy("class_contribuinte_nome", paid.alias("pago")).count().collect()  # two rows per class
+    names = sorted({r["class_contribuinte_nome"] for r in rows})
+    found = sorted(S.discriminant({(r["class_contribuinte_nome"], r["pago"]): r["count"] for r in rows}, names))
+    placed = [(i, float((w - found[0]) / (found[-1] - found[0]))) for i, w in enumerate(found, 1)]
+    return r6(facts(src, placed, "lugar int, posicao double"), "posicao")
+
+
+STEP_AGE, STEP_LOW, STEP_HIGH = 2, 0.25, 0.75
+
+
+@query("step_forest", "idade_divida:long n:long igr:double importancia_idade:double", f"""
+SELECT idade_divida, count(*) AS n, CASE WHEN idade_divida >= {STEP_AGE} THEN {STEP_HIGH}e0 ELSE {STEP_LOW}e0 END AS igr, 1e0 AS importancia_idade
+FROM v_divida WHERE {HELD_OUT_SQL} GROUP BY 1""")
+def step_forest(src):
+    """A target that steps at one age is learned exactly, and all importance goes to the age."""
+    step = F.when(F.col("idade_divida") >= STEP_AGE, STEP_HIGH).otherwise(STEP_LOW)
+    frame = cut_lineage(index_frame(src).withColumn(P.TARGET, step))
+    regressor = R.forest(TREES).setFeatureSubsetStrategy("all")
+    model, _, weights = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, regressor)
+    _, test = R.split(frame, INDEX_KEY, fv.SEED)
+    by_age = R.prediction(model, test).groupBy("idade_divida", F.col(R.PREDICTION).alias("igr")).agg(F.count(F.lit(1)).alias("n"))
+    shown = by_age.groupBy("idade_divida", round_even("igr", 6).alias("igr")).agg(F.sum("n").alias("n"))
+    return shown.withColumn("importancia_idade", round_even(F.lit(dict(weights)["idade_divida"]), 6))
+
+
+@query("mean_baseline", "n:long media:double r2:double mse:double", f"""
+WITH f AS (SELECT least(CAST(valor_pago AS DOUBLE)/CAST(valor_tot AS DOUBLE), 1e0) AS y, {training_sql(*INDEX_KEY)} AS known
+  FROM v_divida WHERE da_aberto = 0 AND idade_divida < {AGE}),
+m AS (SELECT avg(y) AS media FROM f WHERE known)
+SELECT count(*) AS n, {sql6('media', 'media')}, {sql6('1 - avg((y - media)*(y - media))/var_pop(y)', 'r2')}, {sql6('avg((y - media)*(y - media))', 'mse')}
+FROM f CROSS JOIN m WHERE NOT known GROUP BY media""")
+def mean_baseline(src):
+    """What every model must beat: the training rows' mean, measured on the rows held out."""
+    train, test = R.split(training_rows(R.matrix(index_frame(src), P.FEATURES_V2, P.TARGET, INDEX_KEY), INDEX_KEY), INDEX_KEY, fv.SEED)
+    guessed = R.mean_baseline(train, test, P.TARGET)
+    mean = guessed.agg(F.max(R.PREDICTION)).scalar()
+    return r6(regression_metrics(guessed, P.TARGET, R.PREDICTION).select("n", mean.alias("media"), "r2", "mse"), "media", "r2", "mse")
+
+
+GATE_SCALES = [0, 1, 2, 4]
+
+
+@query("gate_cases", "escala:long n:long r2:double mse:double aceito:long salvo:long", f"""
+SELECT escala, n, {sql6('1 - mse/vy', 'r2')}, {sql6('mse', 'mse')},
+  CASE WHEN 1 - mse/vy > {fv.GATE_R2} AND mse < {fv.GATE_MSE} THEN 1 ELSE 0 END AS aceito,
+  CASE WHEN 1 - mse/vy > {fv.GATE_R2} AND mse < {fv.GATE_MSE} THEN 1 ELSE 0 END AS salvo
+FROM (SELECT escala, count(*) AS n, var_pop(y) AS vy, avg(((y_predict - y)*escala)*((y_predict - y)*escala)) AS mse
+  FROM v_resid CROSS JOIN (VALUES {', '.join(f'({k})' for k in GATE_SCALES)}) AS e(escala) GROUP BY 1) t""")
+def gate_cases(src):
+    """The gate at its published limits, for closed-form predictions with their errors scaled: an accepted model can be
+    opened again, a rejected one leaves no file."""
+    closed = cut_lineage(closed_form_predictions(src))
+    model = Pipeline(stages=[VectorAssembler(inputCols=[P.TARGET], outputCol=R.VECTOR)]).fit(closed)
+    rows = []
+    for k in GATE_SCALES:
+        guess = F.col(P.TARGET) + (F.col(R.PREDICTION) - F.col(P.TARGET)) * k
+        m = regression_metrics(closed.withColumn(R.PREDICTION, guess), P.TARGET, R.PREDICTION).first()
+        accepted = R.accept_regressor(m.asDict())
+        path = R.save_if_accepted(model, accepted, files.scratch_folder(src.spark, "gate"), f"igr-{k}")
+        saved = path is not None and len(R.open_model(path).stages) == 1
+        rows.append((k, m["n"], m["r2"], m["mse"], int(accepted), int(saved)))
+    return r6(facts(src, rows, "escala int, n bigint, r2 double, mse double, aceito int, salvo int"), "r2", "mse")
+
+
 @query("igr_regressor", "n:long melhor_que_media:long erros_coerentes:long", f"""
 SELECT count(*) AS n, 1 AS melhor_que_media, 1 AS erros_coerentes FROM v_divida WHERE {HELD_OUT_SQL}""")
 def igr_regressor(src):
