@@ -7,7 +7,9 @@ from arrears.functions import fixed_values as fv
 from arrears.functions import scalars as S
 from arrears.functions.semantics import ratio, round_even
 from arrears.operators import aggregates as A
+from arrears.operators import bitmaps as M
 from arrears.operators.quantiles import exact_quantiles
+from arrears.session import cut_lineage
 from catalogue.cleaning import SIZE_SQL
 from catalogue.registry import query
 
@@ -191,6 +193,33 @@ def distinct_per_column(src):
     return A.distinct_per_column(src.dam)
 
 
+@query("distinct_from_store", "chave:string valor:string imoveis:long", """
+SELECT 'bairro' AS chave, bairro AS valor, count(DISTINCT id_imovel) AS imoveis FROM v_dam GROUP BY bairro
+UNION ALL SELECT 'tipo_propriedade', tipo_propriedade, count(DISTINCT id_imovel) FROM v_dam GROUP BY tipo_propriedade
+UNION ALL SELECT 'ano_fato_gerador', CAST(ano_fato_gerador AS VARCHAR), count(DISTINCT id_imovel) FROM v_dam GROUP BY ano_fato_gerador
+UNION ALL SELECT 'tudo', NULL, count(DISTINCT id_imovel) FROM v_dam""")
+def distinct_from_store(src):
+    """Distinct properties at four granularities from bitmaps that one pass stored at the finest."""
+    keys = ["bairro", "tipo_propriedade", "ano_fato_gerador"]
+    store = cut_lineage(M.entity_bitmaps(src.dam, keys, "id_imovel"))
+    found = M.distinct_entities(store, [], "imoveis").select(
+        F.lit("tudo").alias("chave"), F.lit(None).cast("string").alias("valor"), "imoveis")
+    for key in keys:
+        per_key = M.distinct_entities(store, [key], "imoveis")
+        found = found.unionByName(per_key.select(F.lit(key).alias("chave"), F.col(key).cast("string").alias("valor"), "imoveis"))
+    return found
+
+
+@query("cumulative_distinct", "ano_fato_gerador:long contribuintes:long", """
+SELECT a.ano_fato_gerador, count(DISTINCT b.id_contribuinte) AS contribuintes
+FROM (SELECT DISTINCT ano_fato_gerador FROM v_dam WHERE ano_fato_gerador IS NOT NULL) a
+JOIN v_dam b ON b.ano_fato_gerador <= a.ano_fato_gerador GROUP BY 1""")
+def cumulative_distinct(src):
+    """Taxpayers seen up to each year, from one bitmap store per year."""
+    store = cut_lineage(M.entity_bitmaps(src.dam, ["ano_fato_gerador"], "id_contribuinte"))
+    return M.cumulative_entities(store, "ano_fato_gerador", "contribuintes")
+
+
 @query("argmax_row", "bairro:string maior:double tipo_propriedade:string dam:long", """
 SELECT bairro, maior, tipo_propriedade, dam FROM (SELECT bairro, r AS maior, tipo_propriedade, dam,
   row_number() OVER (PARTITION BY bairro ORDER BY r DESC, dam, tipo_propriedade NULLS FIRST) AS rn
