@@ -23,7 +23,7 @@ from arrears.plans import pipelines
 from arrears.plans import recovery as R
 from arrears.plans import segments as S
 from arrears.session import cut_lineage, training_rows
-from arrears.sources import files
+from arrears.sources import archives, files
 from catalogue.registry import query
 from catalogue.statistics import r6, sql6
 from catalogue.stores import (
@@ -349,6 +349,15 @@ def csv_decimal_comma(src):
     return files.read_csv(src.spark, folder, "id_pessoa bigint, tipo_divida string, da_aberto int, valor_tot string", separator=";")
 
 
+@query("archived_csv", TAXPAYER_TEXT, PROFILE_SQL + " WHERE d.da_aberto = 1")
+def archived_csv(src):
+    """Profiles in archives, a member for every partition and range of taxpayers; the members of open ones are read."""
+    folder = files.scratch_folder(src.spark, "archives")
+    member = F.format_string("%s/%d.csv", F.when(F.col("da_aberto") == 1, "aberto").otherwise("fechado"), F.col("id_pessoa") % 16)
+    archives.write_members(_profile(src).withColumn("membro", member), folder, "membro").agg(F.sum("linhas")).collect()
+    return archives.read_members(src.spark, folder, "aberto/*", TAXPAYER_SCHEMA)
+
+
 @query("store_roundtrip", TAXPAYER_TEXT, PROFILE_SQL)
 def store_roundtrip(src):
     folder = files.scratch_folder(src.spark, "store")

@@ -57,6 +57,48 @@ def test_archive_without_a_column_fails(spark, tmp_path):
         archives.read_archived_csv(spark, str(tmp_path), "imovel.csv", SCHEMA).collect()
 
 
+def test_members_are_listed_and_read_in_place(spark, tmp_path):
+    folder = tmp_path / "dois lotes"
+    folder.mkdir()
+    for i in range(2):
+        with zipfile.ZipFile(folder / f"lote {i}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("2019/imovel.csv", f"\ufeffvalor,extra,nome,id\r\n{i}.25,x,\"a\r\nb, \"\"c\"\"\",{i}\r\n,,,{i + 10}\r\n")
+            z.writestr("2020/imovel.csv", f"id,nome,valor\n{i + 20},{'n' * 200_000},1\n")
+            z.writestr("2020/empty.csv", "id,nome,valor\n")
+            z.writestr("outro.csv", "x\n1\n")
+    listed = archives.list_members(spark, str(folder), "*/imovel.csv")
+    assert sorted((r["path"][-10:], r["member"]) for r in listed.collect()) == [
+        (f"lote {i}.zip", f"{year}/imovel.csv") for i in range(2) for year in (2019, 2020)]
+    rows = sorted(map(tuple, archives.read_members(spark, str(folder), "2*", SCHEMA).collect()))
+    assert rows[:3] == [(0, 'a\r\nb, "c"', Decimal("0.25")), (1, 'a\r\nb, "c"', Decimal("1.25")), (10, None, None)]
+    assert [(r[0], len(r[1])) for r in rows[4:]] == [(20, 200_000), (21, 200_000)]
+    assert archives.read_members(spark, str(folder), "none*", SCHEMA).collect() == []
+    with pytest.raises(Exception, match="lacks columns"):
+        archives.read_members(spark, str(folder), "*", SCHEMA).collect()
+
+
+def test_members_of_one_archive_are_many_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "lote.zip", "w") as z:
+        for i in range(40):
+            z.writestr(f"{i}.csv", f"id,nome,valor\n{i},a,1\n")
+    read = archives.read_members(spark, str(tmp_path), "*.csv", SCHEMA)
+    assert read.select(F.spark_partition_id()).distinct().count() > 4 and read.count() == 40
+
+
+def test_archives_written_by_tasks(spark, tmp_path):
+    rows = [(i, None if i % 3 == 0 else f"n;{i}\n", Decimal(i)) for i in range(30_000)]
+    named = spark.createDataFrame(rows, SCHEMA).withColumn("member", F.format_string("%d/lote.csv", F.col("id") % 5))
+    folder = str(tmp_path / "out")
+    for _ in range(2):  # a second run replaces the archives
+        told = archives.write_members(named, folder, "member", ";").collect()
+        assert sorted((r["member"], r["linhas"]) for r in told) == [(f"{k}/lote.csv", 6_000) for k in range(5)]
+    assert sorted(map(tuple, archives.read_members(spark, folder, "*", SCHEMA, ";").collect())) == rows
+    assert archives.read_members(spark, folder, "3/*", SCHEMA, ";").count() == 6_000
+    assert archives.write_members(named.where("id < 0"), str(tmp_path / "none"), "member").collect() == []
+    with pytest.raises(Exception, match="a row has no member"):
+        archives.write_members(named.withColumn("member", F.lit(None).cast("string")), str(tmp_path / "no"), "member").collect()
+
+
 class RecordingReader:
     """Stands in for ``spark.read``: keeps the options and reads a file instead of a database."""
 
