@@ -25,6 +25,7 @@ from arrears.session import training_rows
 
 PREDICTION = "igr"
 VECTOR = "atributos_igr"
+STOP_MARK = "parada_igr"
 NODE_MEMORY_MB = 512  # statistics of the nodes that one pass splits; more nodes a pass, fewer passes
 FITS_AT_ONCE = 6
 
@@ -52,9 +53,35 @@ def forest(trees: int = 100, depth: int = 15, seed: int = fv.SEED) -> RandomFore
                                  maxMemoryInMB=NODE_MEMORY_MB)
 
 
-def boosted(trees: int = 2000, rate: float = 0.02, share: float = 0.9, depth: int = 6, seed: int = 0) -> GBTRegressor:
-    """Boosted trees; the checkpoint interval keeps the chain of residuals short."""
-    return GBTRegressor(maxIter=trees, stepSize=rate, subsamplingRate=share, maxDepth=depth, seed=seed, checkpointInterval=20)
+def boosted(trees: int = 2000, rate: float = 0.02, share: float = 0.9, depth: int = 6, seed: int = 0,
+            tolerance: float | None = None) -> GBTRegressor:
+    """Boosted trees; the checkpoint interval keeps the chain of residuals short.
+
+    With a tolerance, training ends at the first round that lowers the squared error of the rows set aside by less than
+    that share of it (of 0.01, if it is smaller), and the trees up to the best round stay. Spark waits for no later
+    round. Which rows are set aside is marked in ``STOP_MARK``.
+    """
+    trained = GBTRegressor(maxIter=trees, stepSize=rate, subsamplingRate=share, maxDepth=depth, seed=seed, checkpointInterval=20)
+    return trained if tolerance is None else trained.copy({
+        trained.validationTol: tolerance, trained.validationIndicatorCol: STOP_MARK})
+
+
+def set_aside(train: DataFrame, regressor, key: Sequence[str], seed: int) -> DataFrame:
+    """Mark two tenths of the training keys for a regressor that stops early; the test rows take no part in that."""
+    if regressor.hasParam("validationIndicatorCol") and regressor.isSet("validationIndicatorCol"):
+        return train.withColumn(regressor.getValidationIndicatorCol(), in_training_share(key, seed + 1, share=2))
+    return train
+
+
+def rounds(model: PipelineModel) -> int:
+    """Trees that the regressor kept."""
+    return model.stages[-1].getNumTrees
+
+
+def round_errors(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Squared error on the rows after each round, in one pass over them."""
+    prepared = PipelineModel(model.stages[:-1]).transform(rows)
+    return list(model.stages[-1].evaluateEachIteration(prepared, "squared"))
 
 
 def fit(train: DataFrame, columns: Sequence[str], target: str, regressor, scaler: str | None = "standard") -> PipelineModel:
@@ -96,7 +123,8 @@ def train_index(frame: DataFrame, columns: Sequence[str], target: str, key: Sequ
     if watch is not None:
         watch.check()
     train, test = split(rows, key, seed)
-    model = fit(train, columns, target, regressor or forest(seed=seed), scaler)
+    regressor = regressor or forest(seed=seed)
+    model = fit(set_aside(train, regressor, key, seed), columns, target, regressor, scaler)
     metrics = regression_metrics(prediction(model, test), target, PREDICTION).first().asDict()
     return model, metrics, importances(model, columns)
 
@@ -116,7 +144,7 @@ def compare_models(frame: DataFrame, columns: Sequence[str], target: str, key: S
         if regressor is None:
             predicted = mean_baseline(train, test, target)
         else:
-            predicted = prediction(fit(train, columns, target, regressor, scaler), test)
+            predicted = prediction(fit(set_aside(train, regressor, key, seed), columns, target, regressor, scaler), test)
         m = regression_metrics(predicted, target, PREDICTION).first()
         return scaler, name, m["n"], m["r2"], m["mse"], m["rmse"], m["ccc"]
 

@@ -32,6 +32,7 @@ from catalogue.stores import (
 from catalogue.windows import training_sql
 
 TREES = 100  # as many as the surveyed models have
+STOP_TOLERANCE = 1e-3  # a round must lower the error of the rows set aside by a thousandth of it
 BOOSTING_ROUNDS = 30  # see README: every round of the full 2,000 is a chain of jobs
 V1_CLUSTER_FEATURES = ["status_situacao", "historico_pagamento_em_qtd", "historico_pagamento_em_valor"]
 INDEX_KEY = ["cda", "tipo_divida", "id_pessoa"]
@@ -162,6 +163,33 @@ def step_forest(src):
     return shown.withColumn("importancia_idade", round_even(F.lit(dict(weights)["idade_divida"]), 6))
 
 
+@query("step_boosting", "idade_divida:long n:long igr:double arvores:long", f"""
+SELECT idade_divida, count(*) AS n, CASE WHEN idade_divida >= {STEP_AGE} THEN {STEP_HIGH}e0 ELSE {STEP_LOW}e0 END AS igr, 1 AS arvores
+FROM v_divida WHERE {HELD_OUT_SQL} GROUP BY 1""")
+def step_boosting(src):
+    """The first tree learns the step exactly, so of 2,000 rounds the second is the last, and one tree stays."""
+    step = F.when(F.col("idade_divida") >= STEP_AGE, STEP_HIGH).otherwise(STEP_LOW)
+    frame = cut_lineage(index_frame(src).withColumn(P.TARGET, step))
+    model, _, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, R.boosted(tolerance=STOP_TOLERANCE))
+    _, test = R.split(frame, INDEX_KEY, fv.SEED)
+    by_age = R.prediction(model, test).groupBy("idade_divida", round_even(R.PREDICTION, 6).alias("igr")).agg(F.count(F.lit(1)).alias("n"))
+    return by_age.withColumn("arvores", F.lit(R.rounds(model)))
+
+
+@query("boosted_until_still", "n:long erro_valido:long parou_antes:long melhora_ate_parar:long", f"""
+SELECT count(*) AS n, 1 AS erro_valido, 1 AS parou_antes, 1 AS melhora_ate_parar FROM v_divida WHERE {HELD_OUT_SQL}""")
+def boosted_until_still(src):
+    """All 2,000 rounds are allowed; training ends by itself, and on the rows set aside no earlier round is better."""
+    frame = cut_lineage(index_frame(src))
+    regressor = R.boosted(tolerance=STOP_TOLERANCE)
+    model, found, _ = R.train_index(frame, P.FEATURES_V2, P.TARGET, INDEX_KEY, regressor)
+    watched = R.set_aside(R.split(frame, INDEX_KEY, fv.SEED)[0], regressor, INDEX_KEY, fv.SEED).where(R.STOP_MARK)
+    errors = R.round_errors(model, watched)
+    return facts(src, [(found["n"], valid_error(found["mse"]), int(R.rounds(model) < regressor.getMaxIter()),
+                        int(errors[-1] <= min(errors) + 1e-9))],
+                 "n bigint, erro_valido int, parou_antes int, melhora_ate_parar int")
+
+
 @query("mean_baseline", "n:long media:double r2:double mse:double", f"""
 WITH f AS (SELECT least(CAST(valor_pago AS DOUBLE)/CAST(valor_tot AS DOUBLE), 1e0) AS y, {training_sql(*INDEX_KEY)} AS known
   FROM v_divida WHERE da_aberto = 0 AND idade_divida < {AGE}),

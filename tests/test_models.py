@@ -79,6 +79,25 @@ def test_forest_beats_the_mean(frame, trained):
     assert sum(v for _, v in trained[2]) == pytest.approx(1.0)
 
 
+def test_boosting_stops_by_itself(spark):
+    """A slope is learned in many small steps: every round kept helps, the one after the last would not have."""
+    rows = cut_lineage(spark.range(2000).select("id", (F.col("id") / 100).alias("x"), (F.col("id") / 100).alias("y")))
+    options = {"rate": 0.5, "share": 1.0, "depth": 2}
+    stopping = R.boosted(trees=60, tolerance=0.05, **options)
+    model, found, _ = R.train_index(rows, ["x"], "y", ["id"], stopping, scaler=None)
+    train, _ = R.split(rows, ["id"])
+    marked = R.set_aside(train, stopping, ["id"], R.fv.SEED)
+    assert 0.15 < marked.where(R.STOP_MARK).count() / train.count() < 0.25
+    assert R.set_aside(train, R.boosted(trees=5), ["id"], 1) is train and R.set_aside(train, R.forest(1), ["id"], 1) is train
+    errors = R.round_errors(model, marked.where(R.STOP_MARK))
+    assert 3 < R.rounds(model) == len(errors) < 60
+    assert all(later < earlier for earlier, later in zip(errors, errors[1:]))
+    assert found["r2"] > 0.9
+    longer = R.fit(marked.where(~F.col(R.STOP_MARK)), ["x"], "y", R.boosted(trees=len(errors) + 1, **options), None)
+    beyond = R.round_errors(longer, marked.where(R.STOP_MARK))
+    assert beyond[-2] - beyond[-1] < 0.05 * max(beyond[-1], 0.01)
+
+
 def test_gate():
     assert R.accept_regressor({"r2": 0.83, "mse": 0.0189}) and not R.accept_regressor({"r2": 0.82, "mse": 0.0189})
     assert not R.accept_regressor({"r2": 0.83, "mse": 0.019})
