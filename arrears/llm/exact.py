@@ -5,10 +5,11 @@ of all rows share leaves a task as a few rows. Then texts are partitioned by len
 each partition say which row owns each text. A trie's size is bounded: beyond ``TRIE_BYTES`` its heaviest subtrees are
 given out and freed; in the first round that only repeats a text later on, in the second a trie is one run of equal
 (length, hash) in a partition that Spark has sorted, and sorting is where it spills. Owners are joined back to the rows
-by length, content hash and SHA-256 of the text; no text is moved twice.
+by the SHA-256 of the text; no text is moved twice.
 
 Rules: a null text is empty; runs of ASCII white space count as one space each, at the ends too; a null id never owns a
-text unless no row of the text has an id; repeated rows count each; very long texts are compared whole.
+text unless no row of the text has an id; repeated rows count each; very long texts are compared whole;
+an empty table gives an empty result. Other columns of the table are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ hash of their ids: a bounded sample, fitted on the driver. Scoring covers all ro
 between tasks, and works through a partition in chunks of ``CHUNK_WORDS`` words or one text.
 
 Rules: a null or empty text gets the score of a text without words; a null or conflicting label of a repeated id counts
-as toxic if any of its labels is 1 and is left out if all are null; without labels of both kinds every score is the
-share of toxic labels, or 0.
+as toxic if any of its labels is 1 and is left out if all are null; of the texts of a repeated id the field learns the
+one with the smallest hash; rows that repeat a text have the same score; very long texts are scored whole; without
+labels of both kinds every score is the share of toxic labels, or 0; an empty table gives an empty result. Scores and
+spans are one column, which the caller names; all columns of the table pass through.
 """
 
 from __future__ import annotations
@@ -218,15 +220,25 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_column: st
           text_column: str = "text", toxic_column: str = "toxic", sample_rows: int = SAMPLE_ROWS,
           sample_chars: int = SAMPLE_CHARS) -> Field:
     """Fit on a bounded sample of labelled rows that are not held out; the sample is taken by the hash of the id."""
+    sample = labelled_sample(docs, labels, id_column, text_column, toxic_column, sample_rows, sample_chars).toPandas()
+    sample = sample.assign(order=[zlib.crc32(str(i).encode()) for i in sample["id"]]).sort_values(["order", "id"])
+    return learn(list(sample["text"]), sample["toxic"].to_numpy().astype(np.int64))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, toxic_column: str,
+                    sample_rows: int, sample_chars: int) -> DataFrame:
+    """At most ``sample_rows`` rows (id, toxic, text), one per id: of several texts the one with the smallest hash.
+
+    Map tasks already reduce an id with many rows to one.
+    """
     seen = labels.where(~held_out(F.col(id_column)) & F.col(toxic_column).isNotNull() & F.col(id_column).isNotNull())
     order = F.md5(F.col("id").cast("string"))
     chosen = (seen.groupBy(F.col(id_column).alias("id")).agg(F.max(toxic_column).alias("toxic"))
               .orderBy(order, "id").limit(sample_rows))  # bounded, so it may be broadcast
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    sample = (rows.where(F.length("text") <= sample_chars).join(F.broadcast(chosen), "id")
-              .select("id", "toxic", "text").toPandas().drop_duplicates("id"))
-    sample = sample.assign(order=[zlib.crc32(str(i).encode()) for i in sample["id"]]).sort_values(["order", "id"])
-    return learn(list(sample["text"]), sample["toxic"].to_numpy().astype(np.int64))
+    one = F.min(F.struct(F.sha2("text", 256).alias("hash"), "text"))
+    return (rows.where(F.length("text") <= sample_chars).join(F.broadcast(chosen), "id")
+            .groupBy("id", "toxic").agg(one.alias("one")).select("id", "toxic", "one.text"))
 
 
 def held_out(doc_id: Column) -> Column:

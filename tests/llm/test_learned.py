@@ -1,9 +1,11 @@
 """Toxicity, vector search, licences and URL rules: held-out accuracy, brute force, and odd rows."""
 
+import hashlib
 import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -102,6 +104,25 @@ def test_odd_texts_and_labels(spark):
     assert [grown["text"][s["start"]:s["end"]] for s in grown["j"]["spans"]] == ["blockhead", "nitwit"]
 
 
+def test_repeated_ids_give_one_row_to_the_fit(spark):
+    """A third of all rows share one id: it gives one text, the same in any order and partitioning."""
+    rows, labels = toxic_corpus(300)
+    hot = next(i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1)
+    more = [(hot, f"another text {k} of this id", "en", "s", 0) for k in range(150)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    fields = []
+    for given, parts in ((rows + more, 1), (more[::-1] + rows[::-1], 7)):
+        docs = frame(spark, given).repartition(parts)
+        sample = toxicity.labelled_sample(docs, table, "doc_id", "text", "toxic", 4_000, 12_000).collect()
+        texts = [text for i, text, *_ in given if i == hot]
+        least = min(texts, key=lambda text: hashlib.sha256(text.encode()).hexdigest())
+        assert [r["text"] for r in sample if r["id"] == hot] == [least]
+        assert len(sample) == len({r["id"] for r in sample}) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in labels)
+        fields.append(toxicity.train(spark, docs, table))
+    assert np.array_equal(fields[0].weights, fields[1].weights)
+    assert np.array_equal(fields[0].score_weights, fields[1].score_weights)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0), (3, 1, 0)]])
 def test_without_labels_of_both_kinds(spark, labels):
     docs = frame(spark, corpus(size=10))
