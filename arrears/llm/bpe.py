@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 KNOWN_WORDS = 200_000
 KNOWN_PAIRS = 200_000
 CHUNK_CHARS = 1_000_000
+ENDING = 4
 
 
 def byte_alphabet() -> list[str]:
@@ -94,6 +95,17 @@ class Vocabulary:
             self.names[number] = name
 
 
+def reaches(tokens: dict[str, bytes]) -> dict[str, int]:
+    """Length of the longest token with each ending of ``ENDING`` letters; shorter tokens are their own ending.
+
+    Where no token has the ending, those that can stand there are shorter than it.
+    """
+    reach: dict[str, int] = {}
+    for token in tokens:
+        reach[token[-ENDING:]] = max(len(token), reach.get(token[-ENDING:], 0))
+    return reach
+
+
 class WordEncoder:
     """Encodes distinct words; every result is the packed ids of one word, 32-bit little-endian."""
 
@@ -114,7 +126,7 @@ class WordEncoder:
                     self.packed[token] = number.to_bytes(4, "little")
         if not suffix:
             self.packed_end = self.packed
-        self.longest = max(map(len, [*self.packed, *self.packed_end]))
+        self.reach, self.reach_end = reaches(self.packed), reaches(self.packed_end)
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def _apart(self, left: str, right: str, limit: float = float("inf")) -> bool:
@@ -174,7 +186,8 @@ class WordEncoder:
     def _last(self, path: str, size: int, tokens: dict[str, bytes], last: list[str]) -> tuple[str, int]:
         """The one token of ``tokens`` that ends the first ``size`` letters of ``path``, longest first, and where it
         begins."""
-        for begin in range(max(0, size - self.longest), size):
+        reach = self.reach if tokens is self.packed else self.reach_end
+        for begin in range(max(0, size - reach.get(path[max(0, size - ENDING):size], ENDING - 1)), size):
             token = path[begin:size]
             if token in tokens:
                 if begin == 0:
@@ -185,7 +198,7 @@ class WordEncoder:
                     fits = self._fits(last[begin], whole)
                 if fits:
                     return token, begin
-        raise ValueError(f"no token ends {path[max(0, size - self.longest):size]!r}")
+        raise ValueError(f"no token ends {path[max(0, size - 40):size]!r}")
 
     def _fits(self, left: str, right: str) -> bool:
         if len(self.pairs) >= KNOWN_PAIRS:
