@@ -205,6 +205,12 @@ def as_text(spans: Column) -> Column:
         ":", F.element_at(kinds, s["order"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def count_of(spans: str, kind: str) -> Column:
+    """How many spans of a list are of that kind. (A second argument of the lambda would be the place in the list.)"""
+    order = KINDS.index(kind) + 1
+    return F.size(F.filter(spans, lambda s: s["order"] == order)).cast("long")
+
+
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", clean: str = "clean_text",
              **thresholds) -> DataFrame:
     """``docs`` with its texts, values and disclosing words replaced by their kind in brackets."""

@@ -161,3 +161,17 @@ def test_query_hashes_the_generalised_texts(spark, tmp_path):
     expected = sorted((r["doc_id"] or -1, hashlib.sha256(r["clean_text"].encode()).hexdigest()) for r in pii.sanitise(docs).collect())
     found = QUERIES["op2_pii"](spark, str(tmp_path)).collect()
     assert sorted((r["doc_id"] or -1, r["clean_sha256"]) for r in found) == expected
+
+
+def test_query_counts_the_spans_of_each_kind(spark, tmp_path):
+    from arrears.llm.queries import QUERIES
+
+    rows = [(1, "a@b.cc c@d.ee e@f.gg 10.0.0.1", "en", "s", 0), (2, "10.0.0.1 10.0.0.2 4539148803436467", "en", "s", 0),
+            (3, "+49 30 1234567 +49 30 1234568 a@b.cc 1.2.3.4", "en", "s", 0), (4, None, "en", "s", 0), (None, "c@d.ee", None, None, 0)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r for r in QUERIES["op2_pii"](spark, str(tmp_path)).collect()}
+    for doc_id, text, *_ in rows:
+        spans = brute_base(text)
+        assert [found[doc_id][f"n_{kind}"] for kind in PLAIN] == [sum(k == kind for k, *_ in spans) for kind in PLAIN], text
+        listed = ",".join(f"{k}:{start}:{end}" for k, start, end in spans)
+        assert found[doc_id]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
