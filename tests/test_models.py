@@ -137,3 +137,21 @@ def test_residuals_leave_out_the_ends(spark):
     df = spark.createDataFrame([(0.5, 0.0), (0.5, 1.0), (0.9, 0.5), (0.1, 0.5)], "y double, igr double")
     out = R.residuals(df, "y").collect()
     assert [round(r["residuos"], 6) for r in out] == [0.4, -0.4]
+
+
+def test_a_forest_is_grown_in_parts(spark):
+    """All trees are there, the prediction is their mean, and passes take few tasks however the rows were dealt."""
+    rows = cut_lineage(spark.range(400).select("id", F.rand(1).alias("x"), F.rand(2).alias("y")).repartition(30))
+    model = R.fit(rows, ["x"], "y", R.forest(10, 4), None)
+    parts = [stage for stage in model.stages if hasattr(stage, "trees")]
+    assert [part.getNumTrees for part in parts] == [2, 3, 2, 3]
+    assert len({part.trees[0].toDebugString.split("\n", 1)[1] for part in parts}) > 1
+    scored = R.prediction(model, rows)
+    assert scored.columns == ["id", "x", "y", R.PREDICTION]
+    trees = [tree for part in parts for tree in part.trees]
+    vector = R.VectorAssembler(inputCols=["x"], outputCol="v")
+    for row in vector.transform(scored).limit(5).collect():
+        assert row[R.PREDICTION] == pytest.approx(sum(t.predict(row["v"]) for t in trees) / 10)
+    assert R.importances(model, ["x"]) == [("x", pytest.approx(1.0))]
+    assert R.tasks_of_a_part(400, 8, 4) == 2 and R.tasks_of_a_part(5_000_001, 8, 4) == 6
+    assert len(R.fit(rows, ["x"], "y", R.forest(1, 2), None).stages) == 3
