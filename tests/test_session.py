@@ -36,3 +36,18 @@ def test_checkpoint_keeps_rows_and_cuts_the_plan(spark):
 def test_options_are_applied(spark):
     tune(spark)
     assert all(spark.conf.get(k) == v for k, v in RUNTIME_OPTIONS.items())
+
+
+def test_a_task_takes_no_more_of_a_larger_input(spark, source):
+    """The partitions of an exchange follow the bytes read, and are merged again where they turn out small."""
+    from arrears.session import BYTES_A_PARTITION, FIRST_PARTITIONS, spread_exchanges
+
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert spread_exchanges(spark, 0) == before and spread_exchanges(spark, 100 * BYTES_A_PARTITION + 1) == 101
+        plan = spark.range(0, 1000, 1, 4).selectExpr("id % 7 AS x").distinct()
+        assert ", 101)" in plan._jdf.queryExecution().executedPlan().toString()
+        assert plan.rdd.getNumPartitions() < 101 and plan.count() == 7
+        assert source.size() > 0
+    finally:
+        spark.conf.unset(FIRST_PARTITIONS)
