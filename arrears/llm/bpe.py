@@ -26,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 KNOWN_WORDS = 200_000
 KNOWN_PAIRS = 200_000
 CHUNK_CHARS = 1_000_000
+BATCH_BYTES = 1 << 20  # of text that are encoded, decoded and sent back at once
 ENDING = 4
 
 
@@ -262,13 +264,29 @@ def normal(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+def portions(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The rows of batches in slices of ``BATCH_BYTES`` of text, or of one longer text.
+
+    Ids and decoded texts take several times the bytes of their texts, on both sides of the worker's pipe, so batches
+    that are bounded by rows alone would make memory grow with the length of texts.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < len(batch):
+            done = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + BATCH_BYTES, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def encode(spark: SparkSession, text: Column, path: str) -> Column:
     """Token ids of whole texts as 32-bit little-endian binary, the form in which token shards are stored."""
     vocabulary = spark.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = TextEncoder(vocabulary.value)
-        for batch in batches:
+        for batch in portions(batches):
             yield pa.array(encoder.encode(x.as_py() or "" for x in batch), pa.binary())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -295,7 +313,7 @@ def round_trip(spark: SparkSession, text: Column, path: str) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, names = TextEncoder(vocabulary.value), vocabulary.value.names
-        for batch in batches:
+        for batch in portions(batches):
             ids = list(encoder.encode(x.as_py() or "" for x in batch))
             yield pa.StructArray.from_arrays(
                 [pa.array(ids, pa.binary()), pa.array((text_of(i, names) for i in ids), pa.string())], fields=list(made))

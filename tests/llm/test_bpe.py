@@ -3,6 +3,7 @@
 import random
 import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -93,3 +94,16 @@ def test_long_words_take_linear_memory(encoder):
     assert peak < 400 * len(word)
     spelled = "".join(encoder.words.v.names[i] for i in unpack(ids))
     assert spelled.removesuffix(encoder.words.suffix) == word
+
+
+def test_batches_are_cut_by_bytes(spark, library, monkeypatch):
+    """No more text is worked on at once than the limit, or one text; order, nulls and longer texts stay."""
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 10)
+    rows = ["ab", None, "", "ééé", "x" * 25, "c", "d" * 10, None]
+    cut = [part.to_pylist() for part in bpe.portions(iter([pa.array(["zz", *rows], pa.string()).slice(1), pa.array([], pa.string())]))]
+    assert cut == [["ab", None, "", "ééé"], ["x" * 25], ["c"], ["d" * 10, None]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(1)
+    made = docs.withColumn("made", bpe.round_trip(spark, F.col("text"), tokenizer_path())).collect()
+    for r in made:
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert (unpack(r["made"]["ids"]), r["made"]["decoded"]) == (ids, library.decode(ids, skip_special_tokens=False))
