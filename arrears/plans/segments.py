@@ -18,7 +18,7 @@ from arrears.functions.scalars import code_map
 from arrears.functions.semantics import capped, guarded, last_wins, present, ratio
 from arrears.operators.stats import elbow
 from arrears.operators.windows import in_training_share
-from arrears.session import training_rows
+from arrears.session import neighbouring_rows, training_rows
 
 VECTOR = "atributos"
 CLUSTER = "label_cluster"
@@ -104,7 +104,8 @@ def train_classifier(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                                     predictionCol="classe_prevista", probabilityCol="_p", rawPredictionCol="_r")
     assembler = VectorAssembler(inputCols=list(columns), outputCol=VECTOR)
     rows = df.drop(VECTOR)
-    model = Pipeline(stages=[assembler, forest]).fit(rows.where(is_training))
+    near, _ = neighbouring_rows(rows.where(is_training), columns, [*columns, label])
+    model = Pipeline(stages=[assembler, forest]).fit(near)
     held = model.transform(rows.where(~is_training))
     accuracy = held.agg(F.avg((F.col("classe_prevista") == F.col(label)).cast("double"))).first()[0]
     return model, accuracy or 0.0

@@ -9,7 +9,7 @@ from arrears.operators.stats import fit_scaler
 from arrears.plans import features as P
 from arrears.plans import recovery as R
 from arrears.plans import segments as S
-from arrears.session import cut_lineage
+from arrears.session import cut_lineage, neighbouring_rows
 
 
 @pytest.fixture(scope="module")
@@ -155,3 +155,22 @@ def test_a_forest_is_grown_in_parts(spark):
     assert R.importances(model, ["x"]) == [("x", pytest.approx(1.0))]
     assert R.tasks_of_a_part(400, 8, 4) == 2 and R.tasks_of_a_part(5_000_001, 8, 4) == 6
     assert len(R.fit(rows, ["x"], "y", R.forest(1, 2), None).stages) == 3
+
+
+def test_a_forest_reads_neighbours_side_by_side(spark):
+    """No row is lost; features with few values come first in the order; rows that are alike are dealt over the tasks."""
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("many"), (F.col("id") % 3).alias("few"), F.lit(1.0).alias("y"))
+    near, count = neighbouring_rows(rows.repartition(30), ["many", "few"], ["few", "many", "y"])
+    found = [(r["few"], r["many"]) for r in near.collect()]
+    assert count == 3000 and found == sorted((r["few"], r["many"]) for r in rows.collect())
+    alike, _ = neighbouring_rows(rows.withColumn("many", F.lit(1)), ["many"], ["y"])
+    sizes = [r["count"] for r in alike.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 8 and max(sizes) < 1000
+    empty, none = neighbouring_rows(rows.where("few > 5"), ["many"], ["y"])
+    assert (empty.count(), none) == (0, 0)
+
+
+def test_parts_and_tasks_follow_cores_and_rows():
+    assert [R.parts_of_a_forest(trees, 8) for trees in (1, 3, 10, 40, 100)] == [1, 1, 4, 5, 8]
+    assert R.parts_of_a_forest(100, 200) == 12
+    assert R.tasks_for(10, 8) == 8 and R.tasks_for(20_000_001, 8) == 21
