@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,11 +22,14 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Workers get these functions by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_BATCH = 10_000
 LONGEST_FIELD = 2**31 - 1
 MEMBERS = "path string, member string, bytes bigint"

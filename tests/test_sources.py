@@ -1,9 +1,12 @@
 """Readers and writers."""
 
+import subprocess
+import sys
 import zipfile
 from decimal import Decimal
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,3 +227,11 @@ def test_row_conservation(spark):
     watch = Conservation("nothing")
     watch.leave(watch.enter(spark.range(0))).collect()
     assert watch.check() == {"rows": 0}
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    sent = tmp_path / "sent"
+    sent.write_bytes(cloudpickle.dumps((archives.opened, archives.member_rows, archives.located)))
+    read = "import pickle, sys; print([f.__name__ for f in pickle.load(open(sys.argv[1], 'rb'))])"
+    told = subprocess.run([sys.executable, "-I", "-c", read, str(sent)], cwd=tmp_path, capture_output=True, text=True)
+    assert told.stdout.strip() == "['opened', 'member_rows', 'located']", told.stderr
