@@ -174,3 +174,11 @@ def test_parts_and_tasks_follow_cores_and_rows():
     assert [R.parts_of_a_forest(trees, 8) for trees in (1, 3, 10, 40, 100)] == [1, 1, 4, 5, 8]
     assert R.parts_of_a_forest(100, 200) == 12
     assert R.tasks_for(10, 8) == 8 and R.tasks_for(20_000_001, 8) == 21
+
+
+def test_keys_are_hashed_once(spark):
+    rows = spark.range(200).select("id", F.col("id").alias("x"), (F.col("id") % 5).alias("y"))
+    train, test = R.split_rows(rows, ["x"], "y", ["id"], R.fv.SEED)
+    for part, plain in zip((train, test), R.split(rows, ["id"])):
+        assert part.columns == ["id", "x", "y"] and sorted(part.collect()) == sorted(plain.collect())
+        assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
