@@ -440,17 +440,20 @@ def test_tokens_that_always_come_together_cost_one_item(spark):
     assert out[200] == "block" and out[201] == "allow"
 
 
-def test_documents_without_paths_resolve_no_directories(spark, tmp_path):
-    """The query licenses each text by itself, as scan does for texts that stand apart, and plans no directories."""
+def test_documents_of_a_source_take_its_licence_file(spark, tmp_path):
+    """The query resolves directories: a text that is a licence licenses its source and language, prose and headers do not."""
     from arrears.llm.queries import QUERIES
 
     rows = [(1, license.TEXTS[0][1], "en", "s", 0), (2, "prose\nReleased under the MIT License\nmore prose", "en", "s", 0),
-            (3, "plain prose", "en", "s", 0), (3, "Released under the ISC License", None, None, 0), (None, None, "en", "s", 0)]
+            (3, "plain prose", "en", "s", 0), (3, "Released under the ISC License", None, None, 0), (None, None, "en", "s", 0),
+            (4, "plain prose", "de", "s", 0), (5, "plain prose", None, None, 0), (6, "prose", "en", "t", 0),
+            (7, "more words\nReleased under the MIT License\nthan a notice has in all its words", "en", "t", 0),
+            (None, license.TEXTS[1][1], "fr", "s", 0), (8, "plain prose", "fr", "s", 0), (9, "plain prose", "it", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    found = QUERIES["op9_license"](spark, str(tmp_path))
-    assert not any(name in found._jdf.queryExecution().optimizedPlan().toString() for name in ("folder", "below", "held"))
-    apart = license.scan(docs.selectExpr("doc_id", "text", "concat(monotonically_increasing_id(), '/x') AS path"))
-    columns = ["doc_id", "license", "license_origin"]
-    mine, theirs = (sorted((tuple(r) for r in df.select(columns).collect()), key=repr) for df in (found, apart))
-    assert mine == theirs and sum(r[2] == "own" for r in mine) == 3
+    found = QUERIES["op9_license"](spark, str(tmp_path)).select("doc_id", "license", "license_origin").collect()
+    first, second = license.TEXTS[0][0], license.TEXTS[1][0]
+    assert sorted((tuple(r) for r in found), key=repr) == sorted([
+        (1, first, "own"), (2, "MIT", "own"), (3, first, "inherited"), (3, "ISC", "own"), (None, first, "inherited"),
+        (4, None, None), (5, None, None), (6, None, None), (7, "MIT", "own"),
+        (None, second, "own"), (8, second, "inherited"), (9, None, None)], key=repr)
