@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from arrears.functions import fixed_values as fv
 from arrears.functions.scalars import code_map
 from arrears.functions.semantics import capped, guarded, last_wins, present, ratio
+from arrears.operators import trees as forests
 from arrears.operators.stats import elbow
 from arrears.operators.windows import in_training_share
 from arrears.session import neighbouring_rows, training_rows
@@ -104,8 +105,11 @@ def train_classifier(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                                     predictionCol="classe_prevista", probabilityCol="_p", rawPredictionCol="_r")
     assembler = VectorAssembler(inputCols=list(columns), outputCol=VECTOR)
     rows = df.drop(VECTOR)
-    near, _ = neighbouring_rows(rows.where(is_training), columns, [*columns, label])
-    model = Pipeline(stages=[assembler, forest]).fit(near)
+    near, _ = neighbouring_rows(assembler.transform(rows.where(is_training)), columns, [VECTOR, label])
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    nodes, classes = forests.grow(near, VECTOR, len(columns), forest, trees, cores, regression=False)
+    grown = forests.open_forest(nodes, 0, trees, forest, RandomForestClassificationModel, len(columns), classes)
+    model = PipelineModel([assembler, grown])
     held = model.transform(rows.where(~is_training))
     accuracy = held.agg(F.avg((F.col("classe_prevista") == F.col(label)).cast("double"))).first()[0]
     return model, accuracy or 0.0
