@@ -87,7 +87,7 @@ def test_queries_against_sql(spark, name):
     assert sorted(map(repr, theirs)) == sorted(repr(tuple(r)) for r in df.select(names).collect())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - {"op13_hard_negatives"}))  # its rows are pairs of an anchor, by rank
 def test_queries_have_one_row_per_input_row(spark, name):
-    table = {"op7_embeddings": "embeddings", "op10_url_filter": "pages"}.get(name, "documents")
+    table = {"op7_embeddings": "embeddings", "op12_centroids": "embeddings", "op10_url_filter": "pages"}.get(name, "documents")
     assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
